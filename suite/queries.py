@@ -528,7 +528,8 @@ def zone_centroid(spark, sf_dir):
         .when(F.col("o_orderstatus") == "P", F.array(box(0, 0, size), box(10, 10, 2 * size)))
         .otherwise(triangle)
     )
-    zones = _read(spark, sf_dir, "orders").select("o_orderkey", centroid(shapes).alias("c"))
+    zones = _read(spark, sf_dir, "orders").select("o_orderkey", shapes.alias("rings"))
+    zones = zones.select("o_orderkey", centroid(F.col("rings")).alias("c"))
     return zones.select(
         "o_orderkey",
         F.round("c.longitude", 4).alias("longitude"),

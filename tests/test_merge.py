@@ -1,0 +1,115 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidewright.operators import dedup, merge
+
+TARGET = "k int, v string, created_at int"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_null_keys_and_null_values(spark):
+    target = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 0)], TARGET)
+    source = spark.createDataFrame([(2, None, 99), (3, "c", 99), (None, "m", 99)], TARGET)
+    assert rows(merge.merged(target, source, ["k"])) == sorted(
+        [(1, "a", 10), (2, None, 20), (3, "c", 99), (None, "m", 99), (None, "n", 0)], key=repr
+    )
+
+
+def test_column_subset_case_and_cast(spark):
+    target = spark.createDataFrame([(1, "a", 10)], TARGET)
+    source = spark.createDataFrame([("x", 1), ("y", 2)], "V string, K bigint")
+    assert rows(merge.merged(target, source, ["k"])) == [(1, "x", 10), (2, "y", None)]
+
+
+def test_unknown_source_column_is_refused(spark):
+    target = spark.createDataFrame([(1, "a", 10)], TARGET)
+    with pytest.raises(ValueError, match="extra"):
+        merge.merged(target, spark.createDataFrame([(1, 2)], "k int, extra int"), ["k"])
+
+
+def test_keys_are_required(spark):
+    target = spark.createDataFrame([(1, "a", 10)], TARGET)
+    with pytest.raises(ValueError):
+        merge.merged(target, target, [])
+    with pytest.raises(ValueError):
+        merge.merged(target, target, ["nope"])
+
+
+key = st.one_of(st.none(), st.integers(0, 6))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    target=st.lists(st.tuples(key, key, st.integers(0, 9)), max_size=15),
+    source=st.dictionaries(st.tuples(key, key), st.one_of(st.none(), st.integers(10, 19)), max_size=15),
+)
+def test_against_brute_force(spark, target, source):
+    """Repeated target keys are all updated; the source has one row per key."""
+    schema = "a int, b int, v int, created_at int"
+    t = spark.createDataFrame([(*r, 1) for r in target], schema)
+    s = spark.createDataFrame([(*k, v, 2) for k, v in source.items()], schema)
+    usable = {k: v for k, v in source.items() if None not in k}
+    expected = [(a, b, usable.get((a, b), v), 1) for a, b, v in target]
+    present = {(a, b) for a, b, _ in target}
+    expected += [(*k, v, 2) for k, v in source.items() if k not in usable or k not in present]
+    assert rows(merge.merged(t, s, ["a", "b"])) == sorted(expected, key=repr)
+
+
+def test_repeated_keys_ignore_null(spark):
+    source = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "k int")
+    assert rows(merge.repeated_keys(source, ["k"])) == [(1, 2)]
+
+
+def test_missing_fields_put_audit_last(spark):
+    source = spark.createDataFrame([], "created_at int, b int, is_active int, A int, c int").schema
+    target = spark.createDataFrame([], "a int").schema
+    assert [f.name for f in merge.missing_fields(target, source)] == ["b", "c", "created_at", "is_active"]
+
+
+def test_hot_key_is_split_and_keys_fold_before_the_shuffle(spark, tmp_path):
+    """A third of the target rows share one key; joins must not be broadcast."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+    spark.range(600_000).select(hot.alias("k"), F.expr("uuid()").alias("v")).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(400_000, 800_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        after = merge.merged(target, source, ["k"])
+        plan = after._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        text = plan.toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in text
+    below = text[text.index("LeftSemi"):]
+    assert below.index("HashAggregate") < below.index("Exchange") and below.count("HashAggregate") >= 2
+
+
+def test_dedup(spark):
+    frame = spark.createDataFrame([(1, 3, "a"), (1, 5, "b"), (2, None, "c"), (2, 1, "d"), (None, 1, "e"), (None, 2, "f")], "k int, o int, v string")
+    latest = dedup.dedup_latest(frame, ["k"], [F.desc("o"), F.asc("v")])
+    assert rows(latest) == [(1, 5, "b"), (2, 1, "d"), (None, 2, "f")]
+    assert rows(dedup.dedup_keys(frame, ["k"]).select("k")) == [(1,), (2,), (None,)]
+    for function in (lambda: dedup.dedup_keys(frame, []), lambda: dedup.dedup_latest(frame, [], [])):
+        with pytest.raises(ValueError):
+            function()
+
+
+def test_dedup_latest_limits_groups_before_the_shuffle(spark):
+    frame = spark.range(10).selectExpr("id % 2 AS k", "id AS o")
+    plan = dedup.dedup_latest(frame, ["k"], [F.desc("o")])._jdf.queryExecution().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan

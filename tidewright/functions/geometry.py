@@ -7,14 +7,15 @@ multi-polygon.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _edges(ring: Column) -> Column:
-    """Each vertex with its successor; the last one is followed by the first."""
-    following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+def ring(*points: tuple[Column, Column]) -> Column:
+    """A ring from coordinate columns."""
+    return F.array(*[_point(x.cast("double"), y.cast("double")) for x, y in points])
 
 
 def centroid(rings: Column) -> Column:
@@ -23,45 +24,64 @@ def centroid(rings: Column) -> Column:
     Without area it is the length-weighted middle of the edges, and of a single
     point the point itself; NULL where the first ring has no vertex.
     """
+    return _bound(rings, _centroid)
+
+
+def _centroid(rings: Column) -> Column:
     origin = F.get(F.get(rings, F.lit(0)), F.lit(0))
 
-    def add(total: Column, edge: Column) -> Column:
-        # Relative to the first vertex: far-off coordinates lose no digits.
-        ax, ay = edge["a"]["x"] - origin["x"], edge["a"]["y"] - origin["y"]
-        bx, by = edge["b"]["x"] - origin["x"], edge["b"]["y"] - origin["y"]
-        cross = ax * by - bx * ay
-        length = F.hypot(bx - ax, by - ay)
+    def place(middle: Column) -> Column:
         return F.struct(
-            (total["area"] + cross).alias("area"),
-            (total["mx"] + (ax + bx) * cross).alias("mx"),
-            (total["my"] + (ay + by) * cross).alias("my"),
-            (total["length"] + length).alias("length"),
-            (total["lx"] + (ax + bx) * length).alias("lx"),
-            (total["ly"] + (ay + by) * length).alias("ly"),
+            (origin["x"] + middle["x"]).alias("longitude"),
+            (origin["y"] + middle["y"]).alias("latitude"),
         )
 
-    def place(total: Column, area_part: str, length_part: str, start: Column) -> Column:
-        by_area = total[area_part] / (3 * total["area"])
-        by_length = total[length_part] / (2 * total["length"])
-        shift = F.when(total["area"] != 0, by_area).when(total["length"] != 0, by_length)
-        return start + F.coalesce(shift, F.lit(0.0))
+    # Relative to the first vertex: far-off coordinates lose no digits.
+    local = F.transform(
+        rings,
+        lambda r: F.transform(r, lambda p: _point(p["x"] - origin["x"], p["y"] - origin["y"])),
+    )
+    # The later forms are evaluated only where the earlier ones are NULL.
+    middle = F.coalesce(
+        _middle(local, lambda a, b: a["x"] * b["y"] - b["x"] * a["y"], 3),
+        _middle(local, lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]), 2),
+        _point(F.lit(0.0), F.lit(0.0)),
+    )
+    return F.when(origin.isNotNull(), _bound(middle, place))
+
 
-    def finish(total: Column) -> Column:
+def _middle(rings: Column, weight: Callable[[Column, Column], Column], parts: int) -> Column:
+    """The weighted mean of the edges' end point sums, divided by ``parts``;
+    NULL where the weights add up to zero."""
+
+    def edge(a: Column, b: Column) -> Column:
         return F.struct(
-            place(total, "mx", "lx", origin["x"]).alias("longitude"),
-            place(total, "my", "ly", origin["y"]).alias("latitude"),
+            weight(a, b).alias("w"), (a["x"] + b["x"]).alias("x"), (a["y"] + b["y"]).alias("y")
         )
 
-    names = ("area", "mx", "my", "length", "lx", "ly")
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
-    return F.aggregate(F.flatten(F.transform(rings, _edges)), zero, add, finish)
+    def edges(r: Column) -> Column:
+        # Each vertex with its successor; the last is followed by the first.
+        return F.zip_with(r, F.concat(F.slice(r, 2, F.size(r)), F.slice(r, 1, 1)), edge)
 
+    def add(total: Column, e: Column) -> Column:
+        return F.struct(
+            (total["w"] + e["w"]).alias("w"),
+            (total["x"] + e["x"] * e["w"]).alias("x"),
+            (total["y"] + e["y"] * e["w"]).alias("y"),
+        )
 
-def ring(*points: tuple[Column, Column]) -> Column:
-    """A ring from coordinate columns."""
-    return F.array(
-        *[
-            F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-            for x, y in points
-        ]
-    )
+    def mean(total: Column) -> Column:
+        share = total["w"] * parts
+        return F.when(share != 0, _point(total["x"] / share, total["y"] / share))
+
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("w", "x", "y")])
+    return F.aggregate(F.flatten(F.transform(rings, edges)), zero, add, mean)
+
+
+def _point(x: Column, y: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

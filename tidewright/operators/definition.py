@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 )
 
 from tidewright.operators import drift, quality
+from tidewright.operators.ddl import create_table_text
 from tidewright.settings import quoted, sql_text
 
 
@@ -167,23 +168,17 @@ class TableDefinition:
     # Catalog text
 
     def generate_ddl(
-        self, table_format: str = "parquet", *, partition_by: Sequence[str] | None = None
+        self, table_format: str = "parquet", *, partition_by: Sequence[str] = ()
     ) -> str:
         """CREATE TABLE text built from ``to_schema()``, so it never differs from it."""
-        specs = []
-        for f in self.to_schema().fields:
-            spec = f"{quoted(f.name)} {f.dataType.simpleString()}"
-            if not f.nullable:
-                spec += " NOT NULL"
-            if f.metadata.get("comment"):
-                spec += f" COMMENT {sql_text(f.metadata['comment'])}"
-            specs.append(spec)
-        ddl = f"CREATE TABLE IF NOT EXISTS {self.table_name} ({', '.join(specs)}) USING {table_format}"
-        if partition_by:
-            ddl += f" PARTITIONED BY ({', '.join(quoted(c) for c in partition_by)})"
-        if self.location:
-            ddl += f" LOCATION {sql_text(self.location)}"
-        return ddl + f" TBLPROPERTIES ('schema_version' = {sql_text(self.version)})"
+        return create_table_text(
+            self.table_name,
+            self.to_schema(),
+            table_format,
+            partition_by=partition_by,
+            location=self.location,
+            version=self.version,
+        )
 
     def generate_constraints(self) -> list[str]:
         """ALTER TABLE texts for providers that enforce CHECK constraints."""
@@ -220,7 +215,7 @@ class TableDefinition:
         self,
         *,
         table_format: str = "parquet",
-        partition_by: Sequence[str] | None = None,
+        partition_by: Sequence[str] = (),
         allow_downgrade: bool = False,
     ) -> bool:
         """Create the table, or stamp it with this version; True if anything changed.

@@ -28,7 +28,8 @@ _HIT = "__hit"
 
 def _keys_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key columns of rows that can match at all."""
-    return df.select(*[F.col(quoted(k)) for k in keys]).dropna("any")
+    known = reduce(and_, [F.col(quoted(k)).isNotNull() for k in keys])
+    return df.select(*[F.col(quoted(k)) for k in keys]).where(known)
 
 
 def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,28 +38,18 @@ def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.where("count > 1")
 
 
-def matched_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], *, source_is_small: bool
-) -> DataFrame:
+def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys both sides hold, read from the key columns alone.
 
-    With a small source the target's keys are filtered before they are made
-    distinct and only the few matching ones are shuffled. Otherwise they are
-    made distinct first, which folds a hot key into one row per task.
+    The target's keys are made distinct before they are joined, which folds a
+    hot key into one row per task. Where Spark can broadcast the source's keys
+    it moves the join below the aggregate, so that only matching keys are
+    shuffled.
     """
-    ours, theirs = _keys_only(target, keys), _keys_only(source, keys)
-    if source_is_small:
-        return ours.join(theirs, list(keys), "left_semi").distinct()
-    return ours.distinct().join(theirs, list(keys), "left_semi")
-
-
-def merged(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    *,
-    source_is_small: bool = False,
-) -> DataFrame:
+    return _keys_only(target, keys).distinct().join(_keys_only(source, keys), list(keys), "left_semi")
+
+
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows after the upsert, in the target's schema.
 
     ``source`` must hold one row per key (see ``repeated_keys``). Its columns
@@ -69,9 +60,7 @@ def merged(
         raise ValueError("An upsert needs key columns.")
     require_columns(source, keys)
     require_columns(target, keys)
-    updated = updated_rows(target, source, keys)
-    inserted = inserted_rows(target, source, keys, source_is_small=source_is_small)
-    return updated.unionByName(inserted)
+    return updated_rows(target, source, keys).unionByName(inserted_rows(target, source, keys))
 
 
 def updated_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,11 +88,9 @@ def updated_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return joined.select(*[after(c) for c in target.columns])
 
 
-def inserted_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], *, source_is_small: bool = False
-) -> DataFrame:
+def inserted_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows no target key matches, in the target's schema."""
-    known = matched_keys(target, source, keys, source_is_small=source_is_small)
+    known = matched_keys(target, source, keys)
     return aligned(source.join(known, list(keys), "left_anti"), target.schema)
 
 

@@ -79,7 +79,7 @@ def populate_stg_tables_from_storage(
     spark = SparkSession.active()
     root = checkpoint_root or f"{shared_folder(spark)}/loaded-files"
 
-    def load(source: Row) -> DataFrame:
+    def load(source: Row) -> DataFrame | None:
         csv = {"csv_header": csv_header, "csv_delimiter": csv_delimiter}
         path = source["volume"]
         known = schema or file_schema(spark, path, file_format, options=options, **csv)
@@ -127,7 +127,7 @@ def populate_stg_tables_from_sql(
 
 def _load_each(
     names: str | Sequence[str],
-    load: Callable[[Row], DataFrame],
+    load: Callable[[Row], DataFrame | None],
     registry_table: str,
     log_table: str,
     execution_id: str | None,
@@ -143,8 +143,9 @@ def _load_each(
     for source in active_sources(names, registry_table).collect():
         table, start = source["stg_table"], datetime.now()
         try:
+            new_rows = load(source)
             rows = log_load(
-                file_load_stats(load(source)),
+                None if new_rows is None else file_load_stats(new_rows),
                 execution_id=execution_id,
                 source_system=source["volume"],
                 table_name=table,

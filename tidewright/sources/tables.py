@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewright.operators import merge
+from tidewright.operators.ddl import create_table_text
 from tidewright.operators.dedup import dedup_keys
 from tidewright.settings import quoted, scratch_folder, sql_text
 
@@ -61,13 +62,9 @@ def create_table_if_not_exists(
     spark = SparkSession.active()
     if spark.catalog.tableExists(table_name):
         return False
+    table_format = table_format or spark.conf.get("spark.sql.sources.default")
     try:
-        writer = spark.createDataFrame([], schema).write.mode("ignore")
-        if table_format:
-            writer = writer.format(table_format)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table_name)
+        spark.sql(create_table_text(table_name, schema, table_format, partition_by=partition_by))
     except Exception as e:
         raise TableCreationError(
             f"Failed to create table '{table_name}'", schema.simpleString(), str(e)
@@ -142,55 +139,37 @@ def _partition_columns(spark: SparkSession, table_name: str) -> list[str]:
 
 def _upsert(df: DataFrame, table_name: str, keys: list[str], evolve: bool) -> UpsertResult:
     merge.require_columns(df, keys)
-    # The source is read several times below; evaluating it once also fixes
-    # the arbitrary choices of a de-duplication.
+    # The source is read several times below. Evaluating it once fixes the
+    # arbitrary choices of a de-duplication, and its file sizes tell Spark
+    # whether it may broadcast it.
     with scratch_folder(df.sparkSession, "upsert-source") as folder:
-        rows, small = _stage(df, keys, folder)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
         source = df.sparkSession.read.schema(df.schema).parquet(folder)
-        return _upsert_staged(source, rows, small, table_name, keys, evolve)
+        replaced = _upsert_staged(source, table_name, keys, evolve) if seen.get["rows"] else None
+        return UpsertResult(seen.get["rows"], replaced)
 
 
 def _upsert_staged(
-    source: DataFrame, rows: int, small: bool, table_name: str, keys: list[str], evolve: bool
-) -> UpsertResult:
+    source: DataFrame, table_name: str, keys: list[str], evolve: bool
+) -> str | None:
+    """Apply a staged source; the folder the table no longer uses, if any."""
     spark = source.sparkSession
     _refuse_repeated(source, keys)
     if evolve:
         add_missing_columns_to_table(table_name, source.schema)
-    if rows == 0:
-        return UpsertResult(0)
     target = spark.table(table_name)
     if provider_of(table_name) in ROW_LEVEL_PROVIDERS:
         _merge_into(source, table_name, target, keys, evolve)
-        return UpsertResult(rows)
+        return None
+    if target.isEmpty():
+        append_rows(source, table_name)
+        return None
     partitions = _partition_columns(spark, table_name)
     if partitions:
-        _rewrite_partitions(target, source, table_name, keys, partitions, small)
-        return UpsertResult(rows)
-    after = merge.merged(target, source, keys, source_is_small=small)
-    return UpsertResult(rows, _publish(after, table_name))
-
-
-def _stage(df: DataFrame, keys: Sequence[str], folder: str) -> tuple[int, bool]:
-    """Write the source to ``folder``; its row count, and whether its keys are
-    proven small enough for Spark to broadcast them."""
-    seen = Observation()
-    width = F.octet_length(F.concat_ws("", *[F.col(quoted(k)).cast("string") for k in keys]))
-    df.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.sum(width).alias("key_bytes")
-    ).write.parquet(folder)
-    rows = seen.get["rows"]
-    # A hashed relation costs some tens of bytes per row besides the key text.
-    size = (seen.get["key_bytes"] or 0) + 64 * rows
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return rows, size <= limit
-
-
-def _bytes(text: str) -> int:
-    """A Spark size setting such as '10485760b' or '10MB' in bytes."""
-    digits = text.rstrip("bBkKmMgG")
-    unit = text[len(digits):].lower()[:1]
-    return int(digits) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1)
+        _rewrite_partitions(target, source, table_name, keys, partitions)
+        return None
+    return _publish(merge.merged(target, source, keys), table_name)
 
 
 def _refuse_repeated(source: DataFrame, keys: Sequence[str]) -> None:
@@ -233,7 +212,6 @@ def _rewrite_partitions(
     table_name: str,
     keys: Sequence[str],
     partitions: Sequence[str],
-    small: bool,
 ) -> None:
     """Upsert into the touched partitions only: those the source names, and
     those that hold a matched key now, which may move."""
@@ -242,13 +220,13 @@ def _rewrite_partitions(
     arriving = merge.aligned(source.select(*partitions), target.select(*partitions).schema)
     touched = arriving
     if not set(partitions) <= set(keys):
-        known = merge.matched_keys(target, source, keys, source_is_small=small)
+        known = merge.matched_keys(target, source, keys)
         leaving = target.join(known, list(keys), "left_semi").select(*partitions)
         touched = arriving.unionByName(leaving)
     # One row per touched partition, as many as the catalog tracks.
     values = touched.distinct().collect()
     affected = target.where(_in_partitions(values))
-    after = merge.merged(affected, source, keys, source_is_small=small)
+    after = merge.merged(affected, source, keys)
 
     # Staged, because Spark refuses to overwrite a table it is reading.
     with scratch_folder(spark, "upsert-result") as folder:

@@ -59,8 +59,9 @@ def run_once(
     return names
 
 
-def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataFrame:
-    """Append the files not loaded yet to ``table_name``; returns the new rows.
+def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataFrame | None:
+    """Append the files not loaded yet to ``table_name``; returns the new rows,
+    or None where no new file was found.
 
     The table is created, or given the stream's new columns, before the run.
     The frame returned reads only the partitions this run wrote.
@@ -71,5 +72,6 @@ def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataF
     written = run_once(
         stream, checkpoint, lambda rows, name: _overwrite_partition(rows, table_name, name)
     )
-    table = stream.sparkSession.table(table_name)
-    return table.where(F.col(LOAD_ID).isin(written))
+    if not written:
+        return None
+    return stream.sparkSession.table(table_name).where(F.col(LOAD_ID).isin(written))
