@@ -1,0 +1,34 @@
+import pytest
+
+from tidewright.functions.geometry import centroid
+
+SHAPE = "id int, rings array<array<struct<x: double, y: double>>>"
+SQUARE = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
+FAR = [(x + 1e7, y - 1e7) for x, y in SQUARE]
+HOLE = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0)]
+
+
+@pytest.mark.parametrize(
+    "rings, expected",
+    [
+        ([SQUARE], (1.0, 1.0)),
+        ([SQUARE[::-1]], (1.0, 1.0)),
+        ([SQUARE + SQUARE[:1]], (1.0, 1.0)),
+        ([FAR], (1e7 + 1, -1e7 + 1)),
+        ([[(0.0, 0.0), (3.0, 0.0), (0.0, 3.0)]], (1.0, 1.0)),
+        ([SQUARE, HOLE], ((4 - 0.5) / 3, (4 - 0.5) / 3)),
+        ([SQUARE, [(10.0, 0.0), (12.0, 0.0), (12.0, 2.0), (10.0, 2.0)]], (6.0, 1.0)),
+        ([[(0.0, 0.0), (4.0, 0.0)]], (2.0, 0.0)),
+        ([[(5.0, 6.0)]], (5.0, 6.0)),
+    ],
+)
+def test_centroid(spark, rings, expected):
+    frame = spark.createDataFrame([(1, rings)], SHAPE)
+    c = frame.select(centroid(frame.rings).alias("c")).first()["c"]
+    assert (c["longitude"], c["latitude"]) == pytest.approx(expected, abs=1e-9)
+
+
+@pytest.mark.parametrize("rings", [None, [], [[]]])
+def test_no_vertex(spark, rings):
+    frame = spark.createDataFrame([(1, rings)], SHAPE)
+    assert frame.select(centroid(frame.rings).alias("c")).first()["c"] is None

@@ -74,4 +74,7 @@ def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataF
     )
     if not written:
         return None
-    return stream.sparkSession.table(table_name).where(F.col(LOAD_ID).isin(written))
+    # The batches were written by the stream's own copy of the session.
+    spark = stream.sparkSession
+    spark.catalog.refreshTable(table_name)
+    return spark.table(table_name).where(F.col(LOAD_ID).isin(written))
