@@ -23,6 +23,15 @@ def test_formats(spark, tmp_path):
     assert {"path", "length", "content"} <= set(binary.columns) and binary.count() >= 1
 
 
+def test_fixture_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": 1, "s": "x"},\n {"id": 2, "s": null}]')
+    (tmp_path / "b.CSV").write_text("id,s\n1,x\n2,\n")
+    assert rows(files.scan_by_suffix(spark, f"{tmp_path}/a.json")) == [(1, "x"), (2, None)]
+    assert rows(files.scan_by_suffix(spark, f"{tmp_path}/b.CSV")) == [("1", "x"), ("2", None)]
+    with pytest.raises(ValueError, match="c.txt"):
+        files.scan_by_suffix(spark, f"{tmp_path}/c.txt")
+
+
 def test_unknown_format(spark):
     with pytest.raises(ValueError, match="parquet, delta, csv, json, xml, avro, orc, text, binary"):
         files.scan(spark, "/nowhere", "xls")

@@ -1,4 +1,4 @@
-import uuid
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from tidewright.plans.refine import refine
 from tidewright.plans.staging import staged_rows
 from tidewright.sources.files import scan_stream
 from tidewright.sources.registry import src_definitions
+from tidewright.sources.tables import overwrite_partition
 from tidewright.streaming import file_loader
 from test_merge import rows
 
@@ -93,6 +94,29 @@ def test_single_csv_file(spark, shop, tmp_path):
     assert rows(spark.table(name).select("LocationID", "Zone")) == [("1", "Newark"), ("2", "Jamaica")]
 
 
+def test_late_file_with_an_old_time_is_loaded(spark, shop):
+    name = shop.register()
+    shop.land("SELECT 1 AS id")
+    assert shop.load() == {name: 1}
+    shop.land("SELECT 2 AS id")
+    for entry in os.scandir(shop.path):
+        os.utime(entry.path, (1_000_000_000, 1_000_000_000))
+    assert shop.load() == {name: 1}
+    assert rows(spark.table(name).select("id")) == [(1,), (2,)]
+
+
+def test_csv_with_other_columns_is_refused(spark, shop, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,b\n1,2\n")
+    name = shop.register(path=str(folder))
+    options = {"file_format": "csv", "csv_header": True, "schema": "a string, b string"}
+    assert shop.load(**options) == {name: 1}
+    (folder / "b.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="CSV header"):
+        shop.load(**options)
+
+
 def test_batches_of_a_large_first_load(spark, shop):
     name = shop.register()
     for i in range(3):
@@ -109,7 +133,7 @@ def test_replayed_batch_replaces_its_first_attempt(spark, db, tmp_path):
     spark.sql(f"CREATE TABLE {name} (id BIGINT, loaded_at TIMESTAMP, source_file_name STRING, source_file_path STRING, source_file_modified_at TIMESTAMP, load_id STRING) USING parquet PARTITIONED BY (load_id)")
 
     def write_then_fail(batch, load_id):
-        file_loader._overwrite_partition(batch, name, load_id)
+        overwrite_partition(batch, name, "load_id", load_id)
         raise RuntimeError("driver lost")
 
     with pytest.raises(Exception, match="driver lost"):

@@ -157,6 +157,9 @@ class TableDefinition:
     def constraint_violations(self, df: DataFrame) -> DataFrame:
         return quality.constraint_violations(df, self.columns)
 
+    def reject_violations(self, df: DataFrame) -> None:
+        quality.reject_violations(df, self.columns)
+
     # Drift
 
     def compare_schema(self, df: DataFrame, *, include_audit: bool = True) -> dict[str, list[str]]:

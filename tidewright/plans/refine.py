@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewright.functions.timezones import get_timestamp_columns, utc_instant
 from tidewright.operators.definition import TableDefinition
 from tidewright.operators.projections import conform, fill_audit, strip_suffix
-from tidewright.settings import INGEST_LOGS_TABLE, SUCCESS, quoted, scratch_folder
+from tidewright.settings import INGEST_LOGS_TABLE, SUCCESS, quoted
 from tidewright.sources.load_log import insert_ingestion_log
 from tidewright.sources.tables import insert_or_update_table
 
@@ -35,32 +35,24 @@ def refine(
     """Conform, validate, upsert the clean rows on the key, append the failing
     rows with their reasons to ``quarantine_table``, and log both counts.
 
-    The rows are judged in one pass, written partitioned by verdict; both
-    outputs then read their own part, and the counts come from that write.
+    Each output reads the staged rows through its own pushed-down filter, which
+    for a table costs less than storing judged rows in between. Rows that are
+    expensive to compute should be written to a table first.
     """
-    start = datetime.now()
-    spark = staged.sparkSession
+    start, seen = datetime.now(), Observation()
     rows = conform(strip_suffix(utc_columns_as_instants(staged)), definition.columns)
-    judged, seen = definition.validate_with_reasons(rows), Observation()
-    with scratch_folder(spark, "judged") as folder:
-        judged.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(~F.col("is_row_valid")).alias("failed"),
-        ).write.partitionBy("is_row_valid").parquet(folder)
-        judged = spark.read.schema(judged.schema).parquet(folder)
-        clean = judged.where("is_row_valid").drop("is_row_valid", "validation_errors")
-        definition.ensure_version_sync()
-        insert_or_update_table(
-            fill_audit(clean) if definition.include_create_and_update else clean,
-            definition.table_name,
-            key_columns=definition.key_columns,
-            force_remove_duplicates=force_remove_duplicates,
-            schema_evolution=True,
-        )
-        failing = judged.where("NOT is_row_valid")
-        insert_or_update_table(failing, quarantine_table, append_only=True)
-    result = RefineResult(seen.get["rows"], seen.get["failed"])
+    clean, failing = definition.process_data(rows)
+    definition.ensure_version_sync()
+    insert_or_update_table(
+        fill_audit(clean) if definition.include_create_and_update else clean,
+        definition.table_name,
+        key_columns=definition.key_columns,
+        force_remove_duplicates=force_remove_duplicates,
+        schema_evolution=True,
+    )
+    failing = failing.observe(seen, F.count(F.lit(1)).alias("failed"))
+    insert_or_update_table(failing, quarantine_table, append_only=True)
+    result = RefineResult(rows.count(), seen.get["failed"])
     insert_ingestion_log(
         execution_id=execution_id or uuid.uuid4().hex,
         source_system=definition.table_name,

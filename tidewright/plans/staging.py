@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tidewright.functions.timezones import apply_timezone_conversion
 from tidewright.operators.aggregates import file_load_stats
@@ -26,8 +27,8 @@ from tidewright.settings import (
 from tidewright.sources.files import file_schema, scan, scan_stream, spark_format
 from tidewright.sources.load_log import insert_ingestion_log, log_load
 from tidewright.sources.registry import active_sources
-from tidewright.sources.tables import append_rows, create_table_if_not_exists
-from tidewright.streaming.file_loader import load_new_files
+from tidewright.sources.tables import overwrite_partition
+from tidewright.streaming.file_loader import load_new_files, prepare_staging_table
 
 
 def staged_rows(
@@ -116,11 +117,11 @@ def populate_stg_tables_from_sql(
             source["select_columns"],
             source["filter_condition"],
             filter_condition,
-        ).selectExpr("*", f"'{run}' AS {LOAD_ID}")
-        table = source["stg_table"]
-        create_table_if_not_exists(table, rows.schema, partition_by=[LOAD_ID])
-        append_rows(rows, table, schema_evolution=True)
-        return spark.table(table).where(f"{LOAD_ID} = '{run}'")
+        )
+        table, name = source["stg_table"], f"{run}-{source['source_system']}"
+        prepare_staging_table(table, rows.schema)
+        overwrite_partition(rows, table, LOAD_ID, name)
+        return spark.table(table).where(F.col(LOAD_ID) == name)
 
     return _load_each(tg_table_names, load, registry_table, log_table, execution_id)
 

@@ -23,6 +23,9 @@ from pyspark.sql.types import (
 # Accepted format names.
 FORMATS = ("parquet", "delta", "csv", "json", "xml", "avro", "orc", "text", "binary")
 
+# By default a file stream ignores new files a week older than the latest one.
+EVERY_AGE = "36500d"
+
 # Fixed value: monthly file names.
 MONTH_FILE = "{kind}_tripdata_{month}.parquet"
 
@@ -45,7 +48,9 @@ def _prepared(
     name = spark_format(file_format)
     reader = reader.format(name)
     if name == "csv":
+        # With a header, a file whose columns differ is refused, not misread.
         reader = reader.option("header", csv_header).option("sep", csv_delimiter)
+        reader = reader.option("enforceSchema", not csv_header)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**(options or {}))
@@ -79,7 +84,8 @@ def scan_stream(
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The same scan as a stream of files; ``path`` may be a single file."""
-    reader = _prepared(spark.readStream, file_format, schema, csv_header, csv_delimiter, options)
+    reader = spark.readStream.option("maxFileAge", EVERY_AGE)
+    reader = _prepared(reader, file_format, schema, csv_header, csv_delimiter, options)
     return reader.load(_stream_path(path))
 
 
@@ -92,6 +98,16 @@ def _stream_path(path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]"
 
 
+def scan_by_suffix(spark: SparkSession, path: str) -> DataFrame:
+    """A ``.json`` file of records, or a ``.csv`` file with header as text."""
+    suffix = path.rsplit(".", 1)[-1].lower()
+    if suffix == "json":
+        return scan(spark, path, "json", options={"multiLine": "true"})
+    if suffix == "csv":
+        return scan(spark, path, "csv", csv_header=True)
+    raise ValueError(f"Neither a .json nor a .csv file: {path}")
+
+
 def file_schema(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -96,6 +96,21 @@ def append_rows(df: DataFrame, table_name: str, *, schema_evolution: bool = Fals
     merge.aligned(df, target.schema).write.insertInto(table_name)
 
 
+def overwrite_partition(df: DataFrame, table_name: str, column: str, value: str) -> None:
+    """Replace one partition by the frame; other partitions are not touched.
+
+    The partition is named in the statement, so the rows need no sort by it.
+    """
+    spark = df.sparkSession
+    fields = [f for f in spark.table(table_name).schema.fields if f.name != column]
+    listed = ", ".join(quoted(f.name) for f in fields)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table_name} PARTITION ({quoted(column)} = {sql_text(value)}) "
+        f"SELECT {listed} FROM {{rows}}",
+        rows=merge.aligned(df, StructType(fields)),
+    )
+
+
 def insert_or_update_table(
     df: DataFrame,
     table_name: str,

@@ -16,21 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewright.operators.merge import aligned
-from tidewright.settings import LOAD_ID, quoted, sql_text
-from tidewright.sources.tables import add_missing_columns_to_table, create_table_if_not_exists
-
-
-def _overwrite_partition(batch: DataFrame, table_name: str, load_id: str) -> None:
-    spark = batch.sparkSession
-    schema = spark.table(table_name).schema
-    columns = StructType([f for f in schema.fields if f.name != LOAD_ID])
-    listed = ", ".join(quoted(f.name) for f in columns.fields)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table_name} PARTITION ({LOAD_ID} = {sql_text(load_id)}) "
-        f"SELECT {listed} FROM {{rows}}",
-        rows=aligned(batch, columns),
-    )
+from tidewright.settings import LOAD_ID
+from tidewright.sources.tables import (
+    add_missing_columns_to_table,
+    create_table_if_not_exists,
+    overwrite_partition,
+)
 
 
 def run_once(
@@ -59,6 +50,13 @@ def run_once(
     return names
 
 
+def prepare_staging_table(table_name: str, rows: StructType) -> None:
+    """Create the table, partitioned by load, or give it the rows' new columns."""
+    schema = StructType([*rows.fields, StructField(LOAD_ID, StringType())])
+    if not create_table_if_not_exists(table_name, schema, partition_by=[LOAD_ID]):
+        add_missing_columns_to_table(table_name, schema)
+
+
 def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataFrame | None:
     """Append the files not loaded yet to ``table_name``; returns the new rows,
     or None where no new file was found.
@@ -66,11 +64,11 @@ def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataF
     The table is created, or given the stream's new columns, before the run.
     The frame returned reads only the partitions this run wrote.
     """
-    schema = StructType([*stream.schema.fields, StructField(LOAD_ID, StringType())])
-    if not create_table_if_not_exists(table_name, schema, partition_by=[LOAD_ID]):
-        add_missing_columns_to_table(table_name, schema)
+    prepare_staging_table(table_name, stream.schema)
     written = run_once(
-        stream, checkpoint, lambda rows, name: _overwrite_partition(rows, table_name, name)
+        stream,
+        checkpoint,
+        lambda rows, name: overwrite_partition(rows, table_name, LOAD_ID, name),
     )
     if not written:
         return None
