@@ -171,13 +171,13 @@ class TableDefinition:
     # Catalog text
 
     def generate_ddl(
-        self, table_format: str = "parquet", *, partition_by: Sequence[str] = ()
+        self, table_format: str | None = None, *, partition_by: Sequence[str] = ()
     ) -> str:
         """CREATE TABLE text built from ``to_schema()``, so it never differs from it."""
         return create_table_text(
             self.table_name,
             self.to_schema(),
-            table_format,
+            table_format or SparkSession.active().conf.get("spark.sql.sources.default"),
             partition_by=partition_by,
             location=self.location,
             version=self.version,
@@ -217,7 +217,7 @@ class TableDefinition:
     def ensure_version_sync(
         self,
         *,
-        table_format: str = "parquet",
+        table_format: str | None = None,
         partition_by: Sequence[str] = (),
         allow_downgrade: bool = False,
     ) -> bool:

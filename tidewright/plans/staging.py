@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
@@ -30,6 +31,8 @@ from tidewright.sources.registry import active_sources
 from tidewright.sources.tables import overwrite_partition
 from tidewright.streaming.file_loader import load_new_files, prepare_staging_table
 
+logger = logging.getLogger(__name__)
+
 
 def staged_rows(
     files: DataFrame,
@@ -141,7 +144,10 @@ def _load_each(
     execution_id = execution_id or uuid.uuid4().hex
     loaded: dict[str, int] = {}
     # As many rows as the caller named tables: control data, not data.
-    for source in active_sources(names, registry_table).collect():
+    sources = active_sources(names, registry_table).collect()
+    if not sources:
+        logger.warning("No active source is registered for %s.", names)
+    for source in sources:
         table, start = source["stg_table"], datetime.now()
         try:
             new_rows = load(source)

@@ -13,6 +13,7 @@ A table must have one writer at a time.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -134,7 +135,9 @@ def insert_or_update_table(
     if append_only:
         append_rows(df, table_name, schema_evolution=schema_evolution)
         return None
-    return _upsert(df, table_name, list(key_columns), schema_evolution)
+    return _upsert(
+        df, table_name, list(key_columns), schema_evolution, known_unique=force_remove_duplicates
+    )
 
 
 def provider_of(table_name: str) -> str:
@@ -152,7 +155,9 @@ def _partition_columns(spark: SparkSession, table_name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table_name) if c.isPartition]
 
 
-def _upsert(df: DataFrame, table_name: str, keys: list[str], evolve: bool) -> UpsertResult:
+def _upsert(
+    df: DataFrame, table_name: str, keys: list[str], evolve: bool, *, known_unique: bool
+) -> UpsertResult:
     merge.require_columns(df, keys)
     # The source is read several times below. Evaluating it once fixes the
     # arbitrary choices of a de-duplication, and its file sizes tell Spark
@@ -161,18 +166,17 @@ def _upsert(df: DataFrame, table_name: str, keys: list[str], evolve: bool) -> Up
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
         source = df.sparkSession.read.schema(df.schema).parquet(folder)
-        replaced = _upsert_staged(source, table_name, keys, evolve) if seen.get["rows"] else None
-        return UpsertResult(seen.get["rows"], replaced)
+        if not known_unique:
+            _refuse_repeated(source, keys)
+        if evolve:
+            add_missing_columns_to_table(table_name, source.schema)
+        rows = seen.get["rows"]
+        return UpsertResult(rows, _apply(source, table_name, keys, evolve) if rows else None)
 
 
-def _upsert_staged(
-    source: DataFrame, table_name: str, keys: list[str], evolve: bool
-) -> str | None:
-    """Apply a staged source; the folder the table no longer uses, if any."""
+def _apply(source: DataFrame, table_name: str, keys: list[str], evolve: bool) -> str | None:
+    """Upsert a staged source; the folder the table no longer uses, if any."""
     spark = source.sparkSession
-    _refuse_repeated(source, keys)
-    if evolve:
-        add_missing_columns_to_table(table_name, source.schema)
     target = spark.table(table_name)
     if provider_of(table_name) in ROW_LEVEL_PROVIDERS:
         _merge_into(source, table_name, target, keys, evolve)
@@ -215,7 +219,8 @@ def _publish(df: DataFrame, table_name: str) -> str:
     """Write the table's next version beside the current one and switch to it."""
     spark = df.sparkSession
     current = location_of(table_name)
-    folder = f"{current.split('__v-')[0].rstrip('/')}__v-{uuid.uuid4().hex}"
+    base = re.sub(r"__v-[0-9a-f]{32}$", "", current.rstrip("/"))
+    folder = f"{base}__v-{uuid.uuid4().hex}"
     df.write.format(provider_of(table_name)).save(folder)
     spark.sql(f"ALTER TABLE {table_name} SET LOCATION {sql_text(folder)}")
     return current
