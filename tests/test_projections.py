@@ -57,6 +57,32 @@ def test_active_sources(spark):
     assert rows(joins.rows_of_active_sources(landed, registry, ["src"])) == [("a", 1)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_a_measured_small_side_is_broadcast(spark, monkeypatch):
+    landed = spark.range(100).selectExpr("CAST(id % 3 AS STRING) AS src", "id")
+    registry = spark.createDataFrame([("1", True), ("2", True)], "src string, is_active boolean")
+    small = joins.rows_of_active_sources(landed, registry, ["src"])
+    assert "BroadcastHashJoin" in plan_of(small) and small.count() == 66
+    monkeypatch.setattr(joins, "MEASURED_ROWS", 1)
+    large = joins.rows_of_active_sources(landed, registry, ["src"])
+    assert "SortMergeJoin" in plan_of(large) and large.count() == 66
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        assert "SortMergeJoin" in plan_of(joins.rows_of_active_sources(landed, registry, ["src"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_size_settings():
+    assert [joins.size_in_bytes(t) for t in ("-1", "10485760b", "10MB", "2g", "1k")] == [
+        -1, 10485760, 10485760, 2 << 30, 1024,
+    ]
+
+
 def test_grouped_sum_is_exact(spark):
     frame = spark.range(1000).select(F.lit("k").alias("k"), F.lit(0.1).alias("v"))
     assert rows(grouped_sum(frame, "k", "v", "total")) == [("k", 100.0)]

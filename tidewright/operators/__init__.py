@@ -1 +1,2 @@
-"""DataFrame-to-DataFrame operators; none of them starts a Spark job."""
+"""DataFrame-to-DataFrame operators. They are lazy, except that the joins with
+control and lookup tables measure the smaller side first."""

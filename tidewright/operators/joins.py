@@ -1,8 +1,10 @@
 """Joins with control and lookup tables.
 
-No broadcast hint is given anywhere: Spark broadcasts a side it has measured
-to be below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a
-sort-merge join, in which AQE splits skewed partitions.
+A side made from driver rows, or computed, has no size Spark knows before it
+runs; it would then shuffle the other side, however large, on a key of few
+values. Its size is therefore measured first, reading no more than a bounded
+number of rows. A side above the bound is left to Spark: a sort-merge join in
+which AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -15,6 +17,31 @@ from pyspark.sql import functions as F
 from tidewright.settings import quoted
 
 
+# Rows read at most to measure a side.
+MEASURED_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """The frame, marked for broadcast if it is measured to be below both
+    ``MEASURED_ROWS`` and ``spark.sql.autoBroadcastJoinThreshold``."""
+    limit = size_in_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    if limit <= 0:
+        return df
+    row_size = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(MEASURED_ROWS + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(row_size), F.lit(0)).alias("size")
+    ).first()
+    fits = seen["rows"] <= MEASURED_ROWS and seen["size"] <= limit
+    return F.broadcast(df) if fits else df
+
+
+def size_in_bytes(setting: str) -> int:
+    """A Spark size setting such as '10485760b' or '10MB'."""
+    digits = setting.rstrip("bBkKmMgG")
+    unit = setting[len(digits):].lower()[:1]
+    return int(digits) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1)
+
+
 def join_lookup(
     df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, *, as_text: Sequence[str] = ()
 ) -> DataFrame:
@@ -26,11 +53,11 @@ def join_lookup(
     side = lookup.withColumnRenamed(lookup_key, reference)
     if as_text:
         side = side.withColumns({c: F.col(quoted(c)).cast("string") for c in as_text})
-    joined = df.join(side, F.col(quoted(key)) == F.col(quoted(reference)), "inner")
+    joined = df.join(broadcast_if_small(side), F.col(quoted(key)) == F.col(quoted(reference)), "inner")
     return joined.drop(reference)
 
 
 def rows_of_active_sources(landed: DataFrame, registry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Landed rows whose source is registered as active."""
     active = registry.where("is_active").select(*[F.col(quoted(k)) for k in keys])
-    return landed.join(active, list(keys), "left_semi")
+    return landed.join(broadcast_if_small(active), list(keys), "left_semi")

@@ -30,11 +30,13 @@ def explain_rows(df: DataFrame, columns: Sequence) -> DataFrame:
     """Add ``validation_errors``, the failing columns in definition order, and
     ``is_row_valid``, true where that array is empty."""
     ruled = _ruled(df, columns)
-    reasons = [F.when(c.fails(), F.lit(c.name)) for c in ruled]
-    errors = F.array_compact(F.array(*reasons)) if reasons else F.array()
+    none = F.array().cast("array<string>")
+    # Constant arrays and concat stay in generated code; filtering an array
+    # with a lambda does not, and takes twice as long.
+    reasons = [F.when(c.fails(), F.array(F.lit(c.name))).otherwise(none) for c in ruled]
     verdict = ~reduce(or_, [c.fails() for c in ruled]) if ruled else F.lit(True)
     return df.withColumns(
-        {"validation_errors": errors.cast("array<string>"), "is_row_valid": verdict}
+        {"validation_errors": F.concat(*reasons) if ruled else none, "is_row_valid": verdict}
     )
 
 
