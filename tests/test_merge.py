@@ -43,7 +43,7 @@ def test_keys_are_required(spark):
 key = st.one_of(st.none(), st.integers(0, 6))
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     target=st.lists(st.tuples(key, key, st.integers(0, 9)), max_size=15),
     source=st.dictionaries(st.tuples(key, key), st.one_of(st.none(), st.integers(10, 19)), max_size=15),

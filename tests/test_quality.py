@@ -58,7 +58,7 @@ def test_nan_is_above_every_bound(spark):
 cell = st.one_of(st.none(), st.integers(-3, 12))
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(st.tuples(st.integers(0, 5), cell, cell), min_size=1, max_size=30))
 def test_every_row_is_clean_or_quarantined_as_brute_force_says(spark, rows):
     def errors(v, w):

@@ -1,0 +1,45 @@
+import os
+
+import pytest
+
+from tidewright import insert_or_update_table, settings
+
+
+class Session:
+    """Just the settings of a session."""
+
+    def __init__(self, **conf):
+        self.conf = self
+        self.values = {k.replace("_", "."): v for k, v in conf.items()}
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_shared_folder():
+    named = Session(spark_checkpoint_dir="hdfs://shared/", spark_master="yarn")
+    assert settings.shared_folder(named) == "hdfs://shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        settings.shared_folder(Session(spark_master="yarn"))
+    local = Session(spark_master="local[2]", spark_app_id="a")
+    assert settings.shared_folder(local) == settings.shared_folder(local)
+    assert os.path.isdir(settings.shared_folder(local))
+    assert settings.fresh_folder(named, "x") != settings.fresh_folder(named, "x")
+
+
+def test_scratch_is_removed_also_after_a_failure(spark, db):
+    folder = settings.shared_folder(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    one = spark.createDataFrame([(1, "a")], "k int, p string")
+    insert_or_update_table(one, f"{db}.t", key_columns=["k"], partition_by=["p"])
+    insert_or_update_table(one.selectExpr("k", "'b' AS p"), f"{db}.t", key_columns=["k"])
+    with pytest.raises(ValueError):
+        insert_or_update_table(one.union(one), f"{db}.t", key_columns=["k"])
+    assert set(os.listdir(folder)) == before
+
+
+def test_text_is_quoted(spark):
+    for text in ["it's", "back\\slash", 'do"uble', "new\nline"]:
+        assert spark.sql(f"SELECT {settings.sql_text(text)}").first()[0] == text
+    frame = spark.range(1).withColumnRenamed("id", "a`b.c d")
+    assert frame.selectExpr(settings.quoted("a`b.c d")).first()[0] == 0

@@ -74,8 +74,8 @@ def populate_stg_tables_from_storage(
     ``filter_condition`` applies together with the registry's. What has been
     loaded is remembered below ``checkpoint_root``, by default a folder in
     ``spark.checkpoint.dir``; it must outlive the job. ``options`` go to the
-    file source; ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` divides a
-    large first load into batches committed one by one.
+    file source; ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` sets the size
+    of the batches a large first load is committed in.
     """
     if timezone_to_utc and not source_timezone:
         raise ValueError("source_timezone is required when timezone_to_utc is set.")

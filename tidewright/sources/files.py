@@ -26,6 +26,10 @@ FORMATS = ("parquet", "delta", "csv", "json", "xml", "avro", "orc", "text", "bin
 # By default a file stream ignores new files a week older than the latest one.
 EVERY_AGE = "36500d"
 
+# Files of one micro-batch: terabytes of full-size files, and still a list of
+# paths the driver plans with ease. A lost driver resumes after the last batch.
+FILES_PER_BATCH = 20_000
+
 # Fixed value: monthly file names.
 MONTH_FILE = "{kind}_tripdata_{month}.parquet"
 
@@ -85,6 +89,8 @@ def scan_stream(
 ) -> DataFrame:
     """The same scan as a stream of files; ``path`` may be a single file."""
     reader = spark.readStream.option("maxFileAge", EVERY_AGE)
+    if not {k.lower() for k in options or {}} & {"maxfilespertrigger", "maxbytespertrigger"}:
+        reader = reader.option("maxFilesPerTrigger", FILES_PER_BATCH)
     reader = _prepared(reader, file_format, schema, csv_header, csv_delimiter, options)
     return reader.load(_stream_path(path))
 

@@ -245,24 +245,20 @@ def _rewrite_partitions(
         touched = arriving.unionByName(leaving)
     # One row per touched partition, as many as the catalog tracks.
     values = touched.distinct().collect()
-    affected = target.where(_in_partitions(values))
-    after = merge.merged(affected, source, keys)
-
-    # Staged, because Spark refuses to overwrite a table it is reading.
-    with scratch_folder(spark, "upsert-result") as folder:
-        after.write.parquet(folder)
-        staged = spark.read.schema(after.schema).parquet(folder)
-        _overwrite_partitions(staged, table_name, partitions)
-        filled = set(staged.select(*partitions).distinct().collect())
-
-    # A dynamic overwrite leaves a partition alone when no row is left for it.
-    for row in set(values) - filled:
+    after = merge.merged(target.where(_in_partitions(values)), source, keys)
+    emptied = set()
+    if touched is not arriving:
+        # A dynamic overwrite leaves a partition alone when no row is left for it.
+        emptied = set(values) - set(after.select(*partitions).distinct().collect())
+    _overwrite_partitions(after, table_name, partitions)
+    for row in emptied:
         spec = ", ".join(f"{quoted(c)} = {_partition_literal(row[c])}" for c in partitions)
         spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({spec})")
 
 
 def _overwrite_partitions(rows: DataFrame, table_name: str, partitions: Sequence[str]) -> None:
-    """Replace just the partitions the rows belong to.
+    """Replace just the partitions the rows belong to, which may be derived from
+    them: a dynamic overwrite swaps partitions only after all rows are written.
 
     Rebalancing gives each partition few files and splits a large one.
     """
