@@ -105,6 +105,21 @@ def test_two_partition_columns(spark, db):
     ]
 
 
+def test_partition_column_absent_from_the_source(spark, db):
+    name, schema = f"{db}.t", "k int, v string, p string"
+    insert_or_update_table(
+        frame(spark, (1, "a", "x"), (2, "b", "y"), schema=schema), name, key_columns=["k"], partition_by=["p"]
+    )
+    insert_or_update_table(frame(spark, (1, "A"), (3, "C"), schema="k int, v string"), name, key_columns=["k"])
+    assert rows(spark.table(name)) == [(1, "A", "x"), (2, "b", "y"), (3, "C", None)]
+
+
+def test_append_writes_few_files_per_partition(spark, db):
+    data = spark.range(0, 1000, 1, 8).selectExpr("id", "CAST(id % 3 AS STRING) AS p")
+    insert_or_update_table(data, f"{db}.t", append_only=True, partition_by=["p"])
+    assert len(spark.table(f"{db}.t").inputFiles()) == 3
+
+
 def test_several_source_rows_for_one_key(spark, db):
     twice = frame(spark, (1, "a", 1), (1, "b", 1), (2, "c", 1))
     with pytest.raises(ValueError, match="Several source rows"):

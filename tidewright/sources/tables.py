@@ -93,8 +93,14 @@ def append_rows(df: DataFrame, table_name: str, *, schema_evolution: bool = Fals
     """Append by column name; without evolution unknown columns are refused."""
     if schema_evolution:
         add_missing_columns_to_table(table_name, df.schema)
-    target = df.sparkSession.table(table_name)
-    merge.aligned(df, target.schema).write.insertInto(table_name)
+    rows = merge.aligned(df, df.sparkSession.table(table_name).schema)
+    _gathered(rows, _partition_columns(df.sparkSession, table_name)).write.insertInto(table_name)
+
+
+def _gathered(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of one table partition brought together, so that not every task
+    writes a file into every partition; AQE splits a large partition again."""
+    return rows.hint("rebalance", *partitions) if partitions else rows
 
 
 def overwrite_partition(df: DataFrame, table_name: str, column: str, value: str) -> None:
@@ -205,13 +211,12 @@ def _merge_into(
     incoming = merge.aligned(source, target.schema, fill_missing=False).alias("source")
     same = [F.col(f"{table_name}.{quoted(k)}") == F.col(f"source.{quoted(k)}") for k in keys]
     fixed = {k.lower() for k in keys} | set(merge.KEPT_ON_UPDATE)
-    changes = {
-        c: F.col(f"source.{quoted(c)}") for c in incoming.columns if c.lower() not in fixed
-    }
+    values = {c: F.col(f"source.{quoted(c)}") for c in incoming.columns}
+    changes = {c: v for c, v in values.items() if c.lower() not in fixed}
     writer = incoming.mergeInto(table_name, reduce(and_, same))
     if changes:
         writer = writer.whenMatched().update(changes)
-    writer = writer.whenNotMatched().insertAll()
+    writer = writer.whenNotMatched().insert(values)
     (writer.withSchemaEvolution() if evolve else writer).merge()
 
 
@@ -236,8 +241,9 @@ def _rewrite_partitions(
     """Upsert into the touched partitions only: those the source names, and
     those that hold a matched key now, which may move."""
     spark = target.sparkSession
-    merge.require_columns(source, partitions)
-    arriving = merge.aligned(source.select(*partitions), target.select(*partitions).schema)
+    have = {c.lower() for c in source.columns}
+    given = [p for p in partitions if p.lower() in have]
+    arriving = merge.aligned(source.select(*given), target.select(*partitions).schema)
     touched = arriving
     if not set(partitions) <= set(keys):
         known = merge.matched_keys(target, source, keys)
@@ -259,14 +265,12 @@ def _rewrite_partitions(
 def _overwrite_partitions(rows: DataFrame, table_name: str, partitions: Sequence[str]) -> None:
     """Replace just the partitions the rows belong to, which may be derived from
     them: a dynamic overwrite swaps partitions only after all rows are written.
-
-    Rebalancing gives each partition few files and splits a large one.
     """
     conf, setting = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
     mode = conf.get(setting)
     conf.set(setting, "dynamic")
     try:
-        rows.hint("rebalance", *partitions).write.insertInto(table_name, overwrite=True)
+        _gathered(rows, partitions).write.insertInto(table_name, overwrite=True)
     finally:
         conf.set(setting, mode)
 
