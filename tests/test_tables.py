@@ -147,7 +147,16 @@ def test_publish_keeps_the_replaced_version(spark, db):
     assert rows(spark.read.parquet(result.replaced_location)) == [(1, "a", 10)]
     assert rows(before) == [(1, "a", 10)]
     assert rows(spark.table(name)) == [(1, "z", 10)]
-    assert tables.location_of(name) != result.replaced_location
+    assert tables.table_details(name).location != result.replaced_location
+
+
+def test_table_details(spark, db):
+    spark.sql(f"CREATE TABLE {db}.t (a INT COMMENT '# odd', p DATE, `q r` STRING) USING ORC PARTITIONED BY (p, `q r`)")
+    details = tables.table_details(f"{db}.t")
+    assert (details.provider, details.partition_columns) == ("orc", ["p", "q r"])
+    assert details.location.endswith(f"{db}.db/t")
+    create_table_if_not_exists(f"{db}.u", frame(spark).schema)
+    assert tables.table_details(f"{db}.u").partition_columns == []
 
 
 def test_failed_upsert_leaves_the_table(spark, db):

@@ -94,7 +94,7 @@ def append_rows(df: DataFrame, table_name: str, *, schema_evolution: bool = Fals
     if schema_evolution:
         add_missing_columns_to_table(table_name, df.schema)
     rows = merge.aligned(df, df.sparkSession.table(table_name).schema)
-    _gathered(rows, _partition_columns(df.sparkSession, table_name)).write.insertInto(table_name)
+    _gathered(rows, table_details(table_name).partition_columns).write.insertInto(table_name)
 
 
 def _gathered(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -146,19 +146,28 @@ def insert_or_update_table(
     )
 
 
-def provider_of(table_name: str) -> str:
-    rows = SparkSession.active().sql(f"DESCRIBE TABLE EXTENDED {table_name}")
-    found = rows.where("col_name = 'Provider'").select("data_type").collect()
-    return found[0][0].lower() if found else ""
-
-
-def location_of(table_name: str) -> str:
-    rows = SparkSession.active().sql(f"DESCRIBE TABLE EXTENDED {table_name}")
-    return rows.where("col_name = 'Location'").select("data_type").collect()[0][0]
-
-
-def _partition_columns(spark: SparkSession, table_name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table_name) if c.isPartition]
+@dataclass(frozen=True)
+class TableDetails:
+    provider: str
+    location: str
+    partition_columns: list[str]
+
+
+def table_details(table_name: str) -> TableDetails:
+    """What the catalog says, read with one DESCRIBE."""
+    described = SparkSession.active().sql(f"DESCRIBE TABLE EXTENDED {table_name}").collect()
+    facts: dict[str, str] = {}
+    columns: list[str] = []
+    section = ""
+    for row in described:
+        name = row["col_name"]
+        if name.startswith("# ") and name != "# col_name":
+            section = name
+        elif section == "# Detailed Table Information":
+            facts[name] = row["data_type"]
+        elif section == "# Partition Information" and name and name != "# col_name":
+            columns.append(name)
+    return TableDetails(facts.get("Provider", "").lower(), facts.get("Location", ""), columns)
 
 
 def _upsert(
@@ -182,19 +191,17 @@ def _upsert(
 
 def _apply(source: DataFrame, table_name: str, keys: list[str], evolve: bool) -> str | None:
     """Upsert a staged source; the folder the table no longer uses, if any."""
-    spark = source.sparkSession
-    target = spark.table(table_name)
-    if provider_of(table_name) in ROW_LEVEL_PROVIDERS:
+    target, details = source.sparkSession.table(table_name), table_details(table_name)
+    if details.provider in ROW_LEVEL_PROVIDERS:
         _merge_into(source, table_name, target, keys, evolve)
         return None
     if target.isEmpty():
         append_rows(source, table_name)
         return None
-    partitions = _partition_columns(spark, table_name)
-    if partitions:
-        _rewrite_partitions(target, source, table_name, keys, partitions)
+    if details.partition_columns:
+        _rewrite_partitions(target, source, table_name, keys, details.partition_columns)
         return None
-    return _publish(merge.merged(target, source, keys), table_name)
+    return _publish(merge.merged(target, source, keys), table_name, details)
 
 
 def _refuse_repeated(source: DataFrame, keys: Sequence[str]) -> None:
@@ -220,15 +227,13 @@ def _merge_into(
     (writer.withSchemaEvolution() if evolve else writer).merge()
 
 
-def _publish(df: DataFrame, table_name: str) -> str:
+def _publish(df: DataFrame, table_name: str, details: TableDetails) -> str:
     """Write the table's next version beside the current one and switch to it."""
-    spark = df.sparkSession
-    current = location_of(table_name)
-    base = re.sub(r"__v-[0-9a-f]{32}$", "", current.rstrip("/"))
+    base = re.sub(r"__v-[0-9a-f]{32}$", "", details.location.rstrip("/"))
     folder = f"{base}__v-{uuid.uuid4().hex}"
-    df.write.format(provider_of(table_name)).save(folder)
-    spark.sql(f"ALTER TABLE {table_name} SET LOCATION {sql_text(folder)}")
-    return current
+    df.write.format(details.provider).save(folder)
+    df.sparkSession.sql(f"ALTER TABLE {table_name} SET LOCATION {sql_text(folder)}")
+    return details.location
 
 
 def _rewrite_partitions(
