@@ -1,0 +1,70 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from helpers import docs
+
+from tidewright.llm import token_files as op
+from tidewright.llm import tokens
+from tidewright.llm.queries import op5_token_ids
+
+ENCODER = tokens.encoder(tokens.default_path())
+
+
+def brute(rows):
+    out, start = [], 0
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        ids = ENCODER.tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def found(df):
+    rows = [tuple(r) for r in df.select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
+    return sorted(rows, key=lambda r: r[1])
+
+
+ROWS = [(i * 7 % 101, f"text number {i} of " + "word " * (i % 13)) for i in range(101)]
+ROWS += [(500, None), (501, ""), (502, "long text " * 4000), (None, "no id")]
+
+
+@pytest.mark.parametrize("length", [8, 2048])
+def test_round_trip(spark, length):
+    assert found(op.token_files(docs(spark, ROWS), length=length)) == brute(ROWS)
+
+
+def test_repeated_rows(spark):
+    rows = [(3, "a b"), (3, "a b"), (1, "c")]
+    assert found(op.token_files(docs(spark, rows))) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert op.token_files(docs(spark, [])).collect() == []
+
+
+def test_clashing_columns(spark):
+    df = docs(spark, ROWS).selectExpr("*", "1 AS rank", "2 AS hash", "3 AS file", "4 AS start")
+    assert found(op.token_files(df)) == brute(ROWS)
+
+
+def test_random_access_without_a_copy(tmp_path):
+    writer = op.Writer(str(tmp_path), "f.arrow", np.dtype("<u2"), 4)
+    ids = np.arange(10_000, dtype="<u2")
+    for part in np.array_split(ids, 37):
+        writer.add(part.tobytes())
+    writer.close()
+    before = pa.total_allocated_bytes()
+    reader = op.Reader(str(tmp_path), "f.arrow")
+    assert reader.ids(1000, 20).tolist() == ids[1000:1020].tolist()
+    assert pa.total_allocated_bytes() - before < 4096
+    assert reader.ids(0, 10_000).tolist() == ids.tolist()
+    assert reader.mask(9_998, 2).tolist() == [True, True]
+    for k in range(reader.file.num_record_batches):
+        assert reader.file.get_batch(k).column(0).type == pa.list_(pa.uint16(), 4)
+
+
+def test_query_on_the_whole_table(spark, table):
+    rows = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
+    assert found(op5_token_ids(spark, "/root/testdata/sf0.001")) == brute(rows)

@@ -1,0 +1,44 @@
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewright.llm import tokens
+
+ENCODER = tokens.encoder(tokens.default_path())
+
+
+def whole(text):
+    return ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def packed(text):
+    return np.frombuffer(ENCODER.packed(text.encode()), ENCODER.kind).tolist()
+
+
+TEXT = st.text(st.characters(codec="utf-8"), max_size=30) | st.text(
+    alphabet="aAbßÉéèñœİΣσ'stre.,-0 1\n\t\x1c\x85\xa0 ́ªµ<|endoftxr>", max_size=30
+)
+
+
+@settings(max_examples=600, deadline=None)
+@given(TEXT)
+def test_ids_of_words_are_those_of_the_whole_text(text):
+    assert packed(text) == whole(text)
+
+
+def test_special_and_long():
+    for text in ("a<|endoftext|>b c", "<|startoftext|>", "", " ", "x" * 5000, "don't we'll. É,", "ΣΑΣ."):
+        assert packed(text) == whole(text)
+
+
+def test_real_texts(spark, table):
+    for r in table(spark, "documents").limit(60).collect():
+        assert packed(r.text) == whole(r.text)
+
+
+def test_bounded_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 3)
+    own = tokens.Encoder(tokens.default_path())
+    text = "one two three four five one two"
+    assert np.frombuffer(own.packed(text.encode()), own.kind).tolist() == whole(text)
+    assert len(own.words) <= 3

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm.common import documents
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.token_files import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +17,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup,)}
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op5_token_ids)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
