@@ -180,6 +180,9 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         .agg(F.min(F.struct(id_order().alias("rank"), "row", "doc_id")).alias("winner"))
         .join(classes, "text_sha256")
     )
+    # Written, so that both sides of the join are plain exchanges, whose hot texts
+    # Spark can split, where the classes are too many to broadcast.
+    winners = small_side(written(winners, "winners"))
     return rows.join(winners, "text_sha256", "left").select(
         "doc_id",
         F.when(F.col("winner").isNull(), F.col("doc_id")).otherwise(F.col("winner.doc_id")).alias("keep_id"),
