@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewright.llm.common import documents
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.token_files import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,11 +19,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op5_token_ids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op5_token_ids)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
@@ -33,4 +41,26 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM d WINDOW same AS (PARTITION BY body)
     """,
+    "op2_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, p, array_to_string(words[p:p + 19], ' ') AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS p FROM d WHERE len(words) >= 20)
+        ), later AS (
+            SELECT doc_id, p FROM windows
+            QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, p) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, p + k AS p FROM later, (SELECT unnest(range(0, 20)) AS k)
+        ), words AS (
+            SELECT doc_id, generate_subscripts(words, 1) AS p, unnest(words) AS word FROM d
+        ), kept AS (
+            SELECT doc_id, count(*) FILTER (gone.p IS NOT NULL) AS n_removed,
+                   string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS body
+            FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(body, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }
