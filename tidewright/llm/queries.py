@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import documents
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.packing import pack_documents
 from tidewright.llm.substring_dedup import substring_dedup
+from tidewright.llm.token_counts import maintained_counts
 from tidewright.llm.token_files import token_files
+from tidewright.settings import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +32,15 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op5_token_ids)}
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintained_counts(documents(spark, sf_dir), fresh_folder(spark, "rollup"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op5_token_ids, op7_token_counts, op8_packing)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
