@@ -9,7 +9,7 @@ from tidewright.settings import fresh_folder
 
 # A side of a join is broadcast only when it has been counted to have at most
 # this many rows of a few numbers each; a larger one is joined by shuffle.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
