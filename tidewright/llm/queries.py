@@ -13,6 +13,7 @@ from tidewright.llm.packing import pack_documents
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.token_counts import maintained_counts
 from tidewright.llm.token_files import token_files
+from tidewright.llm.toxicity import held_out, score_documents, train
 from tidewright.settings import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op5_token_ids, op7_token_counts, op8_packing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_documents(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_clauses", "top_clause"
+    )
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op5_token_ids, op7_token_counts, op8_packing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
