@@ -8,13 +8,16 @@ library's own encoding of whole texts.
 
 from __future__ import annotations
 
+import string
+from array import array
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-# Words whose ids a task keeps; beyond that it forgets them all and starts anew.
-KEPT_WORDS = 250_000
+# Words whose ids a worker keeps; beyond that it forgets them all and starts anew.
+# A word takes about 200 bytes.
+KEPT_WORDS = 600_000
 
 # The 256 characters that stand for bytes in byte-level vocabularies.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -50,27 +53,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.words = _Known(self._word)
         self.letters = _Known(self._letters)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return array(self.code, ids).tobytes()
 
     def _letters(self, word: str) -> bytes:
         return self._packed([t.id for t in self.model.tokenize("".join(map(_BYTE_CHARS.get, word.encode())))])
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        body = text[:-1] if text[-1] in ".," else text
-        # A run of Latin-1 letters is one piece; lower-casing it is all there is to do.
+        body = text.rstrip(string.punctuation)
+        # A run of Latin-1 letters is one piece, which only has to be lower-cased, and
+        # the marks behind it are another.
         if body.isalpha() and max(body) < "Ā":
             ids = self.letters[body.lower()]
-            return ids if len(body) == len(text) else ids + self._mark(text[-1])
+            return ids if len(body) == len(text) else ids + self._marks(text[len(body) :])
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    @lru_cache(maxsize=8)  # noqa: B019 - an encoder lives as long as its process
-    def _mark(self, mark: str) -> bytes:
-        return self._packed(self.tokenizer.encode(mark, add_special_tokens=False).ids)
+    @lru_cache(maxsize=4096)  # noqa: B019 - an encoder lives as long as its process
+    def _marks(self, marks: str) -> bytes:
+        return self._packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
 
     def packed(self, text: bytes) -> bytes:
         """The ids of a text, as little-endian integers of ``kind``."""
