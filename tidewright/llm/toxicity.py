@@ -48,6 +48,7 @@ LEAST_WEIGHT = 2.5  # log-odds of a learned entry
 LEAST_SHARE, LEAST_TEXTS = 0.01, 3  # of the toxic texts, for a learned entry
 # Log-likelihood ratio a learned entry needs: chance among a million keys gives less.
 EVIDENCE = 14.0
+TIMES = 5  # occurrences in a text that count at most
 KEPT_WORDS = 300_000
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -207,32 +208,45 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        texts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        times: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for text, toxic in zip(binary(batch.column("text")), batch.column("toxic")):
-            words = {bare(w.decode("utf-8", "replace")) for w in set(text.as_py().split())} - {""}
-            counts[toxic.as_py()].update({k for w in words for k in keys(w)})
-        both = list(counts[1])  # keys of clean texts alone are never learned
+            words = Counter(bare(w.decode("utf-8", "replace")) for w in text.as_py().split())
+            found = Counter()
+            for word, n in words.items():
+                for k in keys(word) if word else ():
+                    found[k] += n
+            texts[toxic.as_py()].update(found.keys())
+            # A text that repeats a word without end counts as a few of it.
+            times[toxic.as_py()].update({k: min(n, TIMES) for k, n in found.items()})
+        both = list(texts[1])  # keys of clean texts alone are never learned
         yield pa.RecordBatch.from_arrays(
-            [pa.array(both, pa.string()), pa.array([counts[1][k] for k in both], pa.int64()), pa.array([counts[0][k] for k in both], pa.int64())],
-            ["key", "toxic", "clean"],
+            [pa.array(both, pa.string())]
+            + [pa.array([c[v][k] for k in both], pa.int64()) for c in (texts, times) for v in (1, 0)],
+            ["key", "toxic", "clean", "toxic_times", "clean_times"],
         )
 
 
-def _context_counts(wanted: dict[str, int]):
+def _contexts(wanted: set[str]):
+    """(key, the words around it) in toxic texts, and each key's clean counts."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean, contexts = Counter(), set()
+            clean, times, contexts = Counter(), Counter(), set()
             for text, toxic in zip(binary(batch.column("text")), batch.column("toxic")):
                 words = [bare(w.decode("utf-8", "replace")) for w in text.as_py().split()]
-                if not toxic.as_py():
-                    clean.update({k for w in set(words) for k in keys(w) if k in wanted})
-                    continue
-                for before, word, after in zip([""] + words, words, words[1:] + [""]):
-                    contexts.update((k, f"{before} {after}") for k in keys(word) if k in wanted)
-            rows = [(k, c, 0) for k, c in contexts] + [(k, None, n) for k, n in clean.items()]
+                if toxic.as_py():
+                    for before, word, after in zip([""] + words, words, words[1:] + [""]):
+                        contexts.update((k, f"{before} {after}") for k in keys(word) if k in wanted)
+                else:
+                    found = Counter(k for w in words for k in keys(w) if k in wanted)
+                    clean.update(found.keys())
+                    times.update({k: min(n, TIMES) for k, n in found.items()})
+            rows = [(k, c, 0, 0) for k, c in contexts] + [(k, None, n, times[k]) for k, n in clean.items()]
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
-                ["key", "context", "clean"],
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                ["key", "context", "clean", "clean_times"],
             )
 
     return count
@@ -281,12 +295,16 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     if len(sizes) < 2:
         return DEFAULT
     least = max(LEAST_TEXTS, LEAST_SHARE * sizes[1])
-    odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
-    # Keys that are frequent in toxic texts; the most telling ones, of bounded number.
+    share = sizes[1] / (sizes[0] + sizes[1])
+    # Keys that are frequent in toxic texts, by how much more often they occur there
+    # than in clean ones; the most telling ones, of bounded number.
+    odds = F.log((F.col("toxic_times") + 0.5) / sizes[1]) - F.log((F.col("clean_times") + 0.5) / sizes[0])
     counted = (
-        sample.mapInArrow(_key_counts, "key string, toxic bigint, clean bigint")
+        sample.mapInArrow(
+            _key_counts, "key string, toxic bigint, clean bigint, toxic_times bigint, clean_times bigint"
+        )
         .groupBy("key")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_times", "clean_times")))
         .where(F.col("toxic") >= least)
         .withColumn("weight", odds)
         .where(F.col("weight") >= LEAST_WEIGHT)
@@ -294,21 +312,26 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         .limit(LEXICON)
         .collect()
     )
-    toxic = {r.key: r.toxic for r in counted}
-    # A key counts only as often as it stands between different words: what comes
-    # from copies of one text does not. Its clean texts are counted in full.
+    toxic = {r.key: r for r in counted}
+    # A key must stand between different words: what comes from copies of one text
+    # does not. Its clean texts are now counted in full.
     seen = (
-        sample.mapInArrow(_context_counts(toxic), "key string, context string, clean bigint")
+        sample.mapInArrow(_contexts(set(toxic)), "key string, context string, clean bigint, clean_times bigint")
         .groupBy("key")
-        .agg(F.countDistinct("context").alias("contexts"), F.sum("clean").alias("clean"))
+        .agg(
+            F.countDistinct("context").alias("contexts"),
+            F.sum("clean").alias("clean"),
+            F.sum("clean_times").alias("clean_times"),
+        )
         .collect()
     )
     found = {}
     for r in seen:
-        weight = math.log((toxic[r.key] + 0.5) / (sizes[1] + 1)) - math.log((r.clean + 0.5) / (sizes[0] + 1))
-        telling = evidence(toxic[r.key], r.clean, sizes[1] / (sizes[0] + sizes[1])) >= EVIDENCE
-        if telling and r.contexts >= 0.5 * toxic[r.key] and weight >= LEAST_WEIGHT:
-            found[r.key] = (toxic[r.key], min(weight, 8.0))
+        texts = toxic[r.key].toxic
+        weight = math.log((toxic[r.key].toxic_times + 0.5) / sizes[1]) - math.log((r.clean_times + 0.5) / sizes[0])
+        telling = evidence(texts, r.clean, share) >= EVIDENCE and weight >= LEAST_WEIGHT
+        if telling and r.contexts >= 0.5 * texts:
+            found[r.key] = (texts, min(weight, 8.0))
     model = Model(_narrowed(found), DEFAULT.weights)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
