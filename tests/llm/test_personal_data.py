@@ -1,0 +1,115 @@
+import hashlib
+import re
+import time
+
+import numpy as np
+from helpers import docs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewright.llm import personal_data as op
+from tidewright.llm.queries import op4_personal_data
+
+PATTERNS = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def brute_luhn(digits):
+    doubled = [int(d) * (1 + k % 2) for k, d in enumerate(digits[::-1])]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+def brute(text):
+    out = []
+    for kind, pattern in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (
+                kind == 0
+                or (kind == 1 and all(int(p) <= 255 for p in m[0].split(".")))
+                or (kind == 2 and 13 <= len(digits) <= 19 and brute_luhn(digits))
+                or (kind == 3 and 9 <= len(digits) <= 15)
+            ):
+                out.append((kind, *m.span()))
+    return out
+
+
+@settings(max_examples=1500, deadline=None)
+@given(
+    st.text(alphabet="aZ9.@-+_% 1205()é\n", max_size=40)
+    | st.text(alphabet="0123456789 -.+", max_size=60)
+    | st.text(alphabet="a.@-+1", max_size=20)
+)
+def test_patterns(text):
+    assert op.base_spans(text) == brute(text)
+
+
+def test_patterns_in_context():
+    text = "é a.b+c@x-1.example.com, 4929348385146306; 4929 3483-8514 6306; 255.1.2.3.4.5.6.7 256.1.1.1 +1 (017) 555-7713."
+    assert op.base_spans(text) == brute(text) and {s[0] for s in op.base_spans(text)} == {0, 1, 2, 3}
+
+
+def test_long_texts_take_linear_time():
+    start = time.time()
+    for text in ("a" * 1_000_000 + "@", "1" * 1_000_000, "+" * 300_000 + "1", "a@" * 300_000, "1." * 300_000, "1-" * 300_000):
+        op.base_spans(text)
+    assert time.time() - start < 20
+
+
+def rows_of(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_repeats_of_an_entity_are_added(spark):
+    text = "call +1 (017) 555-7713 now and " + "word " * 300 + "again 555-7713, please. order 123-4567 and page 12"
+    mail = "write to jane.doe77@mail.example.com or " + "word " * 50 + "jane.doe77 as said"
+    plain = [(100 + i, f"page {i} of 12 with 555-0000{i} and +1 (555) 555-12{i:02d}") for i in range(30)]
+    out = rows_of(op.find_personal_data(docs(spark, [(1, text), (2, mail), (3, "555-7713 alone")] + plain)))
+    a = text.index("555-7713,")
+    assert f"phone:{a}:{a + 8}" in out[1].spans.split(",") and out[1].n_added == 1
+    assert out[1].spans.split(",")[0] == out[1].base_spans
+    b = mail.index("jane.doe77 as")
+    assert f"email:{b}:{b + 10}" in out[2].spans.split(",")
+    assert out[3].spans == "" and out[3].n_phone == 0
+
+
+def test_messages_agree_with_exact_marginals_on_a_tree():
+    field = op.Field({"99": [1, 5, 2, 9, 3]}, np.arange(25.0).reshape(5, 5), np.eye(5) * 9)
+    tokens = op.Tokens("55 66 x 77 88", [(2, 0, 2)])
+    edges = [(0, 1, False), (0, 2, True), (2, 3, False)]
+    own = np.array([field.own["99"]] * 4)
+    own[0, 2] += op.EVIDENCE
+    joint = np.zeros((5,) * 4)
+    for y in np.ndindex(*joint.shape):
+        joint[y] = sum(own[i, k] for i, k in enumerate(y)) + field.chain[y[0], y[1]] + field.skip[y[0], y[2]] + field.chain[y[2], y[3]]
+    joint = np.exp(joint - joint.max())
+    joint /= joint.sum()
+    exact = np.array([joint.sum(axis=tuple(j for j in range(4) if j != i)) for i in range(4)])
+    assert np.allclose(field.marginals(tokens, [0, 1, 2, 3], edges), exact, atol=1e-3)
+
+
+def test_cases(spark):
+    rows = [(1, None), (2, ""), (None, "a@b.cd"), (4, "x" * 200_000 + " a@b.cd"), (5, "10.0.0.1"), (5, "10.0.0.1")]
+    df = docs(spark, rows).selectExpr("*", "1 AS spans", "2 AS shape", "3 AS n_email")
+    out = op.find_personal_data(df).collect()
+    expected = sorted((str(i), op.as_text(brute(t or ""))) for i, t in rows)
+    assert sorted((str(r.doc_id), r.base_spans) for r in out) == expected
+    assert op.find_personal_data(docs(spark, [])).collect() == []
+
+
+def test_masked():
+    assert op.masked("x 1.2.3.4 y", [(1, 2, 9)]) == "x [IP] y"
+    assert op.masked("abcdef", [(0, 1, 4), (2, 2, 5)]) == "a[EMAIL]f"
+
+
+def test_query_on_the_whole_table(spark, table):
+    out = rows_of(op4_personal_data(spark, "/root/testdata/sf0.001"))
+    for r in table(spark, "documents").collect():
+        spans, got = brute(r.text), out[r.doc_id]
+        assert got.base_sha256 == hashlib.sha256(op.as_text(spans).encode()).hexdigest()
+        assert [got[f"n_{k}"] for k in op.KINDS] == [sum(s[0] == n for s in spans) for n in range(4)]
+        assert set(filter(None, op.as_text(spans).split(","))) <= set(got.spans.split(","))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewright.llm.common import documents
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.packing import pack_documents
+from tidewright.llm.personal_data import digest, find_personal_data
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.token_counts import maintained_counts
 from tidewright.llm.token_files import token_files
@@ -29,6 +30,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_personal_data(documents(spark, sf_dir)))
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
@@ -49,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op5_token_ids, op7_token_counts, op8_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op4_personal_data, op5_token_ids, op7_token_counts, op8_packing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
