@@ -17,32 +17,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import id_and_text
-from tidewright.llm.text import slice_of, split_by
+from tidewright.llm.text import mixed, slice_of, split_by
 
 OPEN, KNOWN = 0, 1
 # Bytes of texts in a block.
 BLOCK = 8 << 20
 
 ROWS = "slice int, kind int, hashes binary, places binary, runs binary, ranks binary, tags binary"
+BLOCKS = "bucket int, places binary, runs binary, ranks binary, tags binary"
 PLACES = "rank bigint, tag bigint, places binary"
 _SCHEMA = pa.schema(
     [("slice", pa.int32()), ("kind", pa.int32())]
     + [(c, pa.binary()) for c in ("hashes", "places", "runs", "ranks", "tags")]
 )
+_BLOCKS = pa.schema(
+    [("bucket", pa.int32())] + [(c, pa.binary()) for c in ("places", "runs", "ranks", "tags")]
+)
 _NULL_ID = 1 << 31
 
 
 def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """doc_id, text, and the key (rank, tag) of each row. The tag's top bit marks
     a null id, whose rank is a hash of the text."""
-    null = F.col("doc_id").isNull()
-    tag: Column = F.xxhash64("text", F.lit(1)).bitwiseAND(F.lit(_NULL_ID - 1))
-    return id_and_text(docs, id_column, text_column).select(
-        "doc_id",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("doc_id", F.xxhash64("text")).alias("rank"),
-        F.when(null, tag.bitwiseOR(F.lit(_NULL_ID))).otherwise(tag).alias("tag"),
-    )
+    source = id_and_text(docs, id_column, text_column).withColumn("text", F.coalesce("text", F.lit("")))
+    rank, tag = row_key(F.col("doc_id"), F.col("text"))
+    return source.select("doc_id", "text", rank.alias("rank"), tag.alias("tag"))
+
+
+def row_key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """The key of a row with this id and text (not null)."""
+    tag = F.xxhash64(text, F.lit(1)).bitwiseAND(F.lit(_NULL_ID - 1))
+    marked = F.when(doc_id.isNull(), tag.bitwiseOR(F.lit(_NULL_ID))).otherwise(tag)
+    return F.coalesce(doc_id, F.xxhash64(text)), marked
 
 
 def pack(n, kind, hashes, texts, places, ranks, tags, *, by=None) -> Iterator[pa.RecordBatch]:
@@ -75,14 +81,15 @@ class Occurrences:
     def __init__(self, table: pa.Table):
         read = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
         runs = read("runs", np.uint32)
-        self.hashes = read("hashes", np.uint64)
+        self.hashes = read("hashes", np.uint64) if "hashes" in table.column_names else None
         self.places = read("places", np.uint32)
         self.ranks = np.repeat(read("ranks", np.int64), runs)
         self.tags = np.repeat(read("tags", np.uint32), runs)
 
     def take(self, rows: np.ndarray) -> Occurrences:
         for c in ("hashes", "places", "ranks", "tags"):
-            setattr(self, c, getattr(self, c)[rows])
+            if getattr(self, c) is not None:
+                setattr(self, c, getattr(self, c)[rows])
         return self
 
     def repeated(self) -> Occurrences:
@@ -106,45 +113,73 @@ class Occurrences:
         )
         return self.take(np.flatnonzero(~same))
 
-    def by_text(self) -> pa.Table:
-        """(rank, tag, places) of each text."""
+    def by_text(self) -> np.ndarray:
+        """Sorts by text and place; where each text begins."""
         self.take(np.lexsort((self.places, self.tags, self.ranks)))
-        n = len(self.ranks)
         change = (self.ranks[1:] != self.ranks[:-1]) | (self.tags[1:] != self.tags[:-1])
-        heads = np.flatnonzero(np.append(True, change)[:n])
-        offsets = (np.append(heads, n) * 4).astype(np.int32)
+        return np.flatnonzero(np.append(True, change)[: len(self.ranks)])
+
+    def blocks(self, n: int) -> pa.Table:
+        """A row for each of ``n`` buckets of texts."""
+        heads = self.by_text()
+        runs = np.diff(np.append(heads, len(self.ranks)))
+        bucket = bucket_of(self.ranks[heads], self.tags[heads], n)
+        order, bounds = split_by(np.repeat(bucket, runs), n)
+        texts, text_bounds = split_by(bucket, n)
+        rows = []
+        for k in np.flatnonzero(np.diff(bounds)):
+            some, of = order[bounds[k] : bounds[k + 1]], texts[text_bounds[k] : text_bounds[k + 1]]
+            rows.append(
+                {
+                    "bucket": int(k),
+                    "places": self.places[some].tobytes(),
+                    "runs": runs[of].astype(np.uint32).tobytes(),
+                    "ranks": self.ranks[heads[of]].tobytes(),
+                    "tags": self.tags[heads[of]].tobytes(),
+                }
+            )
+        return pa.Table.from_pylist(rows, _BLOCKS)
+
+    def texts(self) -> pa.Table:
+        """A row for each text: rank, tag, places."""
+        heads = self.by_text()
+        offsets = (np.append(heads, len(self.ranks)) * 4).astype(np.int64)
         data = np.ascontiguousarray(self.places)
         places = pa.Array.from_buffers(
-            pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+            pa.large_binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         )
         return pa.table(
             {
                 "rank": pa.array(self.ranks[heads], pa.int64()),
                 "tag": pa.array(self.tags[heads].astype(np.int64), pa.int64()),
-                "places": places,
+                "places": places.cast(pa.binary()),
             }
         )
 
 
-def decided(rows: DataFrame, choose) -> DataFrame:
-    """Per text the places that ``choose`` keeps of each slice's open
-    occurrences, and the known ones: rank, tag, places (a list of blocks)."""
+def bucket_of(ranks: np.ndarray, tags: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of texts, by a hash of their keys."""
+    return slice_of(mixed(ranks.view(np.uint64) ^ (tags.astype(np.uint64) << np.uint64(32))), n)
+
+
+def decided(rows: DataFrame, choose, n: int) -> DataFrame:
+    """Per text (rank, tag) the places that ``choose`` keeps of each slice's open
+    occurrences, and the known ones. Blocks of texts are dealt to ``n`` buckets."""
 
     def reduce(table: pa.Table) -> pa.Table:
         kinds = table.column("kind").to_numpy()
-        parts = [choose(Occurrences(table.filter(pa.array(kinds == OPEN)))).by_text()]
+        parts = [choose(Occurrences(table.filter(pa.array(kinds == OPEN)))).blocks(n)]
         if (kinds == KNOWN).any():
-            parts.append(Occurrences(table.filter(pa.array(kinds == KNOWN))).by_text())
+            parts.append(Occurrences(table.filter(pa.array(kinds == KNOWN))).blocks(n))
         return pa.concat_tables(parts)
 
-    return (
-        rows.groupBy("slice")
-        .applyInArrow(reduce, PLACES)
-        .groupBy("rank", "tag")
-        .agg(F.collect_list("places").alias("places"))
-    )
+    def gather(table: pa.Table) -> pa.Table:
+        return Occurrences(table).texts()
+
+    blocks = rows.groupBy("slice").applyInArrow(reduce, BLOCKS)
+    return blocks.groupBy("bucket").applyInArrow(gather, PLACES)
 
 
-def places_of(blocks) -> np.ndarray:
-    """The sorted places in a list of blocks."""
-    return np.unique(np.frombuffer(b"".join(blocks), np.uint32)).astype(np.int64)
+def places_of(places: bytes | None) -> np.ndarray:
+    """The sorted places of a text."""
+    return np.unique(np.frombuffer(places or b"", np.uint32)).astype(np.int64)

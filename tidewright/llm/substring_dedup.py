@@ -118,11 +118,9 @@ def _remove(window: int):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, removed, intervals = [], [], [], []
-            for text, blocks in zip(batch.column("text"), batch.column("places")):
-                words = text.as_py().encode().split()
-                blocks, spans = blocks.as_py(), []
-                if blocks:
-                    starts = places_of(blocks)
+            for text, places in zip(batch.column("text"), batch.column("places")):
+                words, starts, spans = text.as_py().encode().split(), places_of(places.as_py()), []
+                if len(starts):
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, starts, 1)
                     np.add.at(change, starts + window, -1)
@@ -164,9 +162,9 @@ def substring_dedup(
     source = keyed(docs, id_column, text_column)
     # The texts are dealt by their keys once; both joins read the same exchange.
     placed = source.repartition("rank", "tag")
-    repeated = decided(source.mapInArrow(_anchors(n, window, gram), ROWS), Occurrences.repeated)
+    repeated = decided(source.mapInArrow(_anchors(n, window, gram), ROWS), Occurrences.repeated, n)
     again = placed.join(repeated, ["rank", "tag"]).mapInArrow(_open_windows(n, window, gram), ROWS)
-    later = decided(again, Occurrences.not_first)
+    later = decided(again, Occurrences.not_first, n)
     marked = placed.join(later, ["rank", "tag"], "left")
     return marked.select("doc_id", "text", "places").mapInArrow(_remove(window), RESULT)
 
