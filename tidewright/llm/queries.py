@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm.common import documents
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.ngram_join import ngram_components
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.personal_data import digest, find_personal_data
 from tidewright.llm.substring_dedup import substring_dedup
@@ -38,6 +39,10 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintained_counts(documents(spark, sf_dir), fresh_folder(spark, "rollup"))
 
@@ -54,7 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op4_personal_data, op5_token_ids, op7_token_counts, op8_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op4_personal_data, op5_token_ids, op6_ngram_jaccard, op7_token_counts, op8_packing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
