@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import documents
+from tidewright.llm.decontamination import contamination
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.ngram_join import ngram_components
 from tidewright.llm.packing import pack_documents
@@ -31,6 +32,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "contaminated", "coverage", "item_id", "n_tiles")
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_personal_data(documents(spark, sf_dir)))
 
@@ -59,7 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op4_personal_data, op5_token_ids, op6_ngram_jaccard, op7_token_counts, op8_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids, op6_ngram_jaccard, op7_token_counts, op8_packing, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
