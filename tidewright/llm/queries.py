@@ -13,6 +13,7 @@ from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.ngram_join import ngram_components
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.personal_data import digest, find_personal_data
+from tidewright.llm.quality import classify
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.token_counts import maintained_counts
 from tidewright.llm.token_files import token_files
@@ -57,6 +58,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -65,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids, op6_ngram_jaccard, op7_token_counts, op8_packing, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids, op6_ngram_jaccard, op7_token_counts, op8_packing, op9_quality, op10_toxicity)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
