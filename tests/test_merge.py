@@ -102,8 +102,9 @@ def test_hot_key_is_split_and_keys_fold_before_the_shuffle(spark, tmp_path):
 def test_dedup(spark):
     frame = spark.createDataFrame([(1, 3, "a"), (1, 5, "b"), (2, None, "c"), (2, 1, "d"), (None, 1, "e"), (None, 2, "f")], "k int, o int, v string")
     latest = dedup.dedup_latest(frame, ["k"], [F.desc("o"), F.asc("v")])
-    assert rows(latest) == [(1, 5, "b"), (2, 1, "d"), (None, 2, "f")]
-    assert rows(dedup.dedup_keys(frame, ["k"]).select("k")) == [(1,), (2,), (None,)]
+    # A NULL key matches nothing, so both of its rows stay.
+    assert rows(latest) == [(1, 5, "b"), (2, 1, "d"), (None, 1, "e"), (None, 2, "f")]
+    assert rows(dedup.dedup_keys(frame, ["k"]).select("k")) == [(1,), (2,), (None,), (None,)]
     for function in (lambda: dedup.dedup_keys(frame, []), lambda: dedup.dedup_latest(frame, [], [])):
         with pytest.raises(ValueError):
             function()

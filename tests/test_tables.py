@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewright import (
+    ColumnDefinition,
     TableCreationError,
+    TableDefinition,
     add_missing_columns_to_table,
     create_table_if_not_exists,
     insert_or_update_process_table,
@@ -90,6 +92,58 @@ def test_upsert_into_emptied_and_untouched_partitions(spark, db):
     assert parts == {"v=new", "v=b", "v=c%2Fd"}
 
 
+def test_table_options_survive_an_upsert(spark, db):
+    name = f"{db}.t"
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING) USING csv OPTIONS (sep '|', header 'true')")
+    insert_or_update_table(frame(spark, (1, "a"), (2, "b"), schema="k int, v string"), name, append_only=True)
+    for _ in range(2):
+        insert_or_update_table(frame(spark, (2, "z"), schema="k int, v string"), name, key_columns=["k"])
+        assert rows(spark.table(name)) == [(1, "a"), (2, "z")]
+    spark.sql(f"CREATE TABLE {db}.u (k INT, v STRING) USING parquet OPTIONS (compression 'zstd')")
+    insert_or_update_table(frame(spark, (1, "a"), schema="k int, v string"), f"{db}.u", append_only=True)
+    insert_or_update_table(frame(spark, (1, "b"), schema="k int, v string"), f"{db}.u", key_columns=["k"])
+    assert all("zstd" in f for f in spark.table(f"{db}.u").inputFiles())
+    assert not [t.name for t in spark.catalog.listTables(db) if "next_version" in t.name]
+
+
+def test_thousands_of_touched_partitions_make_a_shallow_predicate(spark):
+    from pyspark.sql import Row
+
+    day = Row("y", "m", "d")
+    values = [day(y, m, d) for y in range(2000, 2028) for m in range(1, 13) for d in range(1, 31)]
+    values += [day(None, 1, 1), day(2000, None, 1), day(2000, 1, None)]
+    frame_ = spark.createDataFrame([(2001, 5, 6), (1999, 1, 1), (None, 1, 1), (2000, 1, None), (2001, None, 1)], "y int, m int, d int")
+    assert rows(frame_.where(tables._in_partitions(values))) == sorted([(2001, 5, 6), (None, 1, 1), (2000, 1, None)], key=repr)
+
+
+def test_null_keys_survive_de_duplication(spark, db):
+    twice = frame(spark, (None, "a", 1), (None, "a", 1), (1, "b", 1), (1, "b", 2))
+    insert_or_update_table(twice, f"{db}.t", key_columns=["k"], force_remove_duplicates=True, order_by=[F.desc("created_at")])
+    assert rows(spark.table(f"{db}.t").select("k", "created_at")) == sorted([(None, 1), (None, 1), (1, 2)], key=repr)
+
+
+def test_gate(spark, db):
+    rules = TableDefinition(f"{db}.t", [ColumnDefinition("k", "int", False), ColumnDefinition("v", "string")])
+    insert_or_update_table(frame(spark, (1, "a", 1)), f"{db}.t", append_only=True, gate=rules)
+    for bad, why in [
+        (frame(spark, (None, "a", 1)), "k_not_null: 1 rows"),
+        (frame(spark, (1,), schema="k int"), "missing"),
+        (frame(spark, ("1", "a"), schema="k string, v string"), "k is string"),
+    ]:
+        with pytest.raises(ValueError, match=why):
+            insert_or_update_table(bad, f"{db}.t", append_only=True, gate=rules)
+    assert spark.table(f"{db}.t").count() == 1
+
+
+def test_an_upsert_rewrites_one_partition(spark, db):
+    data = spark.range(100).selectExpr("id AS k", "id % 10 AS p", "'a' AS v")
+    insert_or_update_table(data, f"{db}.t", append_only=True, partition_by=["p"])
+    before = set(spark.table(f"{db}.t").inputFiles())
+    insert_or_update_table(data.where("k = 13").withColumn("v", F.lit("z")), f"{db}.t", key_columns=["k"])
+    gone = before - set(spark.table(f"{db}.t").inputFiles())
+    assert gone and all("p=3" in f for f in gone)
+
+
 def test_two_partition_columns(spark, db):
     name, schema = f"{db}.t", "k int, v string, p int, q string"
     insert_or_update_table(

@@ -91,7 +91,8 @@ class ColumnDefinition:
         if self.max_value is not None:
             checks.append(self.value > self.max_value)
         if self.custom_condition:
-            checks.append(~F.coalesce(F.expr(self.custom_condition), F.lit(False)))
+            custom = F.expr(self.custom_condition)
+            checks += [custom.isNull(), ~custom]
         return reduce(or_, checks)
 
     def get_validation_expr(self) -> Column | None:
@@ -160,6 +161,14 @@ class TableDefinition:
     def reject_violations(self, df: DataFrame) -> None:
         quality.reject_violations(df, self.columns)
 
+    def reject(self, df: DataFrame) -> None:
+        """Gate before a write: raise where rows lack or mistype a defined column,
+        or violate a constraint. Reads no data for the former, once for the latter."""
+        report = self.compare_schema(df, include_audit=False)
+        if report["missing_in_source"] or report["type_mismatches"]:
+            raise ValueError(f"Rows do not fit {self.table_name}: {report}")
+        self.reject_violations(df)
+
     # Drift
 
     def compare_schema(self, df: DataFrame, *, include_audit: bool = True) -> dict[str, list[str]]:

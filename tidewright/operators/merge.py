@@ -49,6 +49,11 @@ def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return _keys_only(target, keys).distinct().join(_keys_only(source, keys), list(keys), "left_semi")
 
 
+def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target rows whose key the source holds; the target is read once."""
+    return target.join(_keys_only(source, keys), list(keys), "left_semi")
+
+
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows after the upsert, in the target's schema.
 

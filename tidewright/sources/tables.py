@@ -18,7 +18,8 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,24 +27,18 @@ from pyspark.sql.types import StructType
 
 from tidewright.operators import merge
 from tidewright.operators.ddl import create_table_text
-from tidewright.operators.dedup import dedup_keys
+from tidewright.operators.dedup import dedup_keys, dedup_latest
 from tidewright.settings import quoted, scratch_folder, sql_text
 
+if TYPE_CHECKING:
+    from tidewright.operators.definition import TableDefinition
+
 # Providers whose tables take MERGE.
 ROW_LEVEL_PROVIDERS = ("delta", "iceberg", "hudi", "paimon")
 
 
 class TableCreationError(Exception):
-    """A table could not be created."""
-
-    def __init__(self, message: str, expected_schema: str | None = None, actual_schema: str | None = None):
-        super().__init__(message)
-        self.message = message
-        self.expected_schema = expected_schema
-        self.actual_schema = actual_schema
-
-    def __str__(self) -> str:
-        return f"{self.message} [expected: {self.expected_schema}] [actual: {self.actual_schema}]"
+    """The catalog refused a new table; the cause says why."""
 
 
 @dataclass(frozen=True)
@@ -67,9 +62,7 @@ def create_table_if_not_exists(
     try:
         spark.sql(create_table_text(table_name, schema, table_format, partition_by=partition_by))
     except Exception as e:
-        raise TableCreationError(
-            f"Failed to create table '{table_name}'", schema.simpleString(), str(e)
-        ) from e
+        raise TableCreationError(f"No table {table_name} with columns {schema.simpleString()}: {e}") from e
     return True
 
 
@@ -127,16 +120,22 @@ def insert_or_update_table(
     schema_evolution: bool = False,
     append_only: bool = False,
     partition_by: Sequence[str] = (),
+    order_by: Sequence[Column] = (),
+    gate: TableDefinition | None = None,
 ) -> UpsertResult | None:
     """Append to, or upsert by key into, a table that is created when absent.
 
     Several source rows of one key are refused, unless
-    ``force_remove_duplicates`` keeps an arbitrary one.
+    ``force_remove_duplicates`` keeps one of them: the first by ``order_by``, or
+    an arbitrary one. With a ``gate`` nothing is written when the rows lack or
+    mistype a column of the definition or violate its constraints.
     """
     if not key_columns and (force_remove_duplicates or not append_only):
         raise ValueError("key_columns are required, except for a plain append.")
     if force_remove_duplicates:
-        df = dedup_keys(df, key_columns)
+        df = dedup_latest(df, key_columns, order_by) if order_by else dedup_keys(df, key_columns)
+    if gate is not None:
+        gate.reject(df)
     create_table_if_not_exists(table_name, df.schema, partition_by=partition_by)
     if append_only:
         append_rows(df, table_name, schema_evolution=schema_evolution)
@@ -228,14 +227,30 @@ def _merge_into(
 
 
 def _publish(df: DataFrame, table_name: str, details: TableDetails) -> str:
-    """Write the table's next version beside the current one and switch to it."""
+    """Write the table's next version beside the current one and switch to it.
+
+    The version is written through a table made like this one, so that it has
+    the same storage options (a csv separator, a compression codec).
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
     base = re.sub(r"__v-[0-9a-f]{32}$", "", details.location.rstrip("/"))
-    folder = f"{base}__v-{uuid.uuid4().hex}"
-    df.write.format(details.provider).save(folder)
-    df.sparkSession.sql(f"ALTER TABLE {table_name} SET LOCATION {sql_text(folder)}")
+    folder, like = f"{base}__v-{version}", f"{_database_of(table_name)}next_version_{version}"
+    spark.sql(f"CREATE TABLE {like} LIKE {table_name} LOCATION {sql_text(folder)}")
+    try:
+        df.write.insertInto(like)
+    finally:
+        # An external table: its files stay.
+        spark.sql(f"DROP TABLE {like}")
+    spark.sql(f"ALTER TABLE {table_name} SET LOCATION {sql_text(folder)}")
+    spark.catalog.refreshTable(table_name)
     return details.location
 
 
+def _database_of(table_name: str) -> str:
+    """What stands before the last part of a table's name, with its dot."""
+    return re.match(r"((?:(?:`(?:[^`]|``)*`|[^.`]+)\.)*)", table_name)[1]
+
+
 def _rewrite_partitions(
     target: DataFrame,
     source: DataFrame,
@@ -251,18 +266,17 @@ def _rewrite_partitions(
     arriving = merge.aligned(source.select(*given), target.select(*partitions).schema)
     touched = arriving
     if not set(partitions) <= set(keys):
-        known = merge.matched_keys(target, source, keys)
-        leaving = target.join(known, list(keys), "left_semi").select(*partitions)
-        touched = arriving.unionByName(leaving)
+        touched = arriving.unionByName(merge.matched_rows(target, source, keys).select(*partitions))
     # One row per touched partition, as many as the catalog tracks.
     values = touched.distinct().collect()
     after = merge.merged(target.where(_in_partitions(values)), source, keys)
-    emptied = set()
-    if touched is not arriving:
-        # A dynamic overwrite leaves a partition alone when no row is left for it.
-        emptied = set(values) - set(after.select(*partitions).distinct().collect())
+    # A dynamic overwrite leaves a partition alone when no row is left for it, so
+    # the write itself notes which partitions it had rows for.
+    filled = Observation()
+    named = F.struct(*[F.col(quoted(p)) for p in partitions])
+    after = after.observe(filled, F.collect_set(named).alias("partitions"))
     _overwrite_partitions(after, table_name, partitions)
-    for row in emptied:
+    for row in set(values) - {tuple(r) for r in filled.get["partitions"] or ()}:
         spec = ", ".join(f"{quoted(c)} = {_partition_literal(row[c])}" for c in partitions)
         spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({spec})")
 
@@ -281,17 +295,29 @@ def _overwrite_partitions(rows: DataFrame, table_name: str, partitions: Sequence
 
 
 def _in_partitions(values: Sequence[Row]) -> Column:
-    """A predicate on partition columns alone, so that the scan is pruned."""
-    names = values[0].__fields__
+    """A predicate on partition columns alone, so that the scan is pruned: the
+    values of the last column as a list for each of the columns before it."""
+    return _in_tuples(values[0].__fields__, [tuple(r) for r in values])
+
+
+def _in_tuples(names: Sequence[str], tuples: Sequence[tuple]) -> Column:
+    column = F.col(quoted(names[0]))
     if len(names) == 1:
-        column = F.col(quoted(names[0]))
-        listed = [r[0] for r in values if r[0] is not None]
-        inside = column.isin(listed)
-        return inside if len(listed) == len(values) else inside | column.isNull()
-    tests = [
-        reduce(and_, [F.col(quoted(n)).eqNullSafe(F.lit(r[n])) for n in names]) for r in values
-    ]
-    return reduce(or_, tests)
+        listed = sorted({t[0] for t in tuples if t[0] is not None})
+        tests = [column.isin(listed)] if listed else []
+        return _any_of(tests + [column.isNull()] * any(t[0] is None for t in tuples))
+    below: dict = {}
+    for t in tuples:
+        below.setdefault(t[0], []).append(t[1:])
+    return _any_of([column.eqNullSafe(F.lit(v)) & _in_tuples(names[1:], rest) for v, rest in below.items()])
+
+
+def _any_of(tests: Sequence[Column]) -> Column:
+    """A balanced OR: its depth grows with the logarithm of the tests."""
+    if len(tests) == 1:
+        return tests[0]
+    half = len(tests) // 2
+    return _any_of(tests[:half]) | _any_of(tests[half:])
 
 
 def _partition_literal(value) -> str:
