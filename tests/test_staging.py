@@ -62,7 +62,7 @@ def test_each_file_once_with_new_columns(spark, shop):
     lineage = spark.table(name).select("loaded_at", "source_file_name", "source_file_path", "source_file_modified_at")
     assert lineage.dropna().count() == 5
     messages = [r["message"] for r in shop.log().where("end_time IS NOT NULL").collect()]
-    assert sorted(m.split("from a total of ")[1] for m in messages) == ["0 files.", "1 files.", "1 files."]
+    assert sorted(messages) == ["1 new files, 2 rows.", "1 new files, 3 rows.", "No new rows."]
     per_file = shop.log().where("end_time IS NULL")
     assert sorted(r["records_processed"] for r in per_file.collect()) == [2, 3]
 
@@ -209,19 +209,93 @@ def test_refine(spark, db):
         key_columns=["id", "at"],
     )
     for _ in range(2):
-        result = refine(staged, definition, quarantine_table=f"{db}.bad", log_table=f"{db}.log")
-        assert (result.records_processed, result.records_failed) == (3, 2)
+        result = refine(staged, definition, quarantine_table=f"{db}.bad", log_table=f"{db}.log", execution_id="run")
+        assert (result.records_processed, result.records_failed, result.records_kept) == (3, 2, 1)
+    assert result.replaced_location != spark.table(f"{db}.silver").inputFiles()[0]
     silver = spark.table(f"{db}.silver")
     assert rows(silver.select("id", "fare", "is_active")) == [(1, 5.0, True)]
     assert silver.selectExpr("unix_seconds(at)").first()[0] == 1736960400
     assert silver.where("created_at < updated_at").count() == 1
-    assert rows(spark.table(f"{db}.bad").select("id", "validation_errors").distinct()) == sorted(
+    assert rows(spark.table(f"{db}.bad").select("id", "validation_errors")) == sorted(
         [(2, ["fare"]), (None, ["id", "at"])], key=repr
     )
     logged = spark.table(f"{db}.log").first()
     assert (logged["records_processed"], logged["records_failed"]) == (3, 2)
 
 
+KEYED = [ColumnDefinition("k", "int"), ColumnDefinition("v", "int", False, min_value=0)]
+
+
+def test_refine_loses_no_row(spark, db):
+    staged = spark.createDataFrame(
+        [(1, 5), (1, 7), (1, 6), (2, 1), (2, -1), (None, 1), (None, 1), (3, None)], "k int, v int"
+    )
+    definition = TableDefinition(f"{db}.t", KEYED, key_columns=["k"])
+    where = {"quarantine_table": f"{db}.bad", "log_table": f"{db}.log"}
+    with pytest.raises(ValueError, match="Several source rows"):
+        refine(staged, definition, **where)
+    failed = spark.table(f"{db}.log").collect()
+    assert [r["status"] for r in failed] == ["failed"] and "Several" in failed[0]["message"]
+    assert spark.table(f"{db}.t").count() == spark.table(f"{db}.bad").count() == 0
+    result = refine(
+        staged, definition, force_remove_duplicates=True, order_by=[F.desc("v")], partition_by=["k"], **where
+    )
+    assert (result.records_processed, result.records_kept, result.records_failed, result.records_duplicate) == (8, 4, 2, 2)
+    assert rows(spark.table(f"{db}.t").select("k", "v")) == sorted([(1, 7), (2, 1), (None, 1), (None, 1)], key=repr)
+    bad = spark.table(f"{db}.bad").select("k", "v", "validation_errors")
+    assert rows(bad) == sorted(
+        [(1, 5, ["duplicate key"]), (1, 6, ["duplicate key"]), (2, -1, ["v"]), (3, None, ["v"])], key=repr
+    )
+
+
+def test_refine_evolves_both_tables(spark, db):
+    where = {"quarantine_table": f"{db}.bad", "log_table": f"{db}.log"}
+    refine(spark.createDataFrame([(1, 5), (2, -1)], "k int, v int"), TableDefinition(f"{db}.t", KEYED, key_columns=["k"]), **where)
+    wider = TableDefinition(f"{db}.t", [*KEYED, ColumnDefinition("w", "int")], key_columns=["k"])
+    refine(spark.createDataFrame([(3, 5, 1), (4, -1, 2)], "k int, v int, w int"), wider, **where)
+    assert rows(spark.table(f"{db}.t").select("k", "w")) == sorted([(1, None), (3, 1)], key=repr)
+    assert rows(spark.table(f"{db}.bad").select("k", "w")) == sorted([(2, None), (4, 2)], key=repr)
+
+
+def test_log_is_complete_whatever_fails(spark, db, shop, monkeypatch):
+    name = shop.register()
+    for i in range(3):
+        shop.land(f"SELECT id FROM range({i + 1})")
+    real, calls = overwrite_partition, []
+
+    def third_fails(rows_, *rest):
+        calls.append(rest)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        real(rows_, *rest)
+
+    monkeypatch.setattr(file_loader, "overwrite_partition", third_fails)
+    with pytest.raises(Exception, match="lost"):
+        shop.load(options={"maxFilesPerTrigger": "1"})
+    monkeypatch.setattr(file_loader, "overwrite_partition", real)
+    shop.load(options={"maxFilesPerTrigger": "1"})
+    shop.load()
+    assert spark.table(name).count() == 6
+    per_file = shop.log().where("end_time IS NULL").collect()
+    assert sorted(r["records_processed"] for r in per_file) == [1, 2, 3]
+    assert shop.log().where("status = 'failed'").count() == 1
+    totals = shop.log().where("end_time IS NOT NULL AND status = 'success'")
+    assert sum(r["records_processed"] for r in totals.collect()) == 6
+
+
+def test_files_of_one_name_are_several_files(spark, db, shop, tmp_path):
+    shop.register()
+    for m in (1, 2):
+        spark.range(m).coalesce(1).write.parquet(f"{tmp_path}/one")
+        os.makedirs(f"{shop.path}/m={m}", exist_ok=True)
+        part = next(f for f in os.scandir(f"{tmp_path}/one") if f.name.startswith("part-"))
+        os.rename(part.path, f"{shop.path}/m={m}/part-0.parquet")
+        os.rename(f"{tmp_path}/one", f"{tmp_path}/one-{m}")
+    shop.load()
+    messages = sorted(r["message"] for r in shop.log().collect())
+    assert messages == ["2 new files, 3 rows.", "File part-0.parquet", "File part-0.parquet"]
+
+
 def test_dataset_chain(spark, db):
     trips = materialize(spark.createDataFrame([(1, 2.5), (1, 1.5), (2, 1.0)], "zip int, fare double"), f"{db}.trips")
     totals = materialize(trips.groupBy("zip").agg(F.sum("fare").alias("total_fare")), f"{db}.zones")

@@ -29,7 +29,7 @@ from tidewright.sources.files import file_schema, scan, scan_stream, spark_forma
 from tidewright.sources.load_log import insert_ingestion_log, log_load
 from tidewright.sources.registry import active_sources
 from tidewright.sources.tables import overwrite_partition
-from tidewright.streaming.file_loader import load_new_files, prepare_staging_table
+from tidewright.streaming.file_loader import LoggedBatches, load_new_files, prepare_staging_table
 
 logger = logging.getLogger(__name__)
 
@@ -81,9 +81,11 @@ def populate_stg_tables_from_storage(
         raise ValueError("source_timezone is required when timezone_to_utc is set.")
     spark_format(file_format)
     spark = SparkSession.active()
+    if not checkpoint_root and not spark.conf.get("spark.checkpoint.dir", None):
+        raise ValueError("What has been loaded must be remembered: pass checkpoint_root or set spark.checkpoint.dir.")
     root = checkpoint_root or f"{shared_folder(spark)}/loaded-files"
 
-    def load(source: Row) -> DataFrame | None:
+    def load(source: Row, batches: list[LoggedBatches]) -> DataFrame | None:
         csv = {"csv_header": csv_header, "csv_delimiter": csv_delimiter}
         path = source["volume"]
         known = schema or file_schema(spark, path, file_format, options=options, **csv)
@@ -96,7 +98,9 @@ def populate_stg_tables_from_storage(
             source_timezone=source_timezone if timezone_to_utc else None,
         )
         checkpoint = f"{root}/{source['stg_table']}/{source['source_system']}"
-        return load_new_files(rows, source["stg_table"], checkpoint)
+        logged = LoggedBatches(spark, source["stg_table"], checkpoint)
+        batches.append(logged)
+        return load_new_files(rows, source["stg_table"], checkpoint, started=logged.started)
 
     return _load_each(tg_table_names, load, registry_table, log_table, execution_id)
 
@@ -114,7 +118,7 @@ def populate_stg_tables_from_sql(
     spark = SparkSession.active()
     run = uuid.uuid4().hex
 
-    def load(source: Row) -> DataFrame:
+    def load(source: Row, batches: list[LoggedBatches]) -> DataFrame:
         rows = staged_rows(
             scan(spark, source["volume"]),
             source["select_columns"],
@@ -131,7 +135,7 @@ def populate_stg_tables_from_sql(
 
 def _load_each(
     names: str | Sequence[str],
-    load: Callable[[Row], DataFrame | None],
+    load: Callable[[Row, list[LoggedBatches]], DataFrame | None],
     registry_table: str,
     log_table: str,
     execution_id: str | None,
@@ -139,7 +143,9 @@ def _load_each(
     """Run ``load`` per source, log each load and its files, re-raise failures.
 
     The statistics come from the rows just written, never from a second
-    evaluation of the source.
+    evaluation of the source. Where batches are tracked, those that an earlier run
+    committed and could not log are logged too, and those that this run commits
+    before it fails are logged beside the failure.
     """
     execution_id = execution_id or uuid.uuid4().hex
     loaded: dict[str, int] = {}
@@ -149,18 +155,31 @@ def _load_each(
         logger.warning("No active source is registered for %s.", names)
     for source in sources:
         table, start = source["stg_table"], datetime.now()
-        try:
-            new_rows = load(source)
-            rows = log_load(
-                None if new_rows is None else file_load_stats(new_rows),
+        batches: list[LoggedBatches] = []
+
+        def log(rows: DataFrame | None, table: str = table, source: Row = source, start=start) -> int:
+            return log_load(
+                None if rows is None else file_load_stats(rows),
                 execution_id=execution_id,
                 source_system=source["volume"],
                 table_name=table,
                 start_time=start,
                 log_table=log_table,
             )
+
+        try:
+            new_rows = load(source, batches)
+            names = [n for b in batches for n in b.missing()]
+            rows = log(batches[0].rows_of(names) if batches else new_rows)
+            for b in batches:
+                b.add(names)
             loaded[table] = loaded.get(table, 0) + rows
         except Exception as e:
+            for b in batches:
+                names = b.missing()
+                if names:
+                    log(b.rows_of(names))
+                    b.add(names)
             insert_ingestion_log(
                 execution_id=execution_id,
                 source_system=source["volume"],

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,12 +26,16 @@ from tidewright.sources.tables import (
 
 
 def run_once(
-    stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, str], None]
+    stream: DataFrame,
+    checkpoint: str,
+    each_batch: Callable[[DataFrame, str], None],
+    started: Callable[[str], None] = lambda stream_id: None,
 ) -> list[str]:
     """Hand all files not seen under ``checkpoint`` to ``each_batch``, then stop.
 
     ``each_batch`` gets the rows and a name that is the same when the batch is
     replayed; it must be repeatable under that name. Returns the names.
+    ``started`` gets the id that all names of this checkpoint begin with.
     """
     names: list[str] = []
 
@@ -46,6 +51,7 @@ def run_once(
         .foreachBatch(handle)
         .start()
     )
+    started(query.id)
     query.awaitTermination()
     return names
 
@@ -57,7 +63,13 @@ def prepare_staging_table(table_name: str, rows: StructType) -> None:
         add_missing_columns_to_table(table_name, schema)
 
 
-def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataFrame | None:
+def load_new_files(
+    stream: DataFrame,
+    table_name: str,
+    checkpoint: str,
+    *,
+    started: Callable[[str], None] = lambda stream_id: None,
+) -> DataFrame | None:
     """Append the files not loaded yet to ``table_name``; returns the new rows,
     or None where no new file was found.
 
@@ -69,6 +81,7 @@ def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataF
         stream,
         checkpoint,
         lambda rows, name: overwrite_partition(rows, table_name, LOAD_ID, name),
+        started,
     )
     if not written:
         return None
@@ -76,3 +89,46 @@ def load_new_files(stream: DataFrame, table_name: str, checkpoint: str) -> DataF
     spark = stream.sparkSession
     spark.catalog.refreshTable(table_name)
     return spark.table(table_name).where(F.col(LOAD_ID).isin(written))
+
+
+class LoggedBatches:
+    """Which batches of a checkpoint have been logged.
+
+    A batch may be committed by a run that ends before it can log it. What a run
+    logs is therefore every batch in the table that has not been logged, be it
+    its own or an earlier run's. A replayed batch keeps its name, so it is not
+    logged twice.
+    """
+
+    def __init__(self, spark: SparkSession, table_name: str, checkpoint: str):
+        self.spark, self.table_name, self.folder = spark, table_name, f"{checkpoint}.logged"
+        self.stream_id: str | None = None
+
+    def started(self, stream_id: str) -> None:
+        self.stream_id = stream_id
+
+    def missing(self) -> list[str]:
+        """Names of the table's batches that are not logged; control data, one for
+        each batch of this checkpoint."""
+        if self.stream_id is None:
+            return []
+        self.spark.catalog.refreshTable(self.table_name)
+        found = self.spark.sql(f"SHOW PARTITIONS {self.table_name}").collect()
+        names = {r[0].split("=", 1)[1] for r in found}
+        return sorted(n for n in names - self._known() if n.startswith(f"{self.stream_id}-"))
+
+    def _known(self) -> set[str]:
+        try:
+            return {r[0] for r in self.spark.read.schema("name string").parquet(self.folder).collect()}
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return set()
+
+    def rows_of(self, names: list[str]) -> DataFrame | None:
+        return self.spark.table(self.table_name).where(F.col(LOAD_ID).isin(names)) if names else None
+
+    def add(self, names: list[str]) -> None:
+        if names:
+            rows = self.spark.createDataFrame([(n,) for n in names], "name string")
+            rows.coalesce(1).write.mode("append").parquet(self.folder)
