@@ -54,10 +54,9 @@ _LOADED = """
 
 _LOG_OF_ONE_RUN = """
     SELECT table_name, 'success' AS status, n AS records_processed,
-           CAST(0 AS BIGINT) AS records_failed, file_name || '.' AS message FROM loaded
+           CAST(0 AS BIGINT) AS records_failed, 'File ' || file_name AS message FROM loaded
     UNION ALL
-    SELECT table_name, 'success', n, 0,
-           'Staging table ' || table_name || ' load from a total of 1 files.' FROM loaded
+    SELECT table_name, 'success', n, 0, '1 new files, ' || n || ' rows.' FROM loaded
 """
 
 ORACLES = {
@@ -109,10 +108,12 @@ ORACLES = {
         UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*) FROM lineitem
     """,
     "grouped_sum": """
-        SELECT event_type, CAST(SUM(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total_value
-        FROM events GROUP BY event_type
+        SELECT event_type, ROUND(SUM(value), 2) AS total_value FROM events GROUP BY event_type
+    """,
+    "dedup_keys": """
+        SELECT l_orderkey, l_linenumber, TRUE AS is_a_source_row
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) keys
     """,
-    "dedup_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "dedup_latest": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
                l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
@@ -139,6 +140,8 @@ ORACLES = {
     "upsert_merge": _UPSERT,
     "upsert_table": _UPSERT,
     "upsert_partitioned": _UPSERT,
+    "upsert_by_day": _UPSERT,
+    "upsert_csv_table": _UPSERT,
     "upsert_audit": """
         SELECT c_custkey, c_name, TRUE AS is_active, TRUE AS created_before_updated FROM customer
     """,
@@ -146,34 +149,66 @@ ORACLES = {
         WITH files AS ({_STAGED_FILES})
         SELECT 'run-1' AS execution_id, 'shop' AS source_system, 'stg_keys' AS table_name,
                'success' AS status, row_count AS records_processed,
-               CAST(0 AS BIGINT) AS records_failed, source_file_name || '.' AS message
+               CAST(0 AS BIGINT) AS records_failed, 'File ' || source_file_name AS message
         FROM files
         UNION ALL
         SELECT 'run-1', 'shop', 'stg_keys', 'success', CAST(SUM(row_count) AS BIGINT), 0,
-               'Staging table stg_keys load from a total of ' || COUNT(*) || ' files.'
+               COUNT(*) || ' new files, ' || SUM(row_count) || ' rows.'
         FROM files
     """,
     "dataset_chain": """
-        SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_price
+        SELECT o_orderpriority, ROUND(SUM(o_totalprice), 2) AS total_price
         FROM orders GROUP BY o_orderpriority
     """,
     "metadata_load": f"""
         WITH loaded AS ({_LOADED}) {_LOG_OF_ONE_RUN}
         UNION ALL
-        SELECT table_name, 'success', 0, 0,
-               'Staging table ' || table_name || ' load from a total of 0 files.' FROM loaded
+        SELECT table_name, 'success', 0, 0, 'No new rows.' FROM loaded
+    """,
+    "metadata_load_rows": f"""
+        SELECT o_orderkey, {_UTC.replace("ts))", "o_orderdate))")} AS o_orderdate_utc
+        FROM orders WHERE o_totalprice > 1000 AND o_orderstatus <> 'P'
+    """,
+    "metadata_load_types": """
+        SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem
+    """,
+    "gated_write": f"""
+        SELECT 'accepted' AS outcome, COUNT(*) FILTER (WHERE {_VALID} AND l_quantity IS NOT NULL
+               AND l_discount IS NOT NULL AND l_tax IS NOT NULL) AS row_count FROM lineitem
+        UNION ALL SELECT 'l_quantity_min_check', COUNT(*) FILTER (WHERE NOT (l_quantity >= 5)) FROM lineitem
+        UNION ALL SELECT 'l_discount_custom_check', COUNT(*) FILTER (WHERE NOT (l_discount > 0)) FROM lineitem
+        UNION ALL SELECT 'l_tax_max_check', COUNT(*) FILTER (WHERE NOT (l_tax <= CAST(0.06 AS DOUBLE))) FROM lineitem
+    """,
+    "zone_load": """
+        SELECT o_orderkey, c_name, c_mktsegment, ROUND(o_custkey + (1 + SQRT(o_totalprice) / 1000) / 3, 4) AS longitude,
+               ROUND(o_orderkey + (1 + SQRT(o_totalprice) / 1000) / 3, 4) AS latitude
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        UNION ALL SELECT COUNT(*), 'log', 'success', NULL, NULL FROM orders JOIN customer ON o_custkey = c_custkey
     """,
     "metadata_load_sql": f"WITH loaded AS ({_LOADED}) {_LOG_OF_ONE_RUN}",
     "refine_table": f"""
-        SELECT DISTINCT 'clean' AS outcome, l_orderkey, l_linenumber, '' AS reasons
-        FROM lineitem WHERE {_VALID} AND l_orderkey IS NOT NULL AND COALESCE(l_linenumber >= 1, FALSE)
+        WITH judged AS (
+            SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
+                   concat_ws(',', CASE WHEN l_orderkey IS NULL THEN 'l_orderkey' END,
+                             CASE WHEN NOT COALESCE(l_linenumber >= 1, FALSE) THEN 'l_linenumber' END,
+                             CASE WHEN NOT {_VALID} THEN {_REASONS} END) AS reasons
+            FROM lineitem
+        ), ranked AS (
+            SELECT *, ROW_NUMBER() OVER (
+                PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_quantity DESC, l_discount DESC, l_tax DESC) AS place
+            FROM judged WHERE reasons = ''
+        ), outcome AS (
+            SELECT * EXCLUDE (place, reasons), CASE WHEN place > 1 THEN 'duplicate key' ELSE '' END AS reasons
+            FROM ranked
+            UNION ALL SELECT * FROM judged WHERE reasons <> ''
+        )
+        SELECT CASE WHEN reasons = '' THEN 'clean' ELSE 'quarantined' END AS outcome,
+               l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, reasons
+        FROM outcome
         UNION ALL
-        SELECT 'quarantined', l_orderkey, l_linenumber,
-               concat_ws(',', CASE WHEN l_orderkey IS NULL THEN 'l_orderkey' END,
-                         CASE WHEN NOT COALESCE(l_linenumber >= 1, FALSE) THEN 'l_linenumber' END,
-                         CASE WHEN NOT {_VALID} THEN {_REASONS} END)
-        FROM lineitem
-        WHERE NOT {_VALID} OR l_orderkey IS NULL OR NOT COALESCE(l_linenumber >= 1, FALSE)
+        SELECT 'log', COUNT(*), CAST(COUNT(*) FILTER (WHERE reasons <> '') AS INTEGER), NULL, NULL, NULL, 'success'
+        FROM outcome
     """,
     "validate_flag": f"SELECT *, {_VALID} AS is_row_valid FROM lineitem",
     "validate_reasons": f"""
@@ -194,7 +229,11 @@ ORACLES = {
         UNION ALL SELECT '*', COUNT(*) FILTER (WHERE NOT {_VALID}) FROM lineitem
     """,
     "constraint_violations": """
-        SELECT 'l_quantity_min_check' AS constraint_name,
+        SELECT 'l_quantity_not_null' AS constraint_name,
+               COUNT(*) FILTER (WHERE l_quantity IS NULL) AS violations FROM lineitem
+        UNION ALL SELECT 'l_discount_not_null', COUNT(*) FILTER (WHERE l_discount IS NULL) FROM lineitem
+        UNION ALL SELECT 'l_tax_not_null', COUNT(*) FILTER (WHERE l_tax IS NULL) FROM lineitem
+        UNION ALL SELECT 'l_quantity_min_check' AS constraint_name,
                COUNT(*) FILTER (WHERE NOT (l_quantity >= 5)) AS violations FROM lineitem
         UNION ALL SELECT 'l_discount_custom_check', COUNT(*) FILTER (WHERE NOT (l_discount > 0)) FROM lineitem
         UNION ALL SELECT 'l_tax_max_check',

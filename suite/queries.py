@@ -6,6 +6,7 @@ shared folder, so that they can be repeated and run side by side.
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime
 
@@ -22,6 +23,7 @@ from tidewright.operators.joins import join_lookup, rows_of_active_sources
 from tidewright.operators.merge import merged
 from tidewright.plans.datasets import materialize
 from tidewright.plans.refine import refine
+from tidewright.plans.zones import load_zones
 from tidewright.plans.staging import (
     populate_stg_tables_from_sql,
     populate_stg_tables_from_storage,
@@ -228,12 +230,18 @@ def load_counts(spark, sf_dir):
 
 
 def grouped_sum_by_type(spark, sf_dir):
-    return grouped_sum(_read(spark, sf_dir, "events"), "event_type", "value", "total_value")
+    totals = grouped_sum(_read(spark, sf_dir, "events"), "event_type", "value", "total_value")
+    return totals.withColumn("total_value", F.round("total_value", 2))
 
 
 def dedup_by_key(spark, sf_dir):
-    keys = ["l_orderkey", "l_linenumber"]
-    return dedup_keys(_read(spark, sf_dir, "lineitem"), keys).select(*keys)
+    """A row per key, and whether each is a whole row of the source."""
+    lineitem, keys = _read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
+    kept = dedup_keys(lineitem, keys)
+    whole = F.xxhash64(*lineitem.columns).alias("whole")
+    source = lineitem.select(whole).distinct().withColumn("is_a_source_row", F.lit(True))
+    found = kept.select(*keys, whole).join(source, "whole", "left")
+    return found.select(*keys, F.coalesce("is_a_source_row", F.lit(False)).alias("is_a_source_row"))
 
 
 def dedup_by_latest(spark, sf_dir):
@@ -314,6 +322,67 @@ def upsert_partitioned(spark, sf_dir):
     return spark.table(name)
 
 
+def upsert_by_day(spark, sf_dir):
+    """The same upsert into a table partitioned by the order's year, month and day."""
+    name = f"{_database(spark)}.orders"
+    day = {part: F.date_part(F.lit(part), "o_orderdate").cast("int") for part in ("year", "month", "day")}
+    target, source = (rows.withColumns(day) for rows in _order_versions(spark, sf_dir))
+    insert_or_update_table(target, name, append_only=True, partition_by=list(day))
+    insert_or_update_table(source, name, key_columns=["o_orderkey"])
+    return spark.table(name).drop(*day)
+
+
+def upsert_csv_table(spark, sf_dir):
+    """The same upsert into a csv table with a header and a separator."""
+    name = f"{_database(spark)}.orders"
+    target, source = _order_versions(spark, sf_dir)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING csv OPTIONS (sep '|', header 'true')")
+    insert_or_update_table(target, name, append_only=True)
+    insert_or_update_table(source, name, key_columns=["o_orderkey"])
+    return spark.table(name)
+
+
+def gated_write(spark, sf_dir):
+    """Valid line items pass the gate; all of them are refused with the counts."""
+    name, lineitem = f"{_database(spark)}.lineitem", _read(spark, sf_dir, "lineitem")
+    insert_or_update_table(LINEITEM.process_data(lineitem)[0], name, append_only=True, gate=LINEITEM)
+    try:
+        insert_or_update_table(lineitem, name, append_only=True, gate=LINEITEM)
+    except ValueError as e:
+        refused = dict(re.findall(r"(\w+): (\d+) rows", str(e)))
+    accepted = spark.table(name).agg(F.count("*").alias("row_count"))
+    counts = [
+        F.struct(F.lit(k).alias("outcome"), F.lit(int(n)).cast("bigint").alias("row_count"))
+        for k, n in refused.items()
+    ]
+    first = F.struct(F.lit("accepted").alias("outcome"), F.col("row_count"))
+    return accepted.select(F.inline(F.array(first, *counts)))
+
+
+def zone_load(spark, sf_dir):
+    """Orders as triangular zones, with the attributes of their customers."""
+    db, size = _database(spark), 1 + F.sqrt("o_totalprice") / 1000
+    x, y = F.col("o_custkey"), F.col("o_orderkey")
+    triangle = F.array(ring((x, y), (x + size, y), (x, y + size), (x, y)))
+    load_zones(
+        _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", triangle.alias("rings")),
+        _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"),
+        "o_custkey",
+        "c_custkey",
+        f"{db}.zones",
+        log_table=f"{db}.ingest_logs",
+    )
+    zones = spark.table(f"{db}.zones").select(
+        "o_orderkey", "c_name", "c_mktsegment",
+        F.round("longitude", 4).alias("longitude"), F.round("latitude", 4).alias("latitude"),
+    )
+    log = spark.table(f"{db}.ingest_logs").select(
+        "records_processed", F.lit("log"), "status", F.lit(None).cast("double"), F.lit(None).cast("double")
+    )
+    return zones.union(log)
+
+
 def upsert_audit(spark, sf_dir):
     """Customers upserted twice, the owing ones inactive before the second time."""
     name = f"{_database(spark)}.customer"
@@ -345,7 +414,7 @@ def dataset_chain(spark, sf_dir):
     db = _database(spark)
     trips = materialize(_read(spark, sf_dir, "orders"), f"{db}.orders")
     totals = grouped_sum(trips, "o_orderpriority", "o_totalprice", "total_price")
-    return materialize(totals, f"{db}.priority_totals")
+    return materialize(totals, f"{db}.priority_totals").withColumn("total_price", F.round("total_price", 2))
 
 
 # Compositions
@@ -372,15 +441,45 @@ def _registry(spark, sf_dir, db):
 
 def _log(spark, db):
     short = F.regexp_replace("table_name", r"^.*\.", "")
-    message = F.regexp_replace("message", r"Staging table \S+\.", "Staging table ")
     return spark.table(f"{db}.ingest_logs").select(
-        short.alias("table_name"), "status", "records_processed", "records_failed",
-        message.alias("message"),
+        short.alias("table_name"), "status", "records_processed", "records_failed", "message"
     )
 
 
 def metadata_load(spark, sf_dir):
     """Registry → new files → staging tables → log; the second run loads nothing."""
+    return _log(spark, _loaded_twice(spark, sf_dir))
+
+
+def metadata_load_rows(spark, sf_dir):
+    """The staged rows of one of the sources, with their shifted times."""
+    db = _loaded_twice(spark, sf_dir)
+    return spark.table(f"{db}.stg_orders").select("o_orderkey", "o_orderdate_utc")
+
+
+def metadata_load_types(spark, sf_dir):
+    """One source whose files disagree on a column's type: int and bigint."""
+    db, landing = _database(spark), fresh_folder(spark, "landing")
+    lineitem = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    early = F.col("l_orderkey") % 2 == 0
+    lineitem.where(early).write.parquet(landing)
+    later = lineitem.where(~early).withColumn("l_linenumber", F.col("l_linenumber").cast("bigint"))
+    later.write.mode("append").parquet(landing)
+    row = [("shop.lineitem", landing, f"{db}.stg_lineitem", "*", None)]
+    schema = "source_system string, volume string, stg_table string, select_columns string, filter_condition string"
+    insert_or_update_process_table(
+        f"{db}.src_definitions", spark.createDataFrame(row, schema), ["source_system", "stg_table"]
+    )
+    populate_stg_tables_from_storage(
+        f"{db}.stg_lineitem",
+        registry_table=f"{db}.src_definitions",
+        log_table=f"{db}.ingest_logs",
+        checkpoint_root=fresh_folder(spark, "loaded"),
+    )
+    return spark.table(f"{db}.stg_lineitem").select("l_orderkey", "l_linenumber")
+
+
+def _loaded_twice(spark, sf_dir):
     db = _database(spark)
     names, loaded = _registry(spark, sf_dir, db), fresh_folder(spark, "loaded")
     for _ in range(2):
@@ -392,7 +491,7 @@ def metadata_load(spark, sf_dir):
             log_table=f"{db}.ingest_logs",
             checkpoint_root=loaded,
         )
-    return _log(spark, db)
+    return db
 
 
 def metadata_load_sql(spark, sf_dir):
@@ -423,15 +522,22 @@ def refine_lineitem(spark, sf_dir):
         definition,
         quarantine_table=f"{db}.lineitem_quarantine",
         log_table=f"{db}.ingest_logs",
+        force_remove_duplicates=True,
+        order_by=[F.desc(c) for c in ("l_quantity", "l_discount", "l_tax")],
     )
+    names = [c.name for c in definition.columns]
     clean = spark.table(f"{db}.lineitem").where("is_active").select(
-        F.lit("clean").alias("outcome"), "l_orderkey", "l_linenumber", F.lit("").alias("reasons")
+        F.lit("clean").alias("outcome"), *names, F.lit("").alias("reasons")
     )
     reasons = F.array_join("validation_errors", ",").alias("reasons")
     failing = spark.table(f"{db}.lineitem_quarantine").select(
-        F.lit("quarantined").alias("outcome"), "l_orderkey", "l_linenumber", reasons
+        F.lit("quarantined").alias("outcome"), *names, reasons
+    )
+    none = F.lit(None).cast("double")
+    log = spark.table(f"{db}.ingest_logs").select(
+        F.lit("log"), "records_processed", F.col("records_failed").cast("int"), none, none, none, "status"
     )
-    return clean.unionByName(failing)
+    return clean.unionByName(failing).union(log)
 
 
 # Data quality
@@ -561,10 +667,16 @@ QUERIES = {
     "upsert_merge": upsert_merge,
     "upsert_table": upsert_table,
     "upsert_partitioned": upsert_partitioned,
+    "upsert_by_day": upsert_by_day,
+    "upsert_csv_table": upsert_csv_table,
     "upsert_audit": upsert_audit,
+    "gated_write": gated_write,
+    "zone_load": zone_load,
     "load_log": load_log,
     "dataset_chain": dataset_chain,
     "metadata_load": metadata_load,
+    "metadata_load_rows": metadata_load_rows,
+    "metadata_load_types": metadata_load_types,
     "metadata_load_sql": metadata_load_sql,
     "refine_table": refine_lineitem,
     "validate_flag": validate_flag,

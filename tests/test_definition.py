@@ -134,7 +134,7 @@ def test_drift_report_dict(spark):
     assert report["missing_in_source"] == ["x", "is_active", "created_at", "updated_at"]
     assert report["unexpected_in_source"] == ["extra"]
     assert report["type_mismatches"] == [
-        "n: expected IntegerType(), got StringType() (found as n)"
+        "n is string, defined as n int"
     ]
     business = definition.compare_schema(frame, include_audit=False)
     assert business["missing_in_source"] == ["x"]

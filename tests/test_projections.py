@@ -66,7 +66,7 @@ def test_only_a_measured_small_side_is_broadcast(spark, monkeypatch):
     registry = spark.createDataFrame([("1", True), ("2", True)], "src string, is_active boolean")
     small = joins.rows_of_active_sources(landed, registry, ["src"])
     assert "BroadcastHashJoin" in plan_of(small) and small.count() == 66
-    monkeypatch.setattr(joins, "MEASURED_ROWS", 1)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
     large = joins.rows_of_active_sources(landed, registry, ["src"])
     assert "SortMergeJoin" in plan_of(large) and large.count() == 66
     monkeypatch.undo()
@@ -83,6 +83,27 @@ def test_size_settings():
     ]
 
 
-def test_grouped_sum_is_exact(spark):
+def test_grouped_sum(spark):
     frame = spark.range(1000).select(F.lit("k").alias("k"), F.lit(0.1).alias("v"))
-    assert rows(grouped_sum(frame, "k", "v", "total")) == [("k", 100.0)]
+    assert abs(grouped_sum(frame, "k", "v", "total").first()["total"] - 100) < 1e-9
+    assert float(grouped_sum(frame, "k", "v", "total", exact=(18, 2)).first()["total"]) == 100.0
+    small = frame.withColumn("v", F.lit(0.004))
+    assert abs(grouped_sum(small, "k", "v", "total").first()["total"] - 4) < 1e-9
+    assert grouped_sum(frame.withColumn("v", F.lit(1e17)), "k", "v", "total").first()["total"] == 1e20
+
+
+def test_clauses_end_outside_quotes(spark):
+    frame = spark.createDataFrame([("a;b", 1), ("a", 2), ("it's; x", 3)], "v string, `k;2` int")
+    keep = lambda *texts: [r[1] for r in P.where_clauses(frame, *texts).collect()]
+    assert keep("v = 'a;b'; `k;2` > 0") == [1]
+    assert keep('v = "a;b"; `k;2` > 0', None) == [1]
+    assert keep(r"v = 'it\'s; x' ; ") == [3]
+    assert keep("; ;") == [1, 2, 3]
+
+
+def test_no_lookup_row_travels_to_be_measured(spark):
+    """Only sums, one row for each task, go to the single task of the measure."""
+    lookup = spark.range(0, 1000, 1, 40)
+    size = F.octet_length(F.to_json(F.struct("*")))
+    plan = lookup.agg(F.count("*"), F.sum(size))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.index("SinglePartition") and "Limit" not in plan

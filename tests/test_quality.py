@@ -83,10 +83,20 @@ def test_every_row_is_clean_or_quarantined_as_brute_force_says(spark, rows):
     }
 
 
-def test_constraints_let_null_pass(spark):
+def test_checks_let_null_pass_but_not_null_is_counted(spark):
     frame = spark.createDataFrame([(1, 0, 1), (2, None, None), (3, 10, 2)], "id int, v int, w int")
     counts = {r["constraint_name"]: r["violations"] for r in RULES.constraint_violations(frame).collect()}
-    assert counts == {"v_min_check": 1, "v_max_check": 1, "w_custom_check": 1}
+    assert counts == {"v_min_check": 1, "v_max_check": 1, "w_custom_check": 1, "w_not_null": 1}
     with pytest.raises(ValueError, match="v_min_check: 1 rows"):
         quality.reject_violations(frame, RULES.columns)
-    quality.reject_violations(frame.where("id = 2"), RULES.columns)
+    with pytest.raises(ValueError, match="violated: w_not_null: 1 rows"):
+        quality.reject_violations(frame.where("id = 2"), RULES.columns)
+
+
+def test_quarantine_filter_reaches_the_scan(spark, tmp_path):
+    spark.range(10).selectExpr("id AS v", "id AS w").write.parquet(f"{tmp_path}/t")
+    rules = [ColumnDefinition("w", "bigint", custom_condition="w > 3"), ColumnDefinition("v", "bigint", max_value=5)]
+    failing = quality.quarantine_rows(spark.read.parquet(f"{tmp_path}/t"), rules)
+    plan = failing._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].splitlines()[0]
+    assert "LessThanOrEqual(w,3)" in pushed and "GreaterThan(v,5)" in pushed

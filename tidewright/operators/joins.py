@@ -2,9 +2,9 @@
 
 A side made from driver rows, or computed, has no size Spark knows before it
 runs; it would then shuffle the other side, however large, on a key of few
-values. Its size is therefore measured first, reading no more than a bounded
-number of rows. A side above the bound is left to Spark: a sort-merge join in
-which AQE splits skewed partitions.
+values. Its size is therefore summed first; each task sends one row of sums. A
+side above the bound is left to Spark: a sort-merge join in which AQE splits
+skewed partitions.
 """
 
 from __future__ import annotations
@@ -17,22 +17,19 @@ from pyspark.sql import functions as F
 from tidewright.settings import quoted
 
 
-# Rows read at most to measure a side.
-MEASURED_ROWS = 100_000
+# Rows of a side that is broadcast, at most.
+BROADCAST_ROWS = 100_000
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """The frame, marked for broadcast if it is measured to be below both
-    ``MEASURED_ROWS`` and ``spark.sql.autoBroadcastJoinThreshold``."""
+    """The frame, marked for broadcast if it has at most ``BROADCAST_ROWS`` rows and
+    ``spark.sql.autoBroadcastJoinThreshold`` bytes."""
     limit = size_in_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     if limit <= 0:
         return df
     row_size = F.octet_length(F.to_json(F.struct("*")))
-    seen = df.limit(MEASURED_ROWS + 1).agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum(row_size), F.lit(0)).alias("size")
-    ).first()
-    fits = seen["rows"] <= MEASURED_ROWS and seen["size"] <= limit
-    return F.broadcast(df) if fits else df
+    seen = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row_size), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if seen["rows"] <= BROADCAST_ROWS and seen["size"] <= limit else df
 
 
 def size_in_bytes(setting: str) -> int:

@@ -20,8 +20,8 @@ LINEAGE_COLUMNS = (
     "source_file_modified_at",
 )
 
-# A semicolon outside single-quoted text.
-_CLAUSE_END = re.compile(r";(?=(?:[^']*'[^']*')*[^']*$)")
+# A quoted piece of SQL text, whose semicolons end no clause, or a semicolon.
+_QUOTED_OR_END = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`(?:``|[^`])*`|;""", re.S)
 
 
 def select_text(df: DataFrame, columns: str | None, *, also: Sequence[str] = ()) -> DataFrame:
@@ -37,10 +37,15 @@ def select_text(df: DataFrame, columns: str | None, *, also: Sequence[str] = ())
 
 def filter_clauses(*texts: str | None) -> Column | None:
     """All ``;``-separated clauses of all texts, joined by AND; None without any."""
-    clauses = [c.strip() for t in texts if t for c in _CLAUSE_END.split(t)]
+    clauses = [c.strip() for t in texts if t for c in _clauses(t)]
     return reduce(and_, [F.expr(c) for c in clauses if c]) if any(clauses) else None
 
 
+def _clauses(text: str) -> list[str]:
+    ends = [m.start() for m in _QUOTED_OR_END.finditer(text) if m[0] == ";"]
+    return [text[a:b] for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(text)])]
+
+
 def where_clauses(df: DataFrame, *texts: str | None) -> DataFrame:
     """Filter by registry text; the plain predicates reach the file scan."""
     condition = filter_clauses(*texts)

@@ -68,12 +68,14 @@ def failure_summary(df: DataFrame, columns: Sequence) -> DataFrame:
 
 
 def constraint_violations(df: DataFrame, columns: Sequence) -> DataFrame:
-    """(constraint_name, violations) for range and custom rules.
+    """(constraint_name, violations) for NOT NULL, range and custom rules.
 
-    As for an SQL CHECK, a NULL outcome is no violation.
+    As for an SQL CHECK, a NULL outcome of the latter two is no violation.
     """
     named = {}
     for c in _ruled(df, columns):
+        if not c.nullable:
+            named[f"{c.name}_not_null"] = c.value.isNull()
         named.update({name: ~rule for name, rule in c.constraints().items()})
     return _counts(df, named, "constraint_name", "violations")
 
