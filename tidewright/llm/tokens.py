@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-# Words whose ids a worker keeps; beyond that it forgets them all and starts anew.
+# Words whose ids a task keeps; beyond that it forgets them all and starts anew.
 # A word takes about 200 bytes.
 KEPT_WORDS = 600_000
 
@@ -50,12 +50,13 @@ class Encoder:
     """Encodes texts with the tokenizer of one file."""
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.words = _Known(self._word)
         self.letters = _Known(self._letters)
+        self.marks = _Known(self._marks)
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -70,10 +71,9 @@ class Encoder:
         # the marks behind it are another.
         if body.isalpha() and max(body) < "Ā":
             ids = self.letters[body.lower()]
-            return ids if len(body) == len(text) else ids + self._marks(text[len(body) :])
+            return ids if len(body) == len(text) else ids + self.marks[text[len(body) :]]
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    @lru_cache(maxsize=4096)  # noqa: B019 - an encoder lives as long as its process
     def _marks(self, marks: str) -> bytes:
         return self._packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
 
@@ -86,6 +86,11 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
+def _tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 def encoder(path: str) -> Encoder:
-    """One encoder a process and file."""
+    """An encoder for one task: the file is read once a process, but the words that
+    are kept go with the task, as a Python worker outlives many."""
     return Encoder(path)

@@ -49,7 +49,7 @@ LEAST_SHARE, LEAST_TEXTS = 0.01, 3  # of the toxic texts, for a learned entry
 # Log-likelihood ratio a learned entry needs: chance among a million keys gives less.
 EVIDENCE = 14.0
 TIMES = 5  # occurrences in a text that count at most
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
