@@ -21,7 +21,7 @@ from tidewright.llm.text import mixed, slice_of, split_by
 
 OPEN, KNOWN = 0, 1
 # Bytes of texts in a block.
-BLOCK = 3 << 20
+BLOCK = 2 << 20
 
 ROWS = "slice int, kind int, hashes binary, places binary, runs binary, ranks binary, tags binary"
 BLOCKS = "bucket int, places binary, runs binary, ranks binary, tags binary"
