@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +17,22 @@ from tidewright.settings import fresh_folder
 BROADCAST_ROWS = 100_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, which need not have the
+    driver's path: once a session, unless PYTHONPATH names the package's folder."""
+    root, context = pathlib.Path(__file__).resolve().parents[2], spark.sparkContext
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.applicationId in _shipped or str(root) in known:
+        return
+    # Spark itself hands the archive from the driver to the executors.
+    archive = f"{tempfile.mkdtemp(prefix='tidewright-')}/tidewright"
+    context.addPyFile(shutil.make_archive(archive, "zip", root, "tidewright"))
+    _shipped.add(context.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -20,6 +41,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, and read again
     from there whatever executors are lost."""
     spark = df.sparkSession
+    ship(spark)
     folder = fresh_folder(spark, purpose)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
@@ -46,6 +68,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def id_and_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Only the two columns an operator reads, as bigint and string."""
+    ship(docs.sparkSession)
     return docs.select(
         F.col(f"`{id_column}`").cast("bigint").alias("doc_id"),
         F.col(f"`{text_column}`").cast("string").alias("text"),
