@@ -70,7 +70,7 @@ class Words:
         starts[heads] = inside[heads]
         ends = inside.copy()
         ends[:-1] &= ~inside[1:] | starts[1:]
-        self.data = data
+        self.data, self.inside = data, inside
         self.start = np.flatnonzero(starts)
         self.end = np.flatnonzero(ends) + 1
         # words of text t: first[t] to first[t + 1]
@@ -92,8 +92,12 @@ class Words:
         powers[1:] = _BASE
         np.multiply.accumulate(powers, out=powers)
         begin = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-        terms = _VALUES[self.data[place + np.repeat(self.start, lengths)]] * powers[place]
+        kind = np.int32 if len(self.data) < 1 << 31 else np.int64
+        place = np.arange(int(lengths.sum()), dtype=kind)
+        place -= np.repeat(begin.astype(kind), lengths)
+        # Word bytes, one after the other; in place, as these are the largest arrays.
+        terms = _VALUES[self.data[self.inside]]
+        terms *= powers[place]
         return mixed(np.add.reduceat(terms, begin) + lengths.astype(np.uint64))
 
 
