@@ -10,6 +10,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.operators.joins import size_in_bytes
 from tidewright.settings import fresh_folder
 
 # A side of a join is broadcast only when it has been counted to have at most
@@ -17,12 +18,20 @@ from tidewright.settings import fresh_folder
 BROADCAST_ROWS = 100_000
 
 
+# Bytes of an Arrow batch. A batch exists several times, in the JVM and in Python,
+# for each core; Spark's default of 64 MB would take most of a small executor.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Makes this package importable in Python workers, which need not have the
-    driver's path: once a session, unless PYTHONPATH names the package's folder."""
+def prepare(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to ``BATCH_BYTES``, and makes this package
+    importable in Python workers, which need not have the driver's path: once a
+    session, unless PYTHONPATH names the package's folder."""
+    if not 0 < size_in_bytes(spark.conf.get(_BATCH)) <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     root, context = pathlib.Path(__file__).resolve().parents[2], spark.sparkContext
     known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     if context.applicationId in _shipped or str(root) in known:
@@ -41,7 +50,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, and read again
     from there whatever executors are lost."""
     spark = df.sparkSession
-    ship(spark)
+    prepare(spark)
     folder = fresh_folder(spark, purpose)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
@@ -68,7 +77,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def id_and_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Only the two columns an operator reads, as bigint and string."""
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(
         F.col(f"`{id_column}`").cast("bigint").alias("doc_id"),
         F.col(f"`{text_column}`").cast("string").alias("text"),
