@@ -6,11 +6,19 @@ about 2**-64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+# Python workers live on between tasks, several to a core. Arrays of 2 MB and
+# more are mapped by themselves (M_MMAP_THRESHOLD), so that the system has them back
+# when they are freed; else the C library would keep the largest ones.
+with contextlib.suppress(OSError, AttributeError):
+    ctypes.CDLL(None).mallopt(-3, 2 << 20)
+
 # The white space that ends a word: blank and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
