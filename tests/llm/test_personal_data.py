@@ -77,6 +77,15 @@ def test_repeats_of_an_entity_are_added(spark):
     assert out[3].spans == "" and out[3].n_phone == 0
 
 
+def test_every_shape_keeps_its_counts(spark, monkeypatch):
+    monkeypatch.setattr(op, "SHAPES", 3, raising=False)
+    text = "call +1 (017) 555-7713 now and again 555-7713"
+    orders = "x 123-4567 " * 12_000
+    phones = [(3 + k, " ".join(f"x +1 (017) 555-{i:05d}" for i in range(k, 15_000, 10))) for k in range(10)]
+    assert rows_of(op.find_personal_data(docs(spark, [(1, text), (2, orders), *phones])))[1].n_added == 0
+    assert op.shape("1" * 70 + "-1") != op.shape("1" * 70 + "-11")
+
+
 def test_messages_agree_with_exact_marginals_on_a_tree():
     field = op.Field({"99": [1, 5, 2, 9, 3]}, np.arange(25.0).reshape(5, 5), np.eye(5) * 9)
     tokens = op.Tokens("55 66 x 77 88", [(2, 0, 2)])

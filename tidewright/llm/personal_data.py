@@ -21,14 +21,16 @@ joined in a row, not in all pairs, so edges grow with the tokens.
 
 Cases: a null text counts as empty and has no span. Ids may be null or repeated;
 each row is judged alone. An empty table gives an empty result. Shapes are
-counted over all rows; the ``SHAPES`` most frequent are told apart, the others
-share one potential.
+counted over all rows and all kept, as a table; it is joined to the shapes of the
+rows that have something to decide.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -37,12 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import id_and_text
+from tidewright.llm.common import id_and_text, small_side, written
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = len(KINDS)
 LABELS = len(KINDS) + 1
-SHAPES = 5000
 SURE = 0.9  # marginal from which an unmatched token becomes a span
 EVIDENCE = 8.0  # of a pattern's match for its label
 SKIP = 9.0  # for equal labels of similar tokens, beside what the corpus shows
@@ -113,10 +114,14 @@ def as_text(spans: list[tuple[int, int, int]]) -> str:
 
 def shape(token: str) -> str:
     """Digits as 9, letters as a (three at most in a row), other characters as they
-    are; without marks at the ends but for a plus sign in front."""
-    core = _CORE.search(token[:64])
-    body = re.sub(r"[^\W\d_]+", lambda m: "a" * min(3, len(m[0])), core[0] if core else token[:8])
-    return "+" * token.startswith("+") + re.sub(r"[0-9]", "9", body)
+    are; without marks at the ends but for a plus sign in front. A long one is told
+    by its digest."""
+    core = _CORE.search(token)
+    body = re.sub(r"[^\W\d_]+", lambda m: "a" * min(3, len(m[0])), core[0] if core else token)
+    body = "+" * token.startswith("+") + re.sub(r"[0-9]", "9", body)
+    if len(body) <= 64:
+        return body
+    return "#" + hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 class Tokens:
@@ -136,6 +141,11 @@ class Tokens:
             for k in np.flatnonzero((starts < b) & (ends > a)):
                 self.labels[k] = kind
 
+    def bounds(self, k: int) -> tuple[int, int]:
+        """Start and end of a token without marks at its ends; equal if it is all marks."""
+        core = _CORE.search(self.words[k])
+        return (self.at[k] + core.start(), self.at[k] + core.end()) if core else (self.at[k],) * 2
+
     def forms(self, k: int) -> set[str]:
         """What a distant token must share to be similar."""
         core = _CORE.search(self.words[k])
@@ -186,13 +196,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Field:
-    """The potentials of the field."""
-
-    def __init__(self, shapes: dict[str, list[int]], chain: np.ndarray, skip: np.ndarray):
-        total = np.sum([v for v in shapes.values()], axis=0) if shapes else np.zeros(LABELS)
-        prior = (total + 1) / (total + 1).sum()
-        self.rest = np.log(prior)
-        self.own = {s: np.log((np.array(v) + prior) / (sum(v) + 1)) for s, v in shapes.items()}
+    """The potentials of the field. ``total`` counts the labels of all shapes, where
+    ``shapes`` has not all of them."""
+
+    def __init__(self, shapes: dict[str, list[int]], chain: np.ndarray, skip: np.ndarray, total=None):
+        if total is None:
+            total = np.sum([v for v in shapes.values()], axis=0) if shapes else np.zeros(LABELS)
+        self.prior = (total + 1) / (total + 1).sum()
+        self.rest = np.log(self.prior)
+        self.own = {s: self.potential(v) for s, v in shapes.items()}
         # Neighbours: log of how much more often a pair occurs than by its labels alone.
         joint = (chain + 1) / (chain + 1).sum()
         self.chain = np.log(joint / (joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True)))
@@ -202,15 +214,24 @@ class Field:
         same = np.trace(entity)
         self.skip = np.eye(LABELS) * (math.log((same + 5) / (entity.sum() - same + 1)) + SKIP)
 
+    def potential(self, counts: list[int]) -> np.ndarray:
+        """A shape's own potential from the counts of its labels."""
+        return np.log((np.array(counts) + self.prior) / (sum(counts) + 1))
+
     def marginals(self, tokens: Tokens, nodes: list[int], edges: list[tuple[int, int, bool]]) -> np.ndarray:
-        """Loopy belief propagation over some tokens; edges are (a, b, whether a skip)."""
+        """Of some tokens; edges are (a, b, whether a skip)."""
         number = {k: i for i, k in enumerate(nodes)}
-        own = np.array([self.own.get(shape(tokens.words[k]), self.rest) for k in nodes])
-        for i, k in enumerate(nodes):
-            if tokens.labels[k] != OUTSIDE:
-                own[i, tokens.labels[k]] += EVIDENCE
-        a = np.array([number[e[0]] for e in edges])
-        b = np.array([number[e[1]] for e in edges])
+        own = [self.own.get(shape(tokens.words[k]), self.rest) for k in nodes]
+        return self.passed(own, [tokens.labels[k] for k in nodes], [(number[a], number[b], s) for a, b, s in edges])
+
+    def passed(self, own: list[np.ndarray], labels: list[int], edges: list[tuple[int, int, bool]]) -> np.ndarray:
+        """Marginals by loopy belief propagation over nodes of these own potentials and labels."""
+        own = np.array(own)
+        for i, label in enumerate(labels):
+            if label != OUTSIDE:
+                own[i, label] += EVIDENCE
+        a = np.array([e[0] for e in edges])
+        b = np.array([e[1] for e in edges])
         pair = np.array([self.skip if e[2] else self.chain for e in edges])
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
@@ -231,94 +252,131 @@ class Field:
         belief = np.exp(belief - belief.max(axis=1, keepdims=True))
         return belief / belief.sum(axis=1, keepdims=True)
 
-    def more(self, text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Spans of unmatched tokens that the field labels."""
-        if not spans:
-            return []
-        tokens = Tokens(text, spans)
-        skips = tokens.skips()
-        if not any((tokens.labels[a] == OUTSIDE) != (tokens.labels[b] == OUTSIDE) for a, b in skips):
-            return []
-        edges = [(a, b, False) for a, b in tokens.chain()] + [(a, b, True) for a, b in skips]
-        parent = list(range(len(tokens.words)))
-
-        def top(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = k = parent[parent[k]]
-            return k
-
-        for a, b, _ in edges:
-            parent[top(a)] = top(b)
-        parts = defaultdict(list)
-        for k in range(len(parent)):
-            parts[top(k)].append(k)
-        by_part = defaultdict(list)
-        for e in edges:
-            by_part[top(e[0])].append(e)
-        found = []
-        for part, nodes in parts.items():
-            if len({tokens.labels[k] == OUTSIDE for k in nodes}) < 2:
-                continue
-            marginals = self.marginals(tokens, nodes, by_part[part])
-            for k, m in zip(nodes, marginals):
-                kind = int(m.argmax())
-                core = _CORE.search(tokens.words[k])
-                if tokens.labels[k] == OUTSIDE and kind != OUTSIDE and m[kind] >= SURE and core:
-                    found.append((kind, tokens.at[k] + core.start(), tokens.at[k] + core.end()))
-        return found
-
 
-def train(source: DataFrame) -> Field:
-    """Potentials from the counts of all rows (a column ``text``). What comes to the
-    driver are the counts of at most SHAPES shapes and of label pairs."""
+def open_parts(tokens: Tokens) -> Iterator[tuple[list[int], list[tuple[int, int, bool]]]]:
+    """The nodes and edges of each part that joins a matched and an unmatched token."""
+    skips = tokens.skips()
+    if not any((tokens.labels[a] == OUTSIDE) != (tokens.labels[b] == OUTSIDE) for a, b in skips):
+        return
+    edges = [(a, b, False) for a, b in tokens.chain()] + [(a, b, True) for a, b in skips]
+    parent = list(range(len(tokens.words)))
+
+    def top(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    for a, b, _ in edges:
+        parent[top(a)] = top(b)
+    parts, by_part = defaultdict(list), defaultdict(list)
+    for k in range(len(parent)):
+        parts[top(k)].append(k)
+    for e in edges:
+        by_part[top(e[0])].append(e)
+    for part, nodes in parts.items():
+        if len({tokens.labels[k] == OUTSIDE for k in nodes}) > 1:
+            yield nodes, by_part[part]
+
+
+def train(source: DataFrame) -> tuple[Field, DataFrame]:
+    """The field without own potentials, from the counts of all rows (a column
+    ``text``), and the table of all shapes and the counts of their labels. What comes
+    to the driver are the counts of labels and of label pairs."""
     counts = source.select("text").mapInArrow(_counted, "what string, shape string, a int, b int, n bigint")
-    summed = counts.groupBy("what", "shape", "a", "b").agg(F.sum("n").alias("n"))
-    labels = [F.sum(F.when((F.col("a") == y), F.col("n")).otherwise(0)).alias(f"y{y}") for y in range(LABELS)]
-    shapes = (
-        summed.where("what = 'shape'")
-        .groupBy("shape")
-        .agg(*labels, F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "shape")
-        .limit(SHAPES)
-        .collect()
-    )
-    pairs = {"chain": np.zeros((LABELS, LABELS)), "skip": np.zeros((LABELS, LABELS))}
-    for r in summed.where("what <> 'shape'").collect():
-        pairs[r.what][r.a, r.b] = r.n
-    return Field({r.shape: [r[f"y{y}"] for y in range(LABELS)] for r in shapes}, **pairs)
+    labels = [F.sum(F.when(F.col("a") == y, F.col("n")).otherwise(0)) for y in range(LABELS)]
+    table = written(counts.groupBy("what", "shape", "b").agg(F.array(*labels).alias("counts")), "shape-counts")
+    sums = [F.sum(F.col("counts")[y]) for y in range(LABELS)]
+    of = {"chain": np.zeros((LABELS, LABELS)), "skip": np.zeros((LABELS, LABELS)), "shape": np.zeros((LABELS, 1))}
+    for r in table.groupBy("what", "b").agg(F.array(*sums).alias("counts")).collect():
+        of[r.what][:, r.b] = r.counts
+    return Field({}, of["chain"], of["skip"], of["shape"][:, 0]), table.where("what = 'shape'").select("shape", "counts")
 
 
-def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: doc_id, counts of the patterns' matches by kind, base_spans and
-    spans (kind:start:end in code points, end exclusive, by kind and start)."""
-    source = id_and_text(docs, id_column, text_column)
-    field = train(source)
+_COUNTS = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_spans string"
+_PARTS = pa.list_(pa.struct([("shapes", pa.list_(pa.string())), ("nodes", pa.list_(pa.int32())), ("edges", pa.list_(pa.int32()))]))
+
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The patterns' spans of each row, and its parts with something to decide: per
+    node its shape and (label, start, end), per edge (a, b, whether a skip)."""
+    for batch in batches:
+        counts: list[list[int]] = [[] for _ in KINDS]
+        base, every, keys = [], [], []
+        for text in batch.column("text"):
+            text = text.as_py() or ""
+            spans = base_spans(text)
+            parts = []
+            if spans:
+                tokens = Tokens(text, spans)
+                for nodes, edges in open_parts(tokens):
+                    number = {k: i for i, k in enumerate(nodes)}
+                    parts.append(
+                        {
+                            "shapes": [shape(tokens.words[k]) for k in nodes],
+                            "nodes": [x for k in nodes for x in (tokens.labels[k], *tokens.bounds(k))],
+                            "edges": [x for a, b, skip in edges for x in (number[a], number[b], int(skip))],
+                        }
+                    )
+            for kind, column in enumerate(counts):
+                column.append(sum(s[0] == kind for s in spans))
+            base.append(as_text(spans))
+            every.append(parts or None)
+            keys.append(uuid.uuid4().hex if parts else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id")]
+            + [pa.array(c, pa.int64()) for c in counts]
+            + [pa.array(base, pa.string()), pa.array(keys, pa.string()), pa.array(every, _PARTS)],
+            ["doc_id", *(f"n_{k}" for k in KINDS), "base_spans", "row", "parts"],
+        )
+
+
+def _decided(field: Field):
+    """The spans of rows with parts, whose shapes' counts are in ``own``."""
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: list[list[int]] = [[] for _ in KINDS]
-            base, every, more = [], [], []
-            for text in batch.column("text"):
-                text = text.as_py() or ""
-                spans = base_spans(text)
-                added = field.more(text, spans)
-                for kind, column in enumerate(counts):
-                    column.append(sum(s[0] == kind for s in spans))
-                base.append(as_text(spans))
-                every.append(as_text(sorted({*spans, *added})))
+            every, more = [], []
+            for base, parts, own in zip(*(batch.column(c).to_pylist() for c in ("base_spans", "parts", "own"))):
+                known = {r["shape"]: field.potential(r["counts"]) for r in own or ()}
+                added = []
+                for part in parts:
+                    nodes = np.array(part["nodes"]).reshape(-1, 3).tolist()
+                    edges = np.array(part["edges"]).reshape(-1, 3).tolist()
+                    potentials = [known.get(s, field.rest) for s in part["shapes"]]
+                    marginals = field.passed(potentials, [n[0] for n in nodes], edges)
+                    for (label, start, end), m in zip(nodes, marginals):
+                        kind = int(m.argmax())
+                        if label == OUTSIDE and kind != OUTSIDE and m[kind] >= SURE and start < end:
+                            added.append((kind, start, end))
+                kinds = (s.split(":") for s in base.split(","))
+                spans = {(KINDS.index(k), int(a), int(b)) for k, a, b in kinds}
+                every.append(as_text(sorted(spans.union(added))))
                 more.append(len(added))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")]
-                + [pa.array(c, pa.int64()) for c in counts]
-                + [pa.array(base, pa.string()), pa.array(every, pa.string()), pa.array(more, pa.int64())],
+                [batch.column(c) for c in ("doc_id", *(f"n_{k}" for k in KINDS), "base_spans")]
+                + [pa.array(every, pa.string()), pa.array(more, pa.int64())],
                 ["doc_id", *(f"n_{k}" for k in KINDS), "base_spans", "spans", "n_added"],
             )
 
-    return source.mapInArrow(
-        found,
-        "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-        "base_spans string, spans string, n_added bigint",
+    return decide
+
+
+def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per row: doc_id, counts of the patterns' matches by kind, base_spans and
+    spans (kind:start:end in code points, end exclusive, by kind and start)."""
+    source = id_and_text(docs, id_column, text_column)
+    field, shapes = train(source)
+    parts = "array<struct<shapes: array<string>, nodes: array<int>, edges: array<int>>>"
+    # Written, as the keys of rows are drawn at random.
+    rows = written(source.mapInArrow(_matched, f"{_COUNTS}, row string, parts {parts}"), "personal-data")
+    undecided = rows.where("row is not null")
+    wanted = undecided.select("row", F.explode(F.array_distinct(F.flatten("parts.shapes"))).alias("shape"))
+    own = wanted.join(small_side(shapes), "shape").groupBy("row").agg(F.collect_list(F.struct("shape", "counts")).alias("own"))
+    decided = undecided.join(own, "row", "left").mapInArrow(
+        _decided(field), f"{_COUNTS}, spans string, n_added bigint"
     )
+    plain = rows.where("row is null").drop("row", "parts")
+    return plain.select("*", F.col("base_spans").alias("spans"), F.lit(0).cast("bigint").alias("n_added")).unionByName(decided)
 
 
 def digest(found: DataFrame) -> DataFrame:
