@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.llm.centroids import cluster_vectors
 from tidewright.llm.common import documents
 from tidewright.llm.decontamination import contamination
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.ngram_join import ngram_components
+from tidewright.llm.oracles import centroids_sql
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.personal_data import digest, find_personal_data
 from tidewright.llm.quality import classify
@@ -70,7 +72,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids, op6_ngram_jaccard, op7_token_counts, op8_packing, op9_quality, op10_toxicity)}
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids,
+        op6_ngram_jaccard, op7_token_counts, op8_packing, op9_quality, op10_toxicity, op11_centroids,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
@@ -104,4 +116,5 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(body, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op11_centroids": centroids_sql(),
 }
