@@ -42,3 +42,69 @@ def centroids_sql(clusters: int = 8, rounds: int = 10, size: int = 64) -> str:
                count(*) OVER (PARTITION BY k) AS cluster_size
         FROM a{rounds} JOIN c{rounds} USING (k)
     """
+
+
+def _level_sql(name: str, below: str, group: str, carried: str) -> str:
+    """The level above table ``below`` (group, r, h): runs of three become one node, trees
+    of one node stay as they are."""
+    return f"""{name} AS MATERIALIZED (
+        SELECT {group}, r // 3 AS r, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE min(h) END AS h
+        FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {below}) GROUP BY {group}, r // 3
+    ), {carried} AS MATERIALIZED (
+        SELECT {group}, r,
+               CASE WHEN n > 1 THEN coalesce(string_agg(h, '' ORDER BY r) OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS lhs,
+               CASE WHEN n > 1 THEN coalesce(string_agg(h, '' ORDER BY r) OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS rhs,
+               n > 1 AS real
+        FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS n FROM {below})
+        WINDOW run AS (PARTITION BY {group}, r // 3 ORDER BY r)
+    )"""
+
+
+def merkle_sql(levels: int = 12, top_levels: int = 6) -> str:
+    """Trees of up to 3**levels rows a source and 3**top_levels sources, level by level."""
+
+    def field(value: str) -> str:
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+    def leaf(text: str) -> str:
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return f"sha256({' || '.join(field(v) for v in values)})"
+
+    # Bits of the checksum, byte by byte: its decimal digits are 48 and more.
+    checksum = (
+        "xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+        "lambda d: list_concat([CAST(ascii(d) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))), "
+        "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+    )
+    parts = [
+        f"""d AS (
+            SELECT doc_id, source, {leaf('text')} AS leaf,
+                   {leaf("CASE WHEN " + checksum + " % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS shown
+            FROM documents
+        )""",
+        """ranked AS MATERIALIZED (
+            SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM d
+        )""",
+        "n0 AS (SELECT t, r, leaf AS h FROM ranked)",
+    ]
+    parts += [_level_sql(f"n{k + 1}", f"n{k}", "t", f"s{k}") for k in range(levels)]
+    parts.append(f"u0 AS (SELECT 0 AS g, t AS r, h FROM n{levels})")
+    parts += [_level_sql(f"u{k + 1}", f"u{k}", "g", f"v{k}") for k in range(top_levels)]
+    parts.append("f0 AS (SELECT doc_id, leaf, t, r, t AS top, shown AS f, '' AS proof FROM ranked)")
+    step = """{after} AS MATERIALIZED (
+        SELECT doc_id, leaf, {before}.t, {r}, {top}, CASE WHEN real THEN sha256(lhs || f || rhs) ELSE f END AS f,
+               proof || lhs || rhs AS proof
+        FROM {before} JOIN {sides} ON {on}
+    )"""
+    for k in range(levels):
+        parts.append(step.format(after=f"f{k + 1}", before=f"f{k}", sides=f"s{k}", r=f"f{k}.r // 3 AS r", top="top", on=f"s{k}.t = f{k}.t AND s{k}.r = f{k}.r"))
+    for k in range(levels, levels + top_levels):
+        parts.append(step.format(after=f"f{k + 1}", before=f"f{k}", sides=f"v{k - levels}", r=f"f{k}.r", top="top // 3 AS top", on=f"v{k - levels}.r = top"))
+    last = f"f{levels + top_levels}"
+    return f"""
+        WITH {", ".join(parts)}
+        SELECT doc_id, leaf, n{levels}.h AS subroot, u{top_levels}.h AS root, sha256(proof) AS proof_sha256,
+               f AS folded_root, strlen(proof) // 64 AS n_siblings, f = u{top_levels}.h AS verified
+        FROM {last} JOIN n{levels} ON n{levels}.t = {last}.t, u{top_levels}
+    """

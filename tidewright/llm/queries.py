@@ -11,8 +11,9 @@ from tidewright.llm.centroids import cluster_vectors
 from tidewright.llm.common import documents
 from tidewright.llm.decontamination import contamination
 from tidewright.llm.exact_dedup import exact_dedup
+from tidewright.llm.merkle import build, proofs, without_line_ends
 from tidewright.llm.ngram_join import ngram_components
-from tidewright.llm.oracles import centroids_sql
+from tidewright.llm.oracles import centroids_sql, merkle_sql
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.personal_data import digest, find_personal_data
 from tidewright.llm.quality import classify
@@ -76,11 +77,17 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return proofs(build(docs, presented={"text": without_line_ends(docs)}))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids,
         op6_ngram_jaccard, op7_token_counts, op8_packing, op9_quality, op10_toxicity, op11_centroids,
+        op12_merkle_manifest,
     )
 }
 
@@ -117,4 +124,5 @@ ORACLES: dict[str, str] = {
         FROM d LEFT JOIN kept USING (doc_id)
     """,
     "op11_centroids": centroids_sql(),
+    "op12_merkle_manifest": merkle_sql(),
 }
