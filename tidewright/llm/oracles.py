@@ -108,3 +108,82 @@ def merkle_sql(levels: int = 12, top_levels: int = 6) -> str:
                f AS folded_root, strlen(proof) // 64 AS n_siblings, f = u{top_levels}.h AS verified
         FROM {last} JOIN n{levels} ON n{levels}.t = {last}.t, u{top_levels}
     """
+
+
+def quality_rules_sql() -> str:
+    """Counts, sketches by log-linear bins, fences of the narrowest group of 200 rows, verdicts."""
+    measures = {
+        "symbols": ("1000 * n_symbols // greatest(word_chars, 1)", 15),
+        "repeated_lines": ("1000 * n_dup_lines // greatest(n_lines, 1)", 50),
+        "repeated_words": ("1000 * n_repeat_words // greatest(n_words, 1)", 50),
+        "word_length": ("100 * word_chars // greatest(n_words, 1)", 30),
+    }
+    values = " UNION ALL ".join(
+        f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM rows WHERE NOT base_failed" for m in measures
+    )
+    levels = ["lang, source", "lang, NULL AS source", "NULL AS lang, NULL AS source"]
+    binned = " UNION ALL ".join(
+        f"""SELECT {n} AS level, {group}, measure, bin, count(*) AS n FROM (
+            SELECT *, CASE WHEN v < 64 THEN v ELSE 32 * (length(bin(v)) - 6) + (v >> CAST(length(bin(v)) - 6 AS BIGINT)) END AS bin FROM values_
+        ) GROUP BY ALL"""
+        for n, group in enumerate(levels)
+    )
+    top = "CASE WHEN {b} < 64 THEN {b} ELSE (({b} - 32 * ({b} // 32 - 1) + 1) << ({b} // 32 - 1)) - 1 END"
+    spread = "CASE measure " + " ".join(f"WHEN '{m}' THEN {s}" for m, (_, s) in measures.items()) + " END"
+    rules = ", ".join(
+        f"""CASE WHEN NOT base_failed AND ({m} > f_{m}.most{f" OR {m} < f_{m}.least" if m == "word_length" else ""}) THEN '{m}' END"""
+        for m in measures
+    )
+    joins = " ".join(
+        f"LEFT JOIN picked f_{m} ON f_{m}.measure = '{m}' AND f_{m}.lang IS NOT DISTINCT FROM rows.lang AND f_{m}.source IS NOT DISTINCT FROM rows.source"
+        for m in measures
+    )
+    return f"""
+        WITH d AS (
+            SELECT doc_id, lang, source, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, p, words[p:p + 2] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM d)
+        ), repeated AS (
+            SELECT doc_id, count(DISTINCT p + k) AS n FROM (
+                SELECT doc_id, p FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+            ), (SELECT unnest(range(0, 3)) AS k) GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, count(*) AS n, count(DISTINCT line) AS kinds
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+        ), counts AS (
+            SELECT doc_id, lang, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+                   coalesce(lines.n - kinds, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+                   coalesce(lines.n, 0) AS n_lines
+            FROM d LEFT JOIN repeated USING (doc_id) LEFT JOIN lines USING (doc_id)
+        ), rows AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                   {", ".join(f"{v} AS {m}" for m, (v, _) in measures.items())}
+            FROM counts
+        ), values_ AS ({values}), sketches AS ({binned}), ranks AS (
+            SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS upto,
+                   sum(n) OVER (PARTITION BY level, lang, source, measure) AS members FROM sketches
+        ), quartiles AS (
+            SELECT level, lang, source, measure, members, min(bin) FILTER (4 * upto >= members) AS a,
+                   min(bin) FILTER (4 * upto >= 3 * members) AS b
+            FROM ranks GROUP BY ALL
+        ), fences AS (
+            SELECT level, lang, source, measure, members, {top.format(b="a")} AS q1, {top.format(b="b")} AS q3,
+                   q3 + 3 * greatest(q3 - q1, {spread}) AS most, q1 - 3 * greatest(q3 - q1, {spread}) AS least
+            FROM quartiles
+        ), picked AS (
+            SELECT g.lang, g.source, g.measure,
+                   CASE WHEN g.members >= 200 THEN g.most WHEN l.members >= 200 THEN l.most ELSE t.most END AS most,
+                   CASE WHEN g.members >= 200 THEN g.least WHEN l.members >= 200 THEN l.least ELSE t.least END AS least
+            FROM fences g JOIN fences l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM g.lang AND l.measure = g.measure
+            JOIN fences t ON t.level = 2 AND t.measure = g.measure WHERE g.level = 0
+        ), verdicts AS (
+            SELECT rows.*, list_filter([{rules}], lambda x: x IS NOT NULL) AS broken FROM rows {joins}
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
+               array_to_string(list_sort(broken), ',') AS failed_rules, NOT base_failed AND len(broken) = 0 AS kept
+        FROM verdicts
+    """

@@ -13,10 +13,11 @@ from tidewright.llm.decontamination import contamination
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.merkle import build, proofs, without_line_ends
 from tidewright.llm.ngram_join import ngram_components
-from tidewright.llm.oracles import centroids_sql, merkle_sql
+from tidewright.llm.oracles import centroids_sql, merkle_sql, quality_rules_sql
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.personal_data import digest, find_personal_data
 from tidewright.llm.quality import classify
+from tidewright.llm.quality_rules import judge
 from tidewright.llm.substring_dedup import substring_dedup
 from tidewright.llm.token_counts import maintained_counts
 from tidewright.llm.token_files import token_files
@@ -82,12 +83,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs(build(docs, presented={"text": without_line_ends(docs)}))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_substring_dedup, op3_decontamination, op4_personal_data, op5_token_ids,
         op6_ngram_jaccard, op7_token_counts, op8_packing, op9_quality, op10_toxicity, op11_centroids,
-        op12_merkle_manifest,
+        op12_merkle_manifest, op13_quality_rules,
     )
 }
 
@@ -125,4 +130,5 @@ ORACLES: dict[str, str] = {
     """,
     "op11_centroids": centroids_sql(),
     "op12_merkle_manifest": merkle_sql(),
+    "op13_quality_rules": quality_rules_sql(),
 }
