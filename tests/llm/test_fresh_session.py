@@ -1,0 +1,39 @@
+"""Every operator with Python workers, as the first query of a session of its own, in a
+process that runs outside the repository: only the driver knows the package's path."""
+
+import os
+import pathlib
+import subprocess
+import sys
+
+ROOT = pathlib.Path(__file__).resolve().parents[2]
+
+PROGRAM = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+import __spark_entry__ as driver
+
+for name in sys.argv[3:]:
+    spark = (
+        SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[2]).getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    print(name, driver.queries()[name](spark, "/root/testdata/sf0.001").count() > 0, flush=True)
+    spark.stop()
+"""
+
+NAMES = [
+    "op1_exact_dedup", "op2_substring_dedup", "op3_decontamination", "op4_personal_data", "op5_token_ids",
+    "op6_ngram_jaccard", "op7_token_counts", "op8_packing", "op9_quality", "op13_quality_rules",
+]
+
+
+def test_each_operator_first(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", PROGRAM, str(ROOT), str(tmp_path / "shared"), *NAMES],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600,
+    )
+    assert [line for line in done.stdout.splitlines() if line.startswith("op")] == [f"{n} True" for n in NAMES], done.stderr[-2000:]

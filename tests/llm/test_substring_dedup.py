@@ -1,7 +1,9 @@
 import random
 import re
 
-from helpers import docs
+import pytest
+
+from helpers import by_id, docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -101,3 +103,14 @@ def test_words_and_windows(texts, size):
     found = windows(hashes, size).tolist()
     grams = [tuple(flat[i : i + size]) for i in range(max(0, len(flat) - size + 1))]
     assert len(found) == len(grams) and len(set(zip(found, grams))) == len(set(found)) == len(set(grams))
+
+
+def thue_morse(n, swap=False):
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_of_patterns_that_powers_of_one_base_confuse(spark, n):
+    rows = [(i, " ".join(["w"] * 19 + [thue_morse(n, i == 1)])) for i in range(2)]
+    rows += [(2, " ".join(f"{thue_morse(n, k % 2)}{k}" for k in range(30)))]
+    assert by_id(op.substring_dedup(docs(spark, rows)), "n_removed") == {0: (0,), 1: (0,), 2: (0,)}

@@ -96,3 +96,11 @@ def test_query_finds_held_out_labels(spark):
     # Some texts labelled toxic there are repeated lines or rows of a table only.
     auc = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / (len(toxic) * len(clean))
     assert auc > 0.94
+
+
+def test_sample_has_one_row_for_each_id(spark):
+    """An id on very many rows neither fills the sample nor outweighs the others."""
+    rows = [(7, f"repeated text {k % 5}") for k in range(3000)] + [(8, "another text")]
+    labels = spark.createDataFrame([(7, 1), (8, 0)], "doc_id bigint, toxic int")
+    sample = op._sample(docs(spark, rows).select("doc_id", "text"), labels)
+    assert sorted(r.toxic for r in sample.collect()) == [0, 1]

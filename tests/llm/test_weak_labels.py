@@ -78,3 +78,11 @@ def test_query_agrees_with_labels_it_never_saw(spark):
     assert np.mean([r.predicted == truth[r.doc_id] for r in known]) > 0.95
     good, bad = (np.array([r.score for r in known if truth[r.doc_id] == v]) for v in (1, 0))
     assert np.mean([(good > b).mean() + (good == b).mean() / 2 for b in bad]) > 0.95
+
+
+def test_sample_counts_a_repeated_text_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(op, "_trained", lambda rows: seen.append(len(rows)) or (op.np.zeros(op.BUCKETS), 0.0))
+    rows = [(i, f"text number {i} of its own") for i in range(60)] + [(100 + i, "the same text again") for i in range(900)]
+    op.classify(docs(spark, rows), sample=50).collect()
+    assert seen == [50]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import id_and_text
-from tidewright.llm.text import LOWER, Words, chunks, whole_windows
+from tidewright.llm.text import LOWER, Words, chunks, returning, whole_windows
 
 LEAST = 5
 COVERAGE = 0.5
@@ -215,7 +215,7 @@ def contamination(
                     ["doc_id", "text", "covered", "item", "tiles"],
                 )
 
-        current = current.mapInArrow(judge, state)
+        current = current.mapInArrow(returning(judge), state)
     tiles = F.expr(
         "transform(tiles, t -> named_struct('words', t[0], 'item_place', t[1], 'doc_place', t[2]))"
     ).cast(kind)
@@ -240,5 +240,5 @@ def without_contaminated(
                 clean = [c < coverage for c, _, _ in _judged(index, batch.column(text_column))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(returning(keep), docs.schema)
     return docs

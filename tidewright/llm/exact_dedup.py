@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import free_name, id_and_text, id_order, slices, small_side, written
-from tidewright.llm.text import binary
+from tidewright.llm.text import binary, returning
 
 _WHITE = b" \t\n\v\f\r"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -160,14 +160,14 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         ),
         "fingerprints",
     )
-    filters = rows.select("fingerprint").mapInArrow(_filters(slices(spark)), _FILTER)
+    filters = rows.select("fingerprint").mapInArrow(returning(_filters(slices(spark))), _FILTER)
     repeated = small_side(
         written(filters.groupBy("slice").applyInArrow(_repeated, "fingerprint bigint"), "repeated")
     )
     # Byte verification: groups of equal bytes among the rows of repeated fingerprints.
     classes = (
         source.select("text")
-        .mapInArrow(_normalised_rows, "fingerprint bigint, body binary")
+        .mapInArrow(returning(_normalised_rows), "fingerprint bigint, body binary")
         .join(repeated, "fingerprint", "left_semi")
         .groupBy("body")
         .agg(F.count("*").alias("group_size"))

@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import tokens
-from tidewright.llm.common import written
+from tidewright.llm.common import prepare, written
 from tidewright.llm.exact_dedup import normalised
-from tidewright.llm.text import binary
+from tidewright.llm.text import binary, of_group, returning
 
 CAPACITY = 2048
 GROUP_TOKENS = 1 << 20
@@ -61,12 +61,13 @@ def _sizes(tokenizer: str | None):
                 ["row", "doc_id", "source", "cluster", "size"],
             )
 
-    return sizes
+    return returning(sizes)
 
 
 def sizes(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Per row: row (a number of its own), doc_id, source, cluster (of equal
     texts), size in tokens."""
+    prepare(docs.sparkSession)
     source = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("bigint"),
@@ -137,6 +138,7 @@ def pack_sizes(
     rows: DataFrame, *, capacity: int = CAPACITY, one_per_source: bool = True, group_tokens: int = GROUP_TOKENS
 ) -> DataFrame:
     """Packs a written table of ``sizes``; its ``cluster`` may be any clustering."""
+    prepare(rows.sparkSession)
     total = rows.agg(F.sum("size")).first()[0] or 0
     groups = max(1, -(-total // group_tokens))
 
@@ -148,7 +150,7 @@ def pack_sizes(
         return pa.Table.from_pylist(out, _RESULT)
 
     group = F.pmod(F.xxhash64("doc_id", "row"), F.lit(groups)).alias("group")
-    return rows.select("*", group).groupBy("group").applyInArrow(pack, RESULT)
+    return rows.select("*", group).groupBy("group").applyInArrow(of_group(pack), RESULT)
 
 
 def pack_documents(docs: DataFrame, *, tokenizer: str | None = None, **options) -> DataFrame:

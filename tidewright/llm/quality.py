@@ -225,8 +225,9 @@ def _trained(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 40)
     return weights, bias
 
 
-def train(source: DataFrame) -> Model:
-    """Fits the labellers on all rows of ``source`` (doc_id, text) and the scorer on a sample."""
+def train(source: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fits the labellers on all rows of ``source`` (doc_id, text) and the scorer on at
+    most ``sample`` different texts."""
     counted = source.select("text").mapInArrow(_vote_counts, "code bigint, n bigint")
     rows = counted.groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()
     codes = np.array([r.code for r in rows], np.int64)
@@ -250,20 +251,23 @@ def train(source: DataFrame) -> Model:
 
     # The hashes are chosen first, so that no text is sorted.
     order = F.xxhash64("text")
-    limit = source.select(order.alias("order")).orderBy("order").limit(SAMPLE).agg(F.max("order")).first()[0]
+    hashes = source.select(order.alias("order")).distinct()  # copies count once
+    limit = hashes.orderBy("order").limit(sample).agg(F.max("order")).first()[0]
     chosen = source.select("text").where(order <= limit) if limit is not None else source.limit(0)
-    chosen = chosen.dropDuplicates(["text"])  # at most SAMPLE texts, copies once
-    sample = chosen.select("text").mapInArrow(sampled, "buckets binary, values binary, y double").collect()
-    rows = sorted((bytes(r["buckets"]), bytes(r["values"]), r["y"]) for r in sample)
+    chosen = chosen.dropDuplicates(["text"])  # at most ``sample`` texts
+    taught = chosen.select("text").mapInArrow(sampled, "buckets binary, values binary, y double").collect()
+    rows = sorted((bytes(r["buckets"]), bytes(r["values"]), r["y"]) for r in taught)
     weights, bias = _trained([(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32), y) for b, v, y in rows])
     return Model(good, tables, weights, bias)
 
 
-def classify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def classify(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, sample: int = SAMPLE
+) -> DataFrame:
     """Per row: doc_id, posterior (of the labellers), score (of the scorer) and
     predicted (1: good, where their mean reaches a half)."""
     source = id_and_text(docs, id_column, text_column)
-    model = train(source)
+    model = train(source, sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred kilobytes
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import prepare, small_side, written
-from tidewright.llm.text import SPACE, chunks
+from tidewright.llm.text import SPACE, chunks, returning
 
 PER_OCTAVE = 32
 FENCE = 3
@@ -151,7 +151,7 @@ def text_counts(docs: DataFrame, id_column: str, text_column: str, groups: Seque
     kinds = {"doc_id": "bigint"}
     rows = docs.select(*[F.col(f"`{c}`").cast(kinds.get(name, "string")).alias(name) for c, name in read])
     schema = "doc_id bigint, lang string, source string, " + ", ".join(f"{c} bigint" for c in COUNTS)
-    return rows.mapInArrow(_counted, schema)
+    return rows.mapInArrow(returning(_counted), schema)
 
 
 def bin_of(value: str) -> str:

@@ -1,13 +1,16 @@
 """Vectorised words and Karp-Rabin hashes over the byte buffers of Arrow text columns.
 
-All hashes are 64 bits. Two given different sequences collide with a chance of
-about 2**-64.
+All hashes are 64 bits. Each place in a word has a pseudo-random odd factor of its
+own, so that no pattern of letters makes words collide, as some do with the powers
+of one base modulo 2**64; two given different words collide with a chance of about
+2**-64.
 """
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +22,44 @@ import pyarrow as pa
 with contextlib.suppress(OSError, AttributeError):
     ctypes.CDLL(None).mallopt(-3, 2 << 20)
 
+_libc = None
+with contextlib.suppress(OSError, AttributeError):
+    _libc = ctypes.CDLL(None)
+    _libc.malloc_trim.argtypes = [ctypes.c_size_t]
+
+
+def give_back() -> None:
+    """Returns freed memory, small objects' too, to the system."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def returning(work):
+    """A function for mapInArrow that gives its memory back when its task ends."""
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def of_group(work):
+    """A function for applyInArrow that gives its memory back after each group."""
+
+    @functools.wraps(work)
+    def run(table):
+        found = work(table)
+        give_back()
+        return found
+
+    return run
+
+
 # The white space that ends a word: blank and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -92,20 +133,19 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        """Karp-Rabin hash of each word's bytes, mixed with its length."""
+        """A hash of each word's bytes and its length: a sum of products by place."""
         lengths = self.end - self.start
         if not len(lengths):
             return np.zeros(0, np.uint64)
-        powers = np.ones(int(lengths.max()), np.uint64)
-        powers[1:] = _BASE
-        np.multiply.accumulate(powers, out=powers)
+        # A factor for each place: odd, and without a relation to the others.
+        factors = mixed(np.arange(1, int(lengths.max()) + 1, dtype=np.uint64) * _WINDOW_BASE) | np.uint64(1)
         begin = np.cumsum(lengths) - lengths
         kind = np.int32 if len(self.data) < 1 << 31 else np.int64
         place = np.arange(int(lengths.sum()), dtype=kind)
         place -= np.repeat(begin.astype(kind), lengths)
         # Word bytes, one after the other; in place, as these are the largest arrays.
         terms = _VALUES[self.data[self.inside]]
-        terms *= powers[place]
+        terms *= factors[place]
         return mixed(np.add.reduceat(terms, begin) + lengths.astype(np.uint64))
 
 

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import tokens
-from tidewright.llm.common import written
-from tidewright.llm.text import binary
+from tidewright.llm.common import prepare, written
+from tidewright.llm.text import binary, returning
 
 KEYS = ("source", "lang", "tokenizer")
 TOTALS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
@@ -47,11 +47,12 @@ def _counts(tokenizer: str | None):
                 ["doc_id", "source", "lang", "n_words", "n_tokens"],
             )
 
-    return count
+    return returning(count)
 
 
 def document_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Per row: doc_id, source, lang, n_words, n_tokens."""
+    prepare(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("bigint"), *(F.col(c).cast("string") for c in ("source", "lang", "text"))
     ).mapInArrow(

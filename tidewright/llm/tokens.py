@@ -16,8 +16,8 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Words whose ids a task keeps; beyond that it forgets them all and starts anew.
-# A word takes about 200 bytes.
-KEPT_WORDS = 600_000
+# A word takes about 200 bytes, in each of up to three tables.
+KEPT_WORDS = 100_000
 
 # The 256 characters that stand for bytes in byte-level vocabularies.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]

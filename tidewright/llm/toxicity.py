@@ -39,10 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import id_and_text, written
-from tidewright.llm.text import binary
+from tidewright.llm.text import binary, returning
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
-LEXICON = 3000  # learned entries at most
 PREFIXES = (4, 5, 6, 7)
 LEAST_WEIGHT = 2.5  # log-odds of a learned entry
 LEAST_SHARE, LEAST_TEXTS = 0.01, 3  # of the toxic texts, for a learned entry
@@ -202,8 +201,11 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for value, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
     ]
     chosen = written(parts[0].unionByName(parts[1]), "toxicity-sample-ids")
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers.
-    return written(docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity-sample")
+    # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers. Of the rows of one id one
+    # is taken, by its text's hash, in each task before they are shuffled.
+    rows = docs.join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    return written(one.select("first.text", "toxic"), "toxicity-sample")
 
 
 def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,27 +298,25 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         return DEFAULT
     least = max(LEAST_TEXTS, LEAST_SHARE * sizes[1])
     share = sizes[1] / (sizes[0] + sizes[1])
-    # Keys that are frequent in toxic texts, by how much more often they occur there
-    # than in clean ones; the most telling ones, of bounded number.
+    # Keys that are frequent in toxic texts and much more often there than in clean
+    # ones: as a hundredth of the toxic texts must have a key, a sample has few.
     odds = F.log((F.col("toxic_times") + 0.5) / sizes[1]) - F.log((F.col("clean_times") + 0.5) / sizes[0])
     counted = (
         sample.mapInArrow(
-            _key_counts, "key string, toxic bigint, clean bigint, toxic_times bigint, clean_times bigint"
+            returning(_key_counts), "key string, toxic bigint, clean bigint, toxic_times bigint, clean_times bigint"
         )
         .groupBy("key")
         .agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_times", "clean_times")))
         .where(F.col("toxic") >= least)
         .withColumn("weight", odds)
         .where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "key")
-        .limit(LEXICON)
         .collect()
     )
     toxic = {r.key: r for r in counted}
     # A key must stand between different words: what comes from copies of one text
     # does not. Its clean texts are now counted in full.
     seen = (
-        sample.mapInArrow(_contexts(set(toxic)), "key string, context string, clean bigint, clean_times bigint")
+        sample.mapInArrow(returning(_contexts(set(toxic))), "key string, context string, clean bigint, clean_times bigint")
         .groupBy("key")
         .agg(
             F.countDistinct("context").alias("contexts"),
@@ -341,7 +341,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
                 [batch.column("toxic"), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "x"]
             )
 
-    rows = sample.mapInArrow(measured, "toxic int, x array<double>").collect()
+    rows = sample.mapInArrow(returning(measured), "toxic int, x array<double>").collect()
     rows.sort(key=lambda r: (r.toxic, r.x))
     return Model(model.insults, _fitted(np.array([r.x for r in rows]), np.array([r.toxic for r in rows])))
 
@@ -369,7 +369,7 @@ def score_documents(
             )
 
     return id_and_text(docs, id_column, text_column).mapInArrow(
-        scored, "doc_id bigint, score double, predicted int, n_clauses bigint, top_clause double"
+        returning(scored), "doc_id bigint, score double, predicted int, n_clauses bigint, top_clause double"
     )
 
 
@@ -382,4 +382,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
             scores = [model.score(t.as_py())[0] for t in binary(batch.column(text_column))]
             yield batch.filter(pa.array([s < 0.5 for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(returning(kept), docs.schema)
