@@ -142,6 +142,7 @@ ORACLES = {
     "upsert_partitioned": _UPSERT,
     "upsert_by_day": _UPSERT,
     "upsert_csv_table": _UPSERT,
+    "upsert_bucketed": _UPSERT,
     "upsert_audit": """
         SELECT c_custkey, c_name, TRUE AS is_active, TRUE AS created_before_updated FROM customer
     """,

@@ -343,6 +343,18 @@ def upsert_csv_table(spark, sf_dir):
     return spark.table(name)
 
 
+def upsert_bucketed(spark, sf_dir):
+    """The same upsert into a table laid out by the key's hash, in two steps: the second
+    one is of a single customer and rewrites only the buckets of that customer's orders."""
+    name = f"{_database(spark)}.orders"
+    target, source = _order_versions(spark, sf_dir)
+    insert_or_update_table(target, name, key_columns=["o_orderkey"], key_buckets=32)
+    few = F.col("o_custkey") == source.agg(F.min("o_custkey")).first()[0]
+    insert_or_update_table(source.where(~few), name, key_columns=["o_orderkey"])
+    insert_or_update_table(source.where(few), name, key_columns=["o_orderkey"])
+    return spark.table(name).drop("key_bucket")
+
+
 def gated_write(spark, sf_dir):
     """Valid line items pass the gate; all of them are refused with the counts."""
     name, lineitem = f"{_database(spark)}.lineitem", _read(spark, sf_dir, "lineitem")
@@ -669,6 +681,7 @@ QUERIES = {
     "upsert_partitioned": upsert_partitioned,
     "upsert_by_day": upsert_by_day,
     "upsert_csv_table": upsert_csv_table,
+    "upsert_bucketed": upsert_bucketed,
     "upsert_audit": upsert_audit,
     "gated_write": gated_write,
     "zone_load": zone_load,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql.types import StructType
 
@@ -17,6 +17,7 @@ def create_table_text(
     partition_by: Sequence[str] = (),
     location: str | None = None,
     version: str | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> str:
     specs = []
     for f in schema.fields:
@@ -31,6 +32,8 @@ def create_table_text(
         text += f" PARTITIONED BY ({', '.join(quoted(c) for c in partition_by)})"
     if location:
         text += f" LOCATION {sql_text(location)}"
-    if version:
-        text += f" TBLPROPERTIES ('schema_version' = {sql_text(version)})"
+    properties = dict(properties or {}) | ({"schema_version": version} if version else {})
+    if properties:
+        listed = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
+        text += f" TBLPROPERTIES ({listed})"
     return text

@@ -161,12 +161,19 @@ class TableDefinition:
     def reject_violations(self, df: DataFrame) -> None:
         quality.reject_violations(df, self.columns)
 
-    def reject(self, df: DataFrame) -> None:
-        """Gate before a write: raise where rows lack or mistype a defined column,
-        or violate a constraint. Reads no data for the former, once for the latter."""
+    def broken_constraints(self, df: DataFrame) -> dict[str, Column]:
+        return quality.broken_constraints(df, self.columns)
+
+    def reject_schema(self, df: DataFrame) -> None:
+        """Raise where rows lack or mistype a defined column. Reads no data."""
         report = self.compare_schema(df, include_audit=False)
         if report["missing_in_source"] or report["type_mismatches"]:
             raise ValueError(f"Rows do not fit {self.table_name}: {report}")
+
+    def reject(self, df: DataFrame) -> None:
+        """``reject_schema``, then raise where a constraint is violated. This reads the rows
+        once; a write with ``gate=`` counts the violations of the very rows it writes."""
+        self.reject_schema(df)
         self.reject_violations(df)
 
     # Drift

@@ -6,7 +6,7 @@ not have are skipped; names are compared without case.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -67,8 +67,8 @@ def failure_summary(df: DataFrame, columns: Sequence) -> DataFrame:
     return _counts(df, named, "column_name", "failed_rows")
 
 
-def constraint_violations(df: DataFrame, columns: Sequence) -> DataFrame:
-    """(constraint_name, violations) for NOT NULL, range and custom rules.
+def broken_constraints(df: DataFrame, columns: Sequence) -> dict[str, Column]:
+    """By name, what is true of a row that violates a NOT NULL, range or custom rule.
 
     As for an SQL CHECK, a NULL outcome of the latter two is no violation.
     """
@@ -77,14 +77,24 @@ def constraint_violations(df: DataFrame, columns: Sequence) -> DataFrame:
         if not c.nullable:
             named[f"{c.name}_not_null"] = c.value.isNull()
         named.update({name: ~rule for name, rule in c.constraints().items()})
-    return _counts(df, named, "constraint_name", "violations")
+    return named
+
+
+def constraint_violations(df: DataFrame, columns: Sequence) -> DataFrame:
+    """(constraint_name, violations) for NOT NULL, range and custom rules."""
+    return _counts(df, broken_constraints(df, columns), "constraint_name", "violations")
 
 
 def reject_violations(df: DataFrame, columns: Sequence) -> None:
     """Gate before a write: raise with the counts when a constraint is violated."""
-    broken = constraint_violations(df, columns).where("violations > 0").collect()
+    found = constraint_violations(df, columns).collect()
+    refuse({r["constraint_name"]: r["violations"] for r in found})
+
+
+def refuse(violations: Mapping[str, int]) -> None:
+    broken = {name: n for name, n in violations.items() if n}
     if broken:
-        counts = ", ".join(f"{r['constraint_name']}: {r['violations']} rows" for r in broken)
+        counts = ", ".join(f"{name}: {n} rows" for name, n in broken.items())
         raise ValueError(f"Constraints violated: {counts}")
 
 

@@ -7,6 +7,7 @@ tables are rewritten:
   SET LOCATION publishes it, so readers see the old or the new version. The
   old folder is left for readers still on it and is returned for removal.
 * partitioned: only partitions the upsert touches are rewritten.
+* laid out by key (``key_buckets``): only the buckets of the source's keys are.
 
 A table must have one writer at a time.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -28,13 +29,25 @@ from pyspark.sql.types import StructType
 from tidewright.operators import merge
 from tidewright.operators.ddl import create_table_text
 from tidewright.operators.dedup import dedup_keys, dedup_latest
+from tidewright.operators.quality import refuse
 from tidewright.settings import quoted, scratch_folder, sql_text
+from tidewright.sources.key_buckets import (
+    KEY_BUCKET,
+    UNKEYED,
+    Layout,
+    bucketed_schema,
+    known_key,
+    layout_of,
+    with_bucket,
+)
 
 if TYPE_CHECKING:
     from tidewright.operators.definition import TableDefinition
 
 # Providers whose tables take MERGE.
 ROW_LEVEL_PROVIDERS = ("delta", "iceberg", "hudi", "paimon")
+# Partitions dropped by one statement.
+_DROPPED_AT_ONCE = 500
 
 
 class TableCreationError(Exception):
@@ -53,14 +66,18 @@ def create_table_if_not_exists(
     *,
     partition_by: Sequence[str] = (),
     table_format: str | None = None,
+    properties: Mapping[str, str] | None = None,
 ) -> bool:
     """Create an empty table; True if created, False if it was there."""
     spark = SparkSession.active()
     if spark.catalog.tableExists(table_name):
         return False
     table_format = table_format or spark.conf.get("spark.sql.sources.default")
+    text = create_table_text(
+        table_name, schema, table_format, partition_by=partition_by, properties=properties
+    )
     try:
-        spark.sql(create_table_text(table_name, schema, table_format, partition_by=partition_by))
+        spark.sql(text)
     except Exception as e:
         raise TableCreationError(f"No table {table_name} with columns {schema.simpleString()}: {e}") from e
     return True
@@ -86,8 +103,10 @@ def append_rows(df: DataFrame, table_name: str, *, schema_evolution: bool = Fals
     """Append by column name; without evolution unknown columns are refused."""
     if schema_evolution:
         add_missing_columns_to_table(table_name, df.schema)
-    rows = merge.aligned(df, df.sparkSession.table(table_name).schema)
-    _gathered(rows, table_details(table_name).partition_columns).write.insertInto(table_name)
+    schema, partitions = df.sparkSession.table(table_name).schema, table_details(table_name).partition_columns
+    if partitions == [KEY_BUCKET]:
+        df = with_bucket(df, schema, layout_of(table_name))
+    _gathered(merge.aligned(df, schema), partitions).write.insertInto(table_name)
 
 
 def _gathered(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -122,27 +141,80 @@ def insert_or_update_table(
     partition_by: Sequence[str] = (),
     order_by: Sequence[Column] = (),
     gate: TableDefinition | None = None,
+    key_buckets: int | None = None,
 ) -> UpsertResult | None:
     """Append to, or upsert by key into, a table that is created when absent.
 
     Several source rows of one key are refused, unless
     ``force_remove_duplicates`` keeps one of them: the first by ``order_by``, or
     an arbitrary one. With a ``gate`` nothing is written when the rows lack or
-    mistype a column of the definition or violate its constraints.
+    mistype a column of the definition or violate its constraints: violations are
+    counted while the rows are staged, and the staged rows are what is written. ``key_buckets`` lays a new table out by that
+    many buckets of its key.
     """
-    if not key_columns and (force_remove_duplicates or not append_only):
+    if not key_columns and (force_remove_duplicates or key_buckets or not append_only):
         raise ValueError("key_columns are required, except for a plain append.")
+    if key_buckets and partition_by:
+        raise ValueError("A table laid out by key buckets has no other partitions.")
     if force_remove_duplicates:
         df = dedup_latest(df, key_columns, order_by) if order_by else dedup_keys(df, key_columns)
+
+    def create() -> None:
+        if key_buckets:
+            _create_bucketed(table_name, df.schema, Layout(tuple(key_columns), key_buckets))
+        else:
+            create_table_if_not_exists(table_name, df.schema, partition_by=partition_by)
+
     if gate is not None:
-        gate.reject(df)
-    create_table_if_not_exists(table_name, df.schema, partition_by=partition_by)
-    if append_only:
+        gate.reject_schema(df)
+    if append_only and gate is None:
+        create()
         append_rows(df, table_name, schema_evolution=schema_evolution)
         return None
-    return _upsert(
-        df, table_name, list(key_columns), schema_evolution, known_unique=force_remove_duplicates
+    keys = list(key_columns or ())
+    merge.require_columns(df, keys)
+    # The rows are read several times below. Evaluating them once fixes the arbitrary
+    # choices of a de-duplication and what the gate has seen, and their file sizes
+    # tell Spark whether it may broadcast them.
+    with scratch_folder(df.sparkSession, "upsert-source") as folder:
+        source, count, unkeyed = _staged(df, folder, keys, gate)
+        create()
+        if append_only:
+            append_rows(source, table_name, schema_evolution=schema_evolution)
+            return None
+        if not force_remove_duplicates:
+            _refuse_repeated(source, keys)
+        if schema_evolution:
+            add_missing_columns_to_table(table_name, source.schema)
+        replaced = _apply(source, table_name, keys, schema_evolution, unkeyed) if count else None
+        return UpsertResult(count, replaced)
+
+
+def _create_bucketed(table_name: str, schema: StructType, layout: Layout) -> None:
+    created = create_table_if_not_exists(
+        table_name, bucketed_schema(schema), partition_by=[KEY_BUCKET], properties=layout.properties()
     )
+    if not created:
+        existing = layout_of(table_name)
+        if existing is None:
+            raise ValueError(f"{table_name} exists without key buckets.")
+        existing.require(layout.keys, layout.buckets)
+
+
+def _staged(
+    df: DataFrame, folder: str, keys: Sequence[str], gate: TableDefinition | None
+) -> tuple[DataFrame, int, int]:
+    """(the rows written to the folder, how many, how many with a NULL in their key),
+    refused where the gate counts violations among them."""
+    seen = Observation()
+    broken = gate.broken_constraints(df) if gate is not None else {}
+    unkeyed = F.count_if(~known_key(keys)) if keys else F.lit(0)
+    counters = [F.count_if(rule).alias(f"broken_{i}") for i, rule in enumerate(broken.values())]
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), unkeyed.alias("unkeyed"), *counters)
+    observed.write.parquet(folder)
+    facts = seen.get
+    refuse({name: facts[f"broken_{i}"] for i, name in enumerate(broken)})
+    return df.sparkSession.read.schema(df.schema).parquet(folder), facts["rows"], facts["unkeyed"]
 
 
 @dataclass(frozen=True)
@@ -169,40 +241,45 @@ def table_details(table_name: str) -> TableDetails:
     return TableDetails(facts.get("Provider", "").lower(), facts.get("Location", ""), columns)
 
 
-def _upsert(
-    df: DataFrame, table_name: str, keys: list[str], evolve: bool, *, known_unique: bool
-) -> UpsertResult:
-    merge.require_columns(df, keys)
-    # The source is read several times below. Evaluating it once fixes the
-    # arbitrary choices of a de-duplication, and its file sizes tell Spark
-    # whether it may broadcast it.
-    with scratch_folder(df.sparkSession, "upsert-source") as folder:
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
-        source = df.sparkSession.read.schema(df.schema).parquet(folder)
-        if not known_unique:
-            _refuse_repeated(source, keys)
-        if evolve:
-            add_missing_columns_to_table(table_name, source.schema)
-        rows = seen.get["rows"]
-        return UpsertResult(rows, _apply(source, table_name, keys, evolve) if rows else None)
-
-
-def _apply(source: DataFrame, table_name: str, keys: list[str], evolve: bool) -> str | None:
+def _apply(
+    source: DataFrame, table_name: str, keys: list[str], evolve: bool, unkeyed: int
+) -> str | None:
     """Upsert a staged source; the folder the table no longer uses, if any."""
     target, details = source.sparkSession.table(table_name), table_details(table_name)
     if details.provider in ROW_LEVEL_PROVIDERS:
         _merge_into(source, table_name, target, keys, evolve)
         return None
-    if target.isEmpty():
-        append_rows(source, table_name)
+    if details.partition_columns == [KEY_BUCKET]:
+        layout = layout_of(table_name)
+        layout.require(keys)
+        _rewrite_buckets(target, source, table_name, layout, unkeyed)
         return None
     if details.partition_columns:
         _rewrite_partitions(target, source, table_name, keys, details.partition_columns)
         return None
+    if target.isEmpty():
+        append_rows(source, table_name)
+        return None
     return _publish(merge.merged(target, source, keys), table_name, details)
 
 
+def _rewrite_buckets(
+    target: DataFrame, source: DataFrame, table_name: str, layout: Layout, unkeyed: int
+) -> None:
+    """Upsert into the buckets of the source's keys. Rows without a key are appended,
+    after the others: an upsert that is repeated after a failure adds them once."""
+    arriving = with_bucket(source, target.schema, layout)
+    keyed = arriving.where(F.col(KEY_BUCKET) != UNKEYED)
+    # At most as many numbers as the table has buckets.
+    touched = sorted(r[0] for r in keyed.select(KEY_BUCKET).distinct().collect())
+    if touched:
+        current = target.where(F.col(KEY_BUCKET).isin(touched))
+        _overwrite_partitions(merge.merged(current, keyed, layout.keys), table_name, [KEY_BUCKET])
+    if unkeyed:
+        rows = merge.aligned(arriving.where(F.col(KEY_BUCKET) == UNKEYED), target.schema)
+        _gathered(rows, [KEY_BUCKET]).write.insertInto(table_name)
+
+
 def _refuse_repeated(source: DataFrame, keys: Sequence[str]) -> None:
     example = merge.repeated_keys(source, keys).limit(1).collect()
     if example:
@@ -276,9 +353,14 @@ def _rewrite_partitions(
     named = F.struct(*[F.col(quoted(p)) for p in partitions])
     after = after.observe(filled, F.collect_set(named).alias("partitions"))
     _overwrite_partitions(after, table_name, partitions)
-    for row in set(values) - {tuple(r) for r in filled.get["partitions"] or ()}:
-        spec = ", ".join(f"{quoted(c)} = {_partition_literal(row[c])}" for c in partitions)
-        spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({spec})")
+    emptied = set(values) - {tuple(r) for r in filled.get["partitions"] or ()}
+    specs = [
+        "PARTITION (" + ", ".join(f"{quoted(c)} = {_partition_literal(row[c])}" for c in partitions) + ")"
+        for row in emptied
+    ]
+    for first in range(0, len(specs), _DROPPED_AT_ONCE):
+        listed = ", ".join(specs[first : first + _DROPPED_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS {listed}")
 
 
 def _overwrite_partitions(rows: DataFrame, table_name: str, partitions: Sequence[str]) -> None:
