@@ -143,6 +143,18 @@ ORACLES = {
     "upsert_by_day": _UPSERT,
     "upsert_csv_table": _UPSERT,
     "upsert_bucketed": _UPSERT,
+    "stream_upsert": """
+        WITH versions AS (
+            SELECT o_orderkey, o_orderstatus, o_totalprice, 10 * n AS version
+            FROM orders, (SELECT unnest([0, 1, 2]) AS n) WHERE o_orderkey % 3 <> n
+        ), arrived AS (
+            SELECT * FROM versions
+            UNION ALL SELECT * REPLACE (version + 5 AS version) FROM versions WHERE o_orderkey % 2 = 0
+            UNION ALL SELECT * REPLACE (version - 8 AS version) FROM versions WHERE o_orderkey % 5 = 0
+        )
+        SELECT o_orderkey, o_orderstatus, o_totalprice + version AS o_totalprice, version FROM arrived
+        QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1
+    """,
     "upsert_audit": """
         SELECT c_custkey, c_name, TRUE AS is_active, TRUE AS created_before_updated FROM customer
     """,

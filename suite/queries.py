@@ -35,6 +35,7 @@ from tidewright.sources.load_log import log_load
 from tidewright.sources.registry import insert_or_update_process_table
 from tidewright.sources.tables import insert_or_update_table
 from tidewright.streaming.file_loader import load_new_files
+from tidewright.streaming.keyed_upsert import apply_batch, upsert_stream
 
 NEW_YORK = "America/New_York"
 
@@ -355,6 +356,38 @@ def upsert_bucketed(spark, sf_dir):
     return spark.table(name).drop("key_bucket")
 
 
+def _versioned_orders(spark, sf_dir):
+    """Three batches of orders: each leaves a third of them out, has every other order
+    twice, and holds stale rows of the batch before."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    batches = []
+    for n in range(3):
+        some = orders.where(F.col("o_orderkey") % 3 != n).withColumn("version", F.lit(10 * n))
+        twice = some.where("o_orderkey % 2 = 0").withColumn("version", F.col("version") + 5)
+        stale = some.where("o_orderkey % 5 = 0").withColumn("version", F.col("version") - 8)
+        batches.append(
+            some.unionByName(twice).unionByName(stale).withColumn("o_totalprice", F.col("o_totalprice") + F.col("version"))
+        )
+    return batches
+
+
+def stream_upsert(spark, sf_dir):
+    """The batches land one after the other and are upserted by a stream; the second one
+    is then applied once more under its name."""
+    name = f"{_database(spark)}.orders"
+    landing, checkpoint = fresh_folder(spark, "landing"), fresh_folder(spark, "upserted")
+    options = {"newest_by": ["version"], "key_buckets": 16}
+    batches = _versioned_orders(spark, sf_dir)
+    for n, batch in enumerate(batches):
+        batch.coalesce(1).write.mode("append").parquet(landing)
+        stream = scan_stream(spark, landing, batch.schema)
+        names = upsert_stream(stream, name, ["o_orderkey"], checkpoint, **options)
+        if n == 1:
+            again = names[0]
+    apply_batch(batches[1], again, name, ["o_orderkey"], **options)
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice", "version")
+
+
 def gated_write(spark, sf_dir):
     """Valid line items pass the gate; all of them are refused with the counts."""
     name, lineitem = f"{_database(spark)}.lineitem", _read(spark, sf_dir, "lineitem")
@@ -682,6 +715,7 @@ QUERIES = {
     "upsert_by_day": upsert_by_day,
     "upsert_csv_table": upsert_csv_table,
     "upsert_bucketed": upsert_bucketed,
+    "stream_upsert": stream_upsert,
     "upsert_audit": upsert_audit,
     "gated_write": gated_write,
     "zone_load": zone_load,

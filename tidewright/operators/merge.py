@@ -54,21 +54,28 @@ def matched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return target.join(_keys_only(source, keys), list(keys), "left_semi")
 
 
-def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merged(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()
+) -> DataFrame:
     """Target rows after the upsert, in the target's schema.
 
     ``source`` must hold one row per key (see ``repeated_keys``). Its columns
     must be a subset of the target's; a target column it lacks keeps its value
-    on update and is NULL on insert.
+    on update and is NULL on insert. With ``newest_by`` a source row that is less
+    than the target's by these columns leaves it as it is; NULL is the least value.
     """
     if not keys:
         raise ValueError("An upsert needs key columns.")
     require_columns(source, keys)
     require_columns(target, keys)
-    return updated_rows(target, source, keys).unionByName(inserted_rows(target, source, keys))
+    for side in (source, target):
+        require_columns(side, newest_by)
+    return updated_rows(target, source, keys, newest_by).unionByName(inserted_rows(target, source, keys))
 
 
-def updated_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def updated_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()
+) -> DataFrame:
     """Every target row, with the source's values where its key matches."""
     incoming = aligned(source, target.schema, fill_missing=False)
     have = {c.lower() for c in incoming.columns}
@@ -78,17 +85,23 @@ def updated_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     side = incoming.select(
         *[F.col(quoted(k)).alias(f"__key_{i}") for i, k in enumerate(keys)],
         *[F.col(quoted(c)).alias(f"__new_{c}") for c in changing],
+        *[F.col(quoted(c)).alias(f"__order_{i}") for i, c in enumerate(newest_by)],
         F.lit(True).alias(_HIT),
     )
     same = [F.col(quoted(k)) == F.col(f"__key_{i}") for i, k in enumerate(keys)]
     joined = target.join(side, reduce(and_, same), "left")
+    taken = F.col(_HIT)
+    if newest_by:
+        arriving = F.struct(*[F.col(f"__order_{i}").alias(f"o{i}") for i in range(len(newest_by))])
+        present = F.struct(*[F.col(quoted(c)).alias(f"o{i}") for i, c in enumerate(newest_by)])
+        taken = taken & (arriving >= present)
 
     def after(name: str) -> Column:
         old = F.col(quoted(name))
         if name not in changing:
             return old
         # The flag, not coalesce, decides: a NULL from the source overwrites too.
-        return F.when(F.col(_HIT), F.col(quoted(f"__new_{name}"))).otherwise(old).alias(name)
+        return F.when(taken, F.col(quoted(f"__new_{name}"))).otherwise(old).alias(name)
 
     return joined.select(*[after(c) for c in target.columns])
 

@@ -142,6 +142,7 @@ def insert_or_update_table(
     order_by: Sequence[Column] = (),
     gate: TableDefinition | None = None,
     key_buckets: int | None = None,
+    newest_by: Sequence[str] = (),
 ) -> UpsertResult | None:
     """Append to, or upsert by key into, a table that is created when absent.
 
@@ -150,7 +151,8 @@ def insert_or_update_table(
     an arbitrary one. With a ``gate`` nothing is written when the rows lack or
     mistype a column of the definition or violate its constraints: violations are
     counted while the rows are staged, and the staged rows are what is written. ``key_buckets`` lays a new table out by that
-    many buckets of its key.
+    many buckets of its key. With ``newest_by`` a row does not replace one that is
+    greater by these columns, so that rows may arrive late.
     """
     if not key_columns and (force_remove_duplicates or key_buckets or not append_only):
         raise ValueError("key_columns are required, except for a plain append.")
@@ -186,7 +188,7 @@ def insert_or_update_table(
             _refuse_repeated(source, keys)
         if schema_evolution:
             add_missing_columns_to_table(table_name, source.schema)
-        replaced = _apply(source, table_name, keys, schema_evolution, unkeyed) if count else None
+        replaced = _apply(source, table_name, keys, schema_evolution, unkeyed, newest_by) if count else None
         return UpsertResult(count, replaced)
 
 
@@ -242,29 +244,29 @@ def table_details(table_name: str) -> TableDetails:
 
 
 def _apply(
-    source: DataFrame, table_name: str, keys: list[str], evolve: bool, unkeyed: int
+    source: DataFrame, table_name: str, keys: list[str], evolve: bool, unkeyed: int, newest_by: Sequence[str]
 ) -> str | None:
     """Upsert a staged source; the folder the table no longer uses, if any."""
     target, details = source.sparkSession.table(table_name), table_details(table_name)
     if details.provider in ROW_LEVEL_PROVIDERS:
-        _merge_into(source, table_name, target, keys, evolve)
+        _merge_into(source, table_name, target, keys, evolve, newest_by)
         return None
     if details.partition_columns == [KEY_BUCKET]:
         layout = layout_of(table_name)
         layout.require(keys)
-        _rewrite_buckets(target, source, table_name, layout, unkeyed)
+        _rewrite_buckets(target, source, table_name, layout, unkeyed, newest_by)
         return None
     if details.partition_columns:
-        _rewrite_partitions(target, source, table_name, keys, details.partition_columns)
+        _rewrite_partitions(target, source, table_name, keys, details.partition_columns, newest_by)
         return None
     if target.isEmpty():
         append_rows(source, table_name)
         return None
-    return _publish(merge.merged(target, source, keys), table_name, details)
+    return _publish(merge.merged(target, source, keys, newest_by), table_name, details)
 
 
 def _rewrite_buckets(
-    target: DataFrame, source: DataFrame, table_name: str, layout: Layout, unkeyed: int
+    target: DataFrame, source: DataFrame, table_name: str, layout: Layout, unkeyed: int, newest_by: Sequence[str]
 ) -> None:
     """Upsert into the buckets of the source's keys. Rows without a key are appended,
     after the others: an upsert that is repeated after a failure adds them once."""
@@ -274,7 +276,8 @@ def _rewrite_buckets(
     touched = sorted(r[0] for r in keyed.select(KEY_BUCKET).distinct().collect())
     if touched:
         current = target.where(F.col(KEY_BUCKET).isin(touched))
-        _overwrite_partitions(merge.merged(current, keyed, layout.keys), table_name, [KEY_BUCKET])
+        after = merge.merged(current, keyed, layout.keys, newest_by)
+        _overwrite_partitions(after, table_name, [KEY_BUCKET])
     if unkeyed:
         rows = merge.aligned(arriving.where(F.col(KEY_BUCKET) == UNKEYED), target.schema)
         _gathered(rows, [KEY_BUCKET]).write.insertInto(table_name)
@@ -287,7 +290,12 @@ def _refuse_repeated(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _merge_into(
-    source: DataFrame, table_name: str, target: DataFrame, keys: Sequence[str], evolve: bool
+    source: DataFrame,
+    table_name: str,
+    target: DataFrame,
+    keys: Sequence[str],
+    evolve: bool,
+    newest_by: Sequence[str],
 ) -> None:
     """MERGE in the table's own provider; not exercised by the tests here, as
     no such provider is installed."""
@@ -297,7 +305,13 @@ def _merge_into(
     values = {c: F.col(f"source.{quoted(c)}") for c in incoming.columns}
     changes = {c: v for c, v in values.items() if c.lower() not in fixed}
     writer = incoming.mergeInto(table_name, reduce(and_, same))
-    if changes:
+    if changes and newest_by:
+        sides = [
+            F.struct(*[F.col(f"{side}.{quoted(c)}").alias(f"o{i}") for i, c in enumerate(newest_by)])
+            for side in ("source", table_name)
+        ]
+        writer = writer.whenMatched(sides[0] >= sides[1]).update(changes)
+    elif changes:
         writer = writer.whenMatched().update(changes)
     writer = writer.whenNotMatched().insert(values)
     (writer.withSchemaEvolution() if evolve else writer).merge()
@@ -334,6 +348,7 @@ def _rewrite_partitions(
     table_name: str,
     keys: Sequence[str],
     partitions: Sequence[str],
+    newest_by: Sequence[str],
 ) -> None:
     """Upsert into the touched partitions only: those the source names, and
     those that hold a matched key now, which may move."""
@@ -346,7 +361,7 @@ def _rewrite_partitions(
         touched = arriving.unionByName(merge.matched_rows(target, source, keys).select(*partitions))
     # One row per touched partition, as many as the catalog tracks.
     values = touched.distinct().collect()
-    after = merge.merged(target.where(_in_partitions(values)), source, keys)
+    after = merge.merged(target.where(_in_partitions(values)), source, keys, newest_by)
     # A dynamic overwrite leaves a partition alone when no row is left for it, so
     # the write itself notes which partitions it had rows for.
     filled = Observation()
