@@ -80,6 +80,19 @@ ORACLES = {
         SELECT event_id, event_type, value FROM events WHERE event_type IN ('click', 'view')
     """,
     "load_new_files": "SELECT * FROM orders",
+    "load_by_manifest": """
+        WITH counts AS (
+            SELECT count(*) FILTER (o_orderkey % 3 <> 2) AS first,
+                   count(*) FILTER (o_orderkey % 3 = 2 OR (o_orderkey % 3 = 1 AND o_orderkey % 2 = 0)) AS second
+            FROM orders
+        )
+        SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+               (o_orderkey % 3) || '.parquet' AS source_file_name
+        FROM orders WHERE o_orderkey % 3 <> 1 OR o_orderkey % 2 = 0
+        UNION ALL SELECT 0, NULL, '2 new, 0 changed, ' || first || ' rows' FROM counts
+        UNION ALL SELECT -1, NULL, '1 new, 1 changed, ' || second || ' rows' FROM counts
+        UNION ALL SELECT -2, NULL, '0 new, 0 changed, 0 rows'
+    """,
     "month_slice": """
         SELECT * FROM orders WHERE date_trunc('month', o_orderdate) = TIMESTAMP '1998-03-01 00:00:00'
     """,

@@ -32,6 +32,7 @@ from tidewright.plans.staging import (
 from tidewright.settings import fresh_folder, sql_text
 from tidewright.sources.files import scan, scan_stream
 from tidewright.sources.load_log import log_load
+from tidewright.sources.manifest import load_by_manifest
 from tidewright.sources.registry import insert_or_update_process_table
 from tidewright.sources.tables import insert_or_update_table
 from tidewright.streaming.file_loader import load_new_files
@@ -150,6 +151,41 @@ def load_new_files_once(spark, sf_dir):
     return spark.table(f"{db}.orders").select(*orders.columns)
 
 
+def _put(spark, rows, path):
+    """Write the rows as one file of a stated name, in place of one that is there."""
+    folder, hadoop = fresh_folder(spark, "one-file"), spark.sparkContext._jvm.org.apache.hadoop.fs
+    rows.coalesce(1).write.parquet(folder)
+    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    [file] = fs.globStatus(hadoop.Path(f"{folder}/part-*"))
+    fs.mkdirs(hadoop.Path(path).getParent())
+    fs.delete(hadoop.Path(path), False)
+    fs.rename(file.getPath(), hadoop.Path(path))
+
+
+def load_by_manifest_twice(spark, sf_dir):
+    """Two files land, then a third, while one of the former is rewritten under its name:
+    the second load takes these two, and the former rows of the rewritten file go."""
+    orders, db = _read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), _database(spark)
+    landing, third = fresh_folder(spark, "landing"), F.col("o_orderkey") % 3
+    names = (f"{db}.orders", f"{db}.files")
+
+    def load():
+        done = load_by_manifest(landing, *names, schema=orders.schema, log_table=f"{db}.ingest_logs")
+        return F.lit(f"{done.new_files} new, {done.changed_files} changed, {done.rows} rows")
+
+    _put(spark, orders.where(third == 0), f"{landing}/0.parquet")
+    _put(spark, orders.where(third == 1), f"{landing}/1.parquet")
+    outcomes = [load()]
+    _put(spark, orders.where(third == 2), f"{landing}/2.parquet")
+    _put(spark, orders.where((third == 1) & (F.col("o_orderkey") % 2 == 0)).withColumn("o_totalprice", -F.col("o_totalprice")), f"{landing}/1.parquet")
+    outcomes += [load(), load()]
+    rows = spark.table(names[0]).select("o_orderkey", "o_totalprice", "source_file_name")
+    none = F.lit(None)
+    for i, outcome in enumerate(outcomes):
+        rows = rows.union(spark.range(1).select(F.lit(-i).cast("bigint"), none.cast("double"), outcome))
+    return rows
+
+
 def month_slice(spark, sf_dir):
     return projections.in_month(_read(spark, sf_dir, "orders"), "o_orderdate", "1998-03")
 
@@ -696,6 +732,7 @@ QUERIES = {
     "scan_table": scan_table,
     "registry_active_sources": registry_active_sources,
     "load_new_files": load_new_files_once,
+    "load_by_manifest": load_by_manifest_twice,
     "month_slice": month_slice,
     "stage_with_lineage": stage_with_lineage,
     "strip_suffix": strip_suffix,

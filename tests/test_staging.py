@@ -240,14 +240,39 @@ def test_refine_loses_no_row(spark, db):
     result = refine(
         staged, definition, force_remove_duplicates=True, order_by=[F.desc("v")], partition_by=["k"], **where
     )
-    assert (result.records_processed, result.records_kept, result.records_failed, result.records_duplicate) == (8, 4, 2, 2)
-    assert rows(spark.table(f"{db}.t").select("k", "v")) == sorted([(1, 7), (2, 1), (None, 1), (None, 1)], key=repr)
+    assert (result.records_processed, result.records_kept, result.records_failed, result.records_duplicate) == (8, 2, 4, 2)
+    assert rows(spark.table(f"{db}.t").select("k", "v")) == sorted([(1, 7), (2, 1)], key=repr)
     bad = spark.table(f"{db}.bad").select("k", "v", "validation_errors")
     assert rows(bad) == sorted(
-        [(1, 5, ["duplicate key"]), (1, 6, ["duplicate key"]), (2, -1, ["v"]), (3, None, ["v"])], key=repr
+        [(1, 5, ["duplicate key"]), (1, 6, ["duplicate key"]), (2, -1, ["v"]), (3, None, ["v"])]
+        + [(None, 1, ["null key"])] * 2,
+        key=repr,
     )
 
 
+@pytest.mark.parametrize("partition_by", [[], ["v"]])
+def test_refine_repeated_changes_no_row(spark, db, partition_by):
+    staged = spark.createDataFrame([(1, 5), (2, 5), (None, 5), (None, None), (3, -1)], "k int, v int")
+    definition = TableDefinition(f"{db}.t", KEYED, key_columns=["k"])
+    for _ in range(3):
+        result = refine(
+            staged, definition, quarantine_table=f"{db}.bad", log_table=f"{db}.log", execution_id="run",
+            partition_by=partition_by,
+        )
+        assert (result.records_kept, result.records_failed) == (2, 3)
+        assert rows(spark.table(f"{db}.t").select("k", "v")) == [(1, 5), (2, 5)]
+        bad = spark.table(f"{db}.bad").select("k", "v", "validation_errors")
+        assert rows(bad) == sorted([(None, 5, ["null key"]), (None, None, ["v"]), (3, -1, ["v"])], key=repr)
+
+
+def test_refine_of_a_frame_that_turns_out_empty(spark, db):
+    """Emptiness that Spark finds out while it runs."""
+    some = spark.range(5).selectExpr("CAST(id AS int) AS k", "1 AS v")
+    none = some.join(spark.range(100, 105).selectExpr("CAST(id AS int) AS k"), "k", "left_semi")
+    result = refine(none, TableDefinition(f"{db}.t", KEYED, key_columns=["k"]), quarantine_table=f"{db}.bad", log_table=f"{db}.log")
+    assert (result.records_processed, spark.table(f"{db}.t").count()) == (0, 0)
+
+
 def test_refine_evolves_both_tables(spark, db):
     where = {"quarantine_table": f"{db}.bad", "log_table": f"{db}.log"}
     refine(spark.createDataFrame([(1, 5), (2, -1)], "k int, v int"), TableDefinition(f"{db}.t", KEYED, key_columns=["k"]), **where)

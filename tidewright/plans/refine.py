@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewright.functions.timezones import get_timestamp_columns, utc_instant
 from tidewright.operators.dedup import dedup_latest
 from tidewright.operators.definition import TableDefinition
+from tidewright.operators.observed import Counts
 from tidewright.operators.projections import conform, fill_audit, strip_suffix
 from tidewright.settings import FAILED, INGEST_LOGS_TABLE, SUCCESS, quoted, scratch_folder
+from tidewright.sources.key_buckets import known_key
 from tidewright.sources.load_log import insert_ingestion_log
 from tidewright.sources.tables import (
     add_missing_columns_to_table,
@@ -27,6 +29,7 @@ from tidewright.sources.tables import (
 # Partition column of quarantine tables: a run that is repeated replaces its rows.
 EXECUTION_ID = "execution_id"
 DUPLICATE_KEY = "duplicate key"
+NULL_KEY = "null key"
 _ROW = "__row"
 
 
@@ -60,13 +63,14 @@ def refine(
 
     Several valid rows of one key are refused. With ``force_remove_duplicates``
     the first by ``order_by`` is kept (any of them without an order), and the
-    others are quarantined with the reason ``duplicate key``; a row with a NULL in
-    its key has no duplicate.
+    others are quarantined with the reason ``duplicate key``. A row with a NULL in its
+    key is quarantined with the reason ``null key``.
 
     The staged rows are evaluated once, into a scratch folder. A table without
     ``partition_by`` is rewritten whole by every run, and its old folder is
     returned for removal. A run that is repeated under its ``execution_id``
-    replaces what it quarantined.
+    replaces what it quarantined and leaves the table's rows as they are, but for
+    ``updated_at``.
     """
     start, execution_id = datetime.now(), execution_id or uuid.uuid4().hex
     log = {
@@ -105,11 +109,19 @@ def _refine(
     order_by: list[Column] | None,
     partition_by: Sequence[str],
 ) -> RefineResult:
-    spark, seen = staged.sparkSession, Observation()
+    spark, seen = staged.sparkSession, Counts()
     rows = conform(strip_suffix(utc_columns_as_instants(staged)), definition.columns)
     judged = definition.validate_with_reasons(rows).withColumn(_ROW, F.monotonically_increasing_id())
-    judged = judged.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("is_row_valid")).alias("failed")
+    # A row without a key can be neither updated nor recognised when a run is repeated.
+    unkeyed = F.when(F.col("is_row_valid") & ~known_key(definition.key_columns), F.array(F.lit(NULL_KEY)))
+    judged = judged.withColumns(
+        {
+            "validation_errors": F.concat("validation_errors", F.coalesce(unkeyed, F.array().cast("array<string>"))),
+            "is_row_valid": F.col("is_row_valid") & unkeyed.isNull(),
+        }
+    )
+    judged = seen.of(
+        judged, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("is_row_valid")).alias("failed")
     )
     judged.write.parquet(f"{folder}/judged")
     judged = spark.read.schema(judged.schema).parquet(f"{folder}/judged")
@@ -117,9 +129,9 @@ def _refine(
     duplicates = 0
     if order_by is not None:
         losers = _losers(valid, definition.key_columns, order_by)
-        dropped = Observation()
-        losers.observe(dropped, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/losers")
-        duplicates = dropped.get["rows"]
+        dropped = Counts()
+        dropped.of(losers, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/losers")
+        duplicates = dropped["rows"] or 0
     if duplicates:
         losers = spark.read.schema(losers.schema).parquet(f"{folder}/losers")
         valid = valid.join(losers, _ROW, "left_anti")
@@ -141,7 +153,7 @@ def _refine(
         partition_by=partition_by,
     )
     overwrite_partition(failing, quarantine_table, EXECUTION_ID, execution_id)
-    return RefineResult(seen.get["rows"], seen.get["failed"], duplicates, written.replaced_location)
+    return RefineResult(seen["rows"] or 0, seen["failed"] or 0, duplicates, written.replaced_location)
 
 
 def _losers(valid: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.geometry import centroid
 from tidewright.operators.joins import join_lookup
+from tidewright.operators.observed import Counts
 from tidewright.settings import FAILED, INGEST_LOGS_TABLE, SUCCESS
 from tidewright.sources.load_log import insert_ingestion_log
 from tidewright.sources.tables import insert_or_update_table
@@ -28,7 +29,7 @@ def load_zones(
 ) -> int:
     """Join the attributes, replace the rings by the centroid, append, and log the
     load or its failure; returns the rows written, counted by the write."""
-    start, seen = datetime.now(), Observation()
+    start, seen = datetime.now(), Counts()
     log = {
         "execution_id": execution_id or uuid.uuid4().hex,
         "source_system": table_name,
@@ -40,13 +41,13 @@ def load_zones(
     placed = joined.withColumn("__at", centroid(F.col(rings))).withColumns(
         {"longitude": F.col("__at.longitude"), "latitude": F.col("__at.latitude")}
     )
-    rows = placed.drop("__at", rings).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = seen.of(placed.drop("__at", rings), F.count(F.lit(1)).alias("rows"))
     try:
         insert_or_update_table(rows, table_name, append_only=True)
     except Exception as e:
         insert_ingestion_log(**log, status=FAILED, end_time=datetime.now(), message=f"Error: {e}")
         raise
-    written = seen.get["rows"]
+    written = seen["rows"] or 0
     insert_ingestion_log(
         **log, status=SUCCESS, records_processed=written, end_time=datetime.now(), message=f"{written} zones."
     )

@@ -22,13 +22,14 @@ from functools import reduce
 from operator import and_
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewright.operators import merge
 from tidewright.operators.ddl import create_table_text
 from tidewright.operators.dedup import dedup_keys, dedup_latest
+from tidewright.operators.observed import Counts
 from tidewright.operators.quality import refuse
 from tidewright.settings import quoted, scratch_folder, sql_text
 from tidewright.sources.key_buckets import (
@@ -208,15 +209,13 @@ def _staged(
 ) -> tuple[DataFrame, int, int]:
     """(the rows written to the folder, how many, how many with a NULL in their key),
     refused where the gate counts violations among them."""
-    seen = Observation()
+    seen = Counts()
     broken = gate.broken_constraints(df) if gate is not None else {}
     unkeyed = F.count_if(~known_key(keys)) if keys else F.lit(0)
     counters = [F.count_if(rule).alias(f"broken_{i}") for i, rule in enumerate(broken.values())]
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), unkeyed.alias("unkeyed"), *counters)
-    observed.write.parquet(folder)
-    facts = seen.get
-    refuse({name: facts[f"broken_{i}"] for i, name in enumerate(broken)})
-    return df.sparkSession.read.schema(df.schema).parquet(folder), facts["rows"], facts["unkeyed"]
+    seen.of(df, F.count(F.lit(1)).alias("rows"), unkeyed.alias("unkeyed"), *counters).write.parquet(folder)
+    refuse({name: seen[f"broken_{i}"] for i, name in enumerate(broken)})
+    return df.sparkSession.read.schema(df.schema).parquet(folder), seen["rows"] or 0, seen["unkeyed"] or 0
 
 
 @dataclass(frozen=True)
@@ -352,7 +351,6 @@ def _rewrite_partitions(
 ) -> None:
     """Upsert into the touched partitions only: those the source names, and
     those that hold a matched key now, which may move."""
-    spark = target.sparkSession
     have = {c.lower() for c in source.columns}
     given = [p for p in partitions if p.lower() in have]
     arriving = merge.aligned(source.select(*given), target.select(*partitions).schema)
@@ -362,13 +360,20 @@ def _rewrite_partitions(
     # One row per touched partition, as many as the catalog tracks.
     values = touched.distinct().collect()
     after = merge.merged(target.where(_in_partitions(values)), source, keys, newest_by)
+    replace_partitions(after, table_name, values)
+
+
+def replace_partitions(after: DataFrame, table_name: str, values: Sequence[Row]) -> None:
+    """Replace the partitions named by ``values`` by the rows, of which none may belong to
+    another; a partition that gets no row is dropped."""
+    spark, partitions = after.sparkSession, list(values[0].__fields__)
     # A dynamic overwrite leaves a partition alone when no row is left for it, so
     # the write itself notes which partitions it had rows for.
-    filled = Observation()
+    filled = Counts()
     named = F.struct(*[F.col(quoted(p)) for p in partitions])
-    after = after.observe(filled, F.collect_set(named).alias("partitions"))
+    after = filled.of(after, F.collect_set(named).alias("partitions"))
     _overwrite_partitions(after, table_name, partitions)
-    emptied = set(values) - {tuple(r) for r in filled.get["partitions"] or ()}
+    emptied = set(values) - {tuple(r) for r in filled["partitions"] or ()}
     specs = [
         "PARTITION (" + ", ".join(f"{quoted(c)} = {_partition_literal(row[c])}" for c in partitions) + ")"
         for row in emptied
