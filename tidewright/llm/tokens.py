@@ -15,9 +15,9 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-# Words whose ids a task keeps; beyond that it forgets them all and starts anew.
-# A word takes about 200 bytes, in each of up to three tables.
-KEPT_WORDS = 100_000
+# Words whose ids a task keeps. A word takes about 200 bytes, in each of up to three
+# tables.
+KEPT_WORDS = 150_000
 
 # The 256 characters that stand for bytes in byte-level vocabularies.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -33,16 +33,21 @@ def default_path() -> str:
 
 
 class _Known(dict):
-    """Ids by key, made on demand by ``make`` and bounded in number."""
+    """Ids by key, made on demand by ``make`` and bounded in number: when half of them
+    are new, those not used since the last such time are forgotten."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key):
-        if len(self) >= KEPT_WORDS:
+        if len(self) >= KEPT_WORDS // 2:
+            self.older = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
