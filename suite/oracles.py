@@ -93,6 +93,16 @@ ORACLES = {
         UNION ALL SELECT -1, NULL, '1 new, 1 changed, ' || second || ' rows' FROM counts
         UNION ALL SELECT -2, NULL, '0 new, 0 changed, 0 rows'
     """,
+    "load_rescued": """
+        WITH loaded AS (SELECT *, o_orderkey % 7 = 0 AS bad FROM orders WHERE o_orderkey % 3 <> 2)
+        SELECT 'o_totalprice' AS what, count(*) AS n FROM loaded WHERE bad
+        UNION ALL SELECT 'o_custkey', count(*) FROM loaded WHERE o_orderkey % 5 = 0
+        UNION ALL SELECT 'o_orderpriority', count(*) FROM loaded WHERE o_orderkey % 2 = 0
+        UNION ALL SELECT 'rows', count(*) FROM loaded
+        UNION ALL SELECT 'prices', count(*) FROM loaded WHERE NOT bad
+        UNION ALL SELECT 'comments', 0
+        UNION ALL SELECT 'refused files', 1
+    """,
     "month_slice": """
         SELECT * FROM orders WHERE date_trunc('month', o_orderdate) = TIMESTAMP '1998-03-01 00:00:00'
     """,

@@ -33,6 +33,7 @@ from tidewright.settings import fresh_folder, sql_text
 from tidewright.sources.files import scan, scan_stream
 from tidewright.sources.load_log import log_load
 from tidewright.sources.manifest import load_by_manifest
+from tidewright.sources.rescue import rescue_summary
 from tidewright.sources.registry import insert_or_update_process_table
 from tidewright.sources.tables import insert_or_update_table
 from tidewright.streaming.file_loader import load_new_files
@@ -186,6 +187,31 @@ def load_by_manifest_twice(spark, sf_dir):
     return rows
 
 
+def load_rescued(spark, sf_dir):
+    """Three files of text in the wrong shape: a column that is not defined, prices that
+    are no numbers, and in the third one so many of them that it is refused."""
+    db, landing = _database(spark), fresh_folder(spark, "landing")
+    orders, key = _read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    bad = (key % 3 == 2) | (key % 7 == 0)
+    texts = orders.select(
+        "o_orderkey",
+        F.when(bad, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(key % 5 == 0, F.lit("?")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(key % 2 == 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+    for n in range(3):
+        _put(spark, texts.where(key % 3 == n), f"{landing}/{n}.parquet")
+    columns = [("o_orderkey", "bigint"), ("o_totalprice", "double"), ("o_custkey", "bigint"), ("o_comment", "string")]
+    definition = TableDefinition(f"{db}.orders", [ColumnDefinition(*c) for c in columns])
+    done = load_by_manifest(landing, f"{db}.orders", f"{db}.files", definition=definition, refuse_above=0.5)
+    rows = spark.table(f"{db}.orders")
+    counts = rows.agg(
+        F.count("*").alias("rows"), F.count("o_totalprice").alias("prices"), F.count("o_comment").alias("comments")
+    ).select(F.expr("stack(3, 'rows', rows, 'prices', prices, 'comments', comments) AS (what, n)"))
+    refused = spark.range(1).select(F.lit("refused files"), F.lit(done.refused_files).cast("bigint"))
+    return rescue_summary(rows).toDF("what", "n").union(counts).union(refused)
+
+
 def month_slice(spark, sf_dir):
     return projections.in_month(_read(spark, sf_dir, "orders"), "o_orderdate", "1998-03")
 
@@ -733,6 +759,7 @@ QUERIES = {
     "registry_active_sources": registry_active_sources,
     "load_new_files": load_new_files_once,
     "load_by_manifest": load_by_manifest_twice,
+    "load_rescued": load_rescued,
     "month_slice": month_slice,
     "stage_with_lineage": stage_with_lineage,
     "strip_suffix": strip_suffix,

@@ -1,0 +1,78 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, IntegerType, MapType, StringType, StructType
+
+from tidewright import ColumnDefinition, TableDefinition
+from tidewright.sources import rescue
+from test_manifest import Landing, landing  # noqa: F401
+
+SCHEMA = (
+    StructType().add("k", IntegerType()).add("v", DoubleType()).add("d", DateType())
+    .add("m", MapType(StringType(), IntegerType())).add("s", StringType())
+)
+
+
+def result(rows):
+    return [tuple(r) for r in rows.orderBy("id").collect()]
+
+
+def test_values_and_columns_that_do_not_fit(spark):
+    rows = spark.createDataFrame(
+        [
+            (1, "1", "2.5", "2024-02-30", "x", "a", 7), (2, None, None, None, None, None, None),
+            (3, "99999999999", "", "2024-02-29", "y", "b", None), (4, " 12 ", "nan", "2024", None, "", 0),
+        ],
+        "id int, K string, v string, d string, m string, s string, extra int",
+    )
+    out = rescue.rescued(rows, SCHEMA, also=["id"])
+    assert out.columns == ["k", "v", "d", "m", "s", "id", "rescued"]
+    found = {r.id: r for r in out.collect()}
+    assert (found[1].k, found[1].v, found[1].d) == (1, 2.5, None)
+    assert found[1].rescued == {"d": "2024-02-30", "m": "x", "extra": "7"}
+    assert found[2].rescued is None and found[2].k is None
+    assert found[3].rescued == {"k": "99999999999", "v": "", "m": "y"}
+    assert (found[4].k, str(found[4].v)) == (12, "nan") and found[4].rescued == {"extra": "0"}
+    misfits = {r.id: r.misfit for r in out.select("id", rescue.misfit(SCHEMA).alias("misfit")).collect()}
+    assert misfits == {1: True, 2: False, 3: True, 4: False}
+    counts = {r.column_name: r.rescued_values for r in rescue.rescue_summary(out).collect()}
+    assert counts == {"d": 1, "m": 2, "extra": 2, "k": 1, "v": 1}
+
+
+def test_missing_columns_and_rows_that_fit(spark):
+    rows = spark.createDataFrame([(1, 2.0)], "k int, v double")
+    out = rescue.rescued(rows, SCHEMA)
+    assert out.schema["m"].dataType == SCHEMA["m"].dataType
+    assert out.collect() == [(1, 2.0, None, None, None, None)]
+    assert rescue.rescued(rows.limit(0), SCHEMA).collect() == []
+    with pytest.raises(ValueError, match="taken"):
+        rescue.rescued(rows, SCHEMA, column="K")
+
+
+def test_plan_has_no_shuffle(spark):
+    rows = spark.range(5).selectExpr("cast(id AS string) AS k", "'x' AS v", "1 AS other")
+    plan = rescue.rescued(rows, SCHEMA)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+DEFINITION = TableDefinition("t", [ColumnDefinition("k", "int"), ColumnDefinition("v", "double")])
+
+
+def test_file_of_too_many_misfits_is_refused_until_it_is_mended(spark, db, landing):  # noqa: F811
+    landing.put("good.csv", "1,1.5", "2,x", "3,2", "4,3")
+    landing.put("bad.csv", "5,x", "6,y", "7,1")
+    options = {"definition": DEFINITION, "refuse_above": 0.5, "log_table": f"{db}.log"}
+    done = landing.load(**options)
+    assert (done.new_files, done.refused_files, done.rows) == (1, 1, 4)
+    table = spark.table(landing.table)
+    assert table.where("rescued IS NOT NULL").select("k", "v", F.col("rescued.v")).collect() == [(2, None, "x")]
+    again = landing.load(**options)
+    assert (again.load_id, again.refused_files) == (None, 1)
+    log = spark.table(f"{db}.log").where("status = 'failed'").collect()
+    assert [r.message for r in log] == ["1 files refused: too many rows do not fit."] * 2
+    landing.put("bad.csv", "5,1", "6,y", "7,1")
+    done = landing.load(**options)
+    assert (done.new_files, done.refused_files, done.rows) == (1, 0, 3)
+    landing.put("good.csv", "1,x")
+    done = landing.load(**options)
+    assert (done.changed_files, done.refused_files) == (0, 1)
+    assert spark.table(landing.table).count() == 7  # the former rows stay

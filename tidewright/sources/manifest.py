@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tidewright.operators.aggregates import file_load_stats
-from tidewright.operators.projections import with_lineage
-from tidewright.settings import LOAD_ID, quoted, scratch_folder, sql_text
+from tidewright.operators.definition import TableDefinition
+from tidewright.operators.projections import LINEAGE_COLUMNS, with_lineage
+from tidewright.settings import FAILED, LOAD_ID, quoted, scratch_folder, sql_text
 from tidewright.sources.files import scan
-from tidewright.sources.load_log import log_load
+from tidewright.sources.load_log import insert_ingestion_log, log_load
+from tidewright.sources.rescue import misfit, rescued
 from tidewright.sources.tables import (
     create_table_if_not_exists,
     overwrite_partition,
@@ -45,12 +47,14 @@ MANIFEST = StructType([*_FILE, StructField(LOAD_ID, StringType())])
 
 @dataclass(frozen=True)
 class ManifestLoad:
-    """``load_id`` is None where no file was new or changed."""
+    """``load_id`` is None where no file was loaded. Refused files are neither new nor
+    changed ones; as the manifest does not name them, the next load tries them again."""
 
     load_id: str | None
     new_files: int = 0
     changed_files: int = 0
     rows: int = 0
+    refused_files: int = 0
 
 
 def listed_files(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
@@ -72,52 +76,88 @@ def load_by_manifest(
     schema: str | StructType | None = None,
     options: Mapping[str, str] | None = None,
     transform: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    definition: TableDefinition | None = None,
+    refuse_above: float | None = None,
     log_table: str | None = None,
     execution_id: str | None = None,
 ) -> ManifestLoad:
     """Load the files of a folder that are new or have changed, with lineage columns.
 
     ``transform`` maps the rows of the files before they are written and must keep the
-    lineage columns. ``options`` of the listing are ``recursiveFileLookup`` and
-    ``pathGlobFilter``; all options go to the reader of the format.
+    lineage columns. With a ``definition`` the rows take its columns and types, and what
+    does not fit goes into a rescue column; a file is refused when the share of its rows
+    with a value that does not fit is above ``refuse_above``; rows of its former version
+    stay. ``options`` of the listing are ``recursiveFileLookup`` and ``pathGlobFilter``;
+    all options go to the reader of the format.
     """
     spark, start = SparkSession.active(), datetime.now()
+    execution_id = execution_id or uuid.uuid4().hex
     create_table_if_not_exists(manifest_table, MANIFEST, partition_by=[LOAD_ID])
     recover(table_name, manifest_table)
-    known = spark.table(manifest_table)
     with scratch_folder(spark, "manifest") as folder:
-        selection = {k: v for k, v in (options or {}).items() if k in ("recursiveFileLookup", "pathGlobFilter")}
-        found = listed_files(spark, path, selection)
-        found = found.join(known.select("path", "size", "modified"), ["path", "size", "modified"], "left_anti")
-        changed = known.select(F.col("path").alias("known_path")).distinct()
-        found = found.join(changed, F.col("path") == F.col("known_path"), "left")
-        found.select("path", "size", "modified", F.col("known_path").isNotNull().alias("changed")).write.parquet(folder)
-        pending = spark.read.parquet(folder)
+        pending = _pending(spark, path, manifest_table, options, f"{folder}/pending")
         facts = pending.agg(
             F.count(F.lit(1)).alias("files"), F.count_if("changed").alias("changed"),
             F.min("modified").alias("first"), F.max("modified").alias("last"),
         ).first()
-        load_id, stats = None, None
-        if facts["files"]:
+        load_id, files, changed = None, facts["files"], facts["changed"]
+        if files:
+            rows = transform(_rows_of(spark, path, pending, facts, file_format, schema, options))
+            if definition is not None:
+                wanted = definition.to_schema(include_audit=False)
+                rows = rescued(rows, wanted, also=LINEAGE_COLUMNS)
+                if refuse_above is not None:
+                    rows, refused = _judged(rows, wanted, refuse_above, f"{folder}/judged")
+                    pending = pending.join(refused, "path", "left_anti")
+                    files, changed = pending.agg(F.count(F.lit(1)), F.count_if("changed")).first()
+        if files:
             load_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
-            rows = _rows_of(spark, path, pending, facts, file_format, schema, options)
-            rows = transform(rows)
             prepare_staging_table(table_name, rows.schema)
             overwrite_partition(rows, table_name, LOAD_ID, load_id)
             overwrite_partition(pending.select("path", "size", "modified"), manifest_table, LOAD_ID, load_id)
-            if facts["changed"]:
+            if changed:
                 _take_out_former(table_name, manifest_table)
-            written = spark.table(table_name).where(F.col(LOAD_ID) == load_id)
-            stats = file_load_stats(written)
-    records = 0
-    if log_table is not None:
-        records = log_load(
-            stats, execution_id=execution_id or uuid.uuid4().hex, source_system=path,
-            table_name=table_name, start_time=start, log_table=log_table,
-        )
-    elif stats is not None:
-        records = stats.agg(F.sum("row_count")).first()[0] or 0
-    return ManifestLoad(load_id, facts["files"] - facts["changed"], facts["changed"], records)
+    stats = file_load_stats(spark.table(table_name).where(F.col(LOAD_ID) == load_id)) if load_id else None
+    refused_files = facts["files"] - files
+    if log_table is None:
+        records = stats.agg(F.sum("row_count")).first()[0] or 0 if stats is not None else 0
+    else:
+        log = {"execution_id": execution_id, "source_system": path, "table_name": table_name, "log_table": log_table}
+        records = log_load(stats, start_time=start, **log)
+        if refused_files:
+            insert_ingestion_log(
+                **log, status=FAILED, start_time=start, end_time=datetime.now(),
+                message=f"{refused_files} files refused: too many rows do not fit.",
+            )
+    return ManifestLoad(load_id, files - changed, changed, records, refused_files)
+
+
+def _pending(
+    spark: SparkSession, path: str, manifest_table: str, options: Mapping[str, str] | None, folder: str
+) -> DataFrame:
+    """(path, size, modified, changed) of the files the manifest lacks, written once."""
+    selection = {k: v for k, v in (options or {}).items() if k in ("recursiveFileLookup", "pathGlobFilter")}
+    known, file = spark.table(manifest_table), ["path", "size", "modified"]
+    found = listed_files(spark, path, selection).join(known.select(*file), file, "left_anti")
+    before = known.select(F.col("path").alias("known_path")).distinct()
+    found = found.join(before, F.col("path") == F.col("known_path"), "left")
+    found.select(*file, F.col("known_path").isNotNull().alias("changed")).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _judged(
+    rows: DataFrame, schema: StructType, refuse_above: float, folder: str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of accepted files, paths of the refused ones). The rows are evaluated once,
+    into the folder, and counted there."""
+    rows.write.parquet(folder)
+    staged = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    counted = staged.groupBy(F.col("source_file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(misfit(schema)).alias("misfits")
+    )
+    refused = counted.where(F.col("misfits") > F.lit(refuse_above) * F.col("n")).select("path")
+    same = F.col("source_file_path") == F.col("path")
+    return staged.join(refused, same, "left_anti"), refused
 
 
 def _rows_of(
