@@ -132,3 +132,16 @@ def test_transform_log_and_recursive_folders(spark, landing, db):
     assert done.rows == 1
     log = spark.table(f"{db}.log").select("records_processed", "message").collect()
     assert sorted(tuple(r) for r in log) == [(1, "1 new files, 1 rows."), (1, "File a.csv")]
+
+
+def test_load_that_was_not_logged_is_logged_by_the_next(spark, landing, db, monkeypatch):
+    landing.put("a.csv", "1,a")
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "log_load", _stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            landing.load(log_table=f"{db}.log")
+    landing.put("b.csv", "2,b", "3,c")
+    assert landing.load(log_table=f"{db}.log").rows == 2
+    landing.load(log_table=f"{db}.log")
+    log = spark.table(f"{db}.log").where("end_time IS NOT NULL").collect()
+    assert sorted(r.records_processed for r in log) == [0, 1, 2]

@@ -1,4 +1,6 @@
 import os
+import threading
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,12 +13,14 @@ from tidewright import (
     populate_stg_tables_from_sql,
     populate_stg_tables_from_storage,
 )
+from tidewright.plans import staging
 from tidewright.plans.datasets import materialize
 from tidewright.plans.refine import refine
 from tidewright.plans.staging import staged_rows
 from tidewright.sources.files import scan_stream
 from tidewright.sources.registry import src_definitions
 from tidewright.sources.tables import overwrite_partition
+from tidewright.sources import load_log
 from tidewright.streaming import file_loader
 from test_merge import rows
 
@@ -162,6 +166,39 @@ def test_two_systems_feed_one_table(spark, shop, tmp_path):
     assert rows(spark.table(name).select("id")) == [(1,), (2,)]
 
 
+def test_sources_of_several_tables_load_at_once(spark, db, shop, monkeypatch):
+    """Three tables meet while they load; the two sources of one table never do."""
+    shop.land("SELECT id FROM range(3)")
+    for table in ("a", "b", "c"):
+        shop.register(table)
+    shop.register("c", system="other")
+    meet, inside, real = threading.Barrier(3, timeout=120), [], staging.load_new_files
+
+    def load(rows_, table, *rest, **options):
+        assert table not in inside
+        inside.append(table)
+        if "other" not in rest[0]:
+            meet.wait()
+        done = real(rows_, table, *rest, **options)
+        inside.remove(table)
+        return done
+
+    monkeypatch.setattr(staging, "load_new_files", load)
+    assert shop.load("a", "b", "c") == {f"{db}.a": 3, f"{db}.b": 3, f"{db}.c": 6}
+    totals = shop.log().where("end_time IS NOT NULL").collect()
+    assert sorted(r["records_processed"] for r in totals) == [3, 3, 3, 3]
+
+
+def test_failure_leaves_other_tables_alone(spark, db, shop, tmp_path):
+    shop.land("SELECT id FROM range(3)")
+    shop.register("a", path=str(tmp_path / "nowhere"))
+    shop.register("b")
+    with pytest.raises(Exception, match="nowhere"):
+        shop.load("a", "b")
+    assert spark.table(f"{db}.b").count() == 3
+    assert sorted(r["status"] for r in shop.log().where("end_time IS NOT NULL").collect()) == ["failed", "success"]
+
+
 def test_failure_is_logged_and_raised(spark, shop, tmp_path):
     shop.register(path=str(tmp_path / "absent"))
     with pytest.raises(Exception):
@@ -308,6 +345,46 @@ def test_log_is_complete_whatever_fails(spark, db, shop, monkeypatch):
     assert sum(r["records_processed"] for r in totals.collect()) == 6
 
 
+@pytest.mark.parametrize("written", [False, True])
+def test_load_is_logged_once_whenever_the_driver_is_lost(spark, db, shop, monkeypatch, written):
+    """Lost before or after the log's rows are written: their writing is also their mark."""
+    name = shop.register()
+    shop.land("SELECT id FROM range(3)")
+    real = overwrite_partition
+
+    def lost(rows_, table, *rest):
+        if table == f"{db}.log":
+            if written:
+                real(rows_, table, *rest)
+            raise KeyboardInterrupt("lost")
+        real(rows_, table, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(load_log, "overwrite_partition", lost)
+        with pytest.raises(KeyboardInterrupt):
+            shop.load()
+    shop.land("SELECT id FROM range(2)")
+    shop.load()
+    shop.load()
+    totals = shop.log().where("end_time IS NOT NULL AND status = 'success'").collect()
+    assert sum(r["records_processed"] for r in totals) == spark.table(name).count() == 5
+    per_file = shop.log().where("end_time IS NULL").collect()
+    assert sorted(r["records_processed"] for r in per_file) == [2, 3]
+
+
+def test_load_that_is_logged_again_replaces_its_rows(spark, db):
+    load = {"execution_id": "e", "source_system": "s", "table_name": "t", "log_table": f"{db}.log"}
+    stats = spark.createDataFrame([("a", "/a", 3), ("b", "/b", 4)], "source_file_name string, source_file_path string, row_count bigint")
+    for some in (stats, stats.limit(1), stats):
+        load_log.log_load(some, start_time=datetime.now(), load_id="x-1", **load)
+    assert sorted(r["records_processed"] for r in spark.table(f"{db}.log").collect()) == [3, 4, 7]
+    load_log.log_load(None, start_time=datetime.now(), load_id="x-2", **load)
+    assert sorted(r[0] for r in load_log.logged_loads(spark, f"{db}.log").collect()) == ["x-1", "x-2"]
+    spark.sql(f"CREATE TABLE {db}.flat (execution_id string) USING parquet")
+    with pytest.raises(ValueError, match="partitioned by load_id"):
+        load_log.prepare_log(f"{db}.flat")
+
+
 def test_files_of_one_name_are_several_files(spark, db, shop, tmp_path):
     shop.register()
     for m in (1, 2):

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +71,7 @@ def populate_stg_tables_from_storage(
     execution_id: str | None = None,
     schema: str | None = None,
     options: Mapping[str, str] | None = None,
+    at_once: int = 4,
 ) -> dict[str, int]:
     """Load the new files of each named, active source; rows loaded per table.
 
@@ -75,7 +79,8 @@ def populate_stg_tables_from_storage(
     loaded is remembered below ``checkpoint_root``, by default a folder in
     ``spark.checkpoint.dir``; it must outlive the job. ``options`` go to the
     file source; ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` sets the size
-    of the batches a large first load is committed in.
+    of the batches a large first load is committed in. Up to ``at_once`` tables are
+    loaded at the same time.
     """
     if timezone_to_utc and not source_timezone:
         raise ValueError("source_timezone is required when timezone_to_utc is set.")
@@ -98,11 +103,11 @@ def populate_stg_tables_from_storage(
             source_timezone=source_timezone if timezone_to_utc else None,
         )
         checkpoint = f"{root}/{source['stg_table']}/{source['source_system']}"
-        logged = LoggedBatches(spark, source["stg_table"], checkpoint)
+        logged = LoggedBatches(spark, source["stg_table"], log_table)
         batches.append(logged)
         return load_new_files(rows, source["stg_table"], checkpoint, started=logged.started)
 
-    return _load_each(tg_table_names, load, registry_table, log_table, execution_id)
+    return _load_each(tg_table_names, load, registry_table, log_table, execution_id, at_once)
 
 
 def populate_stg_tables_from_sql(
@@ -112,6 +117,7 @@ def populate_stg_tables_from_sql(
     registry_table: str = SRC_DEFINITIONS_TABLE,
     log_table: str = INGEST_LOGS_TABLE,
     execution_id: str | None = None,
+    at_once: int = 4,
 ) -> dict[str, int]:
     """Append each named, active source's Parquet path as it is now, without
     remembering files: a second call appends the rows again."""
@@ -130,7 +136,7 @@ def populate_stg_tables_from_sql(
         overwrite_partition(rows, table, LOAD_ID, name)
         return spark.table(table).where(F.col(LOAD_ID) == name)
 
-    return _load_each(tg_table_names, load, registry_table, log_table, execution_id)
+    return _load_each(tg_table_names, load, registry_table, log_table, execution_id, at_once)
 
 
 def _load_each(
@@ -139,56 +145,76 @@ def _load_each(
     registry_table: str,
     log_table: str,
     execution_id: str | None,
+    at_once: int,
 ) -> dict[str, int]:
-    """Run ``load`` per source, log each load and its files, re-raise failures.
+    """Load the sources, those of different tables at once, and log each load.
 
-    The statistics come from the rows just written, never from a second
-    evaluation of the source. Where batches are tracked, those that an earlier run
-    committed and could not log are logged too, and those that this run commits
-    before it fails are logged beside the failure.
+    A table has one writer at a time, so sources that feed one table follow each other. A
+    failure leaves the other tables' loads alone; the first one is raised when all are
+    done.
     """
-    execution_id = execution_id or uuid.uuid4().hex
-    loaded: dict[str, int] = {}
+    spark, execution_id = SparkSession.active(), execution_id or uuid.uuid4().hex
     # As many rows as the caller named tables: control data, not data.
     sources = active_sources(names, registry_table).collect()
     if not sources:
         logger.warning("No active source is registered for %s.", names)
+    of_tables: dict[str, list[Row]] = {}
     for source in sources:
-        table, start = source["stg_table"], datetime.now()
-        batches: list[LoggedBatches] = []
-
-        def log(rows: DataFrame | None, table: str = table, source: Row = source, start=start) -> int:
-            return log_load(
-                None if rows is None else file_load_stats(rows),
-                execution_id=execution_id,
-                source_system=source["volume"],
-                table_name=table,
-                start_time=start,
-                log_table=log_table,
-            )
-
-        try:
-            new_rows = load(source, batches)
-            names = [n for b in batches for n in b.missing()]
-            rows = log(batches[0].rows_of(names) if batches else new_rows)
-            for b in batches:
-                b.add(names)
-            loaded[table] = loaded.get(table, 0) + rows
-        except Exception as e:
+        of_tables.setdefault(source["stg_table"], []).append(source)
+    logging_lock = threading.Lock()  # the log is a table with one writer, too
+
+    @inheritable_thread_target(spark)
+    def load_table(table: str) -> int:
+        # A thread has no active session of its own. Where the session schedules fairly,
+        # each table is a pool.
+        spark._jvm.SparkSession.setActiveSession(spark._jsparkSession)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"load-{table}")
+        return sum(_load_one(s, load, log_table, execution_id, logging_lock) for s in of_tables[table])
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(of_tables)))) as pool:
+        loads = {table: pool.submit(load_table, table) for table in of_tables}
+    return {table: done.result() for table, done in loads.items()}
+
+
+def _load_one(
+    source: Row,
+    load: Callable[[Row, list[LoggedBatches]], DataFrame | None],
+    log_table: str,
+    execution_id: str,
+    logging_lock: threading.Lock,
+) -> int:
+    """Run ``load``, log it and its files, re-raise its failure; the rows loaded.
+
+    The statistics come from the rows just written, never from a second
+    evaluation of the source. Where batches are tracked, those that an earlier run
+    committed and could not log are logged too, and those that this run commits
+    before it fails are logged beside the failure.
+    """
+    table, start = source["stg_table"], datetime.now()
+    batches: list[LoggedBatches] = []
+    facts = {
+        "execution_id": execution_id,
+        "source_system": source["volume"],
+        "table_name": table,
+        "start_time": start,
+        "log_table": log_table,
+    }
+
+    def log(rows: DataFrame | None, load_id: str | None = None) -> int:
+        return log_load(None if rows is None else file_load_stats(rows), load_id=load_id, **facts)
+
+    try:
+        new_rows = load(source, batches)
+        with logging_lock:
+            if not batches:
+                return log(new_rows)
+            names = batches[0].missing()
+            return log(batches[0].rows_of(names), batches[0].load_id(names))
+    except Exception as e:
+        with logging_lock:
             for b in batches:
                 names = b.missing()
                 if names:
-                    log(b.rows_of(names))
-                    b.add(names)
-            insert_ingestion_log(
-                execution_id=execution_id,
-                source_system=source["volume"],
-                table_name=table,
-                status=FAILED,
-                start_time=start,
-                end_time=datetime.now(),
-                message=f"Error: {e}",
-                log_table=log_table,
-            )
-            raise
-    return loaded
+                    log(b.rows_of(names), b.load_id(names))
+            insert_ingestion_log(**facts, status=FAILED, end_time=datetime.now(), message=f"Error: {e}")
+        raise

@@ -28,7 +28,7 @@ from tidewright.operators.definition import TableDefinition
 from tidewright.operators.projections import LINEAGE_COLUMNS, with_lineage
 from tidewright.settings import FAILED, LOAD_ID, quoted, scratch_folder, sql_text
 from tidewright.sources.files import scan
-from tidewright.sources.load_log import insert_ingestion_log, log_load
+from tidewright.sources.load_log import insert_ingestion_log, log_load, logged_loads
 from tidewright.sources.rescue import misfit, rescued
 from tidewright.sources.tables import (
     create_table_if_not_exists,
@@ -117,13 +117,19 @@ def load_by_manifest(
             overwrite_partition(pending.select("path", "size", "modified"), manifest_table, LOAD_ID, load_id)
             if changed:
                 _take_out_former(table_name, manifest_table)
-    stats = file_load_stats(spark.table(table_name).where(F.col(LOAD_ID) == load_id)) if load_id else None
-    refused_files = facts["files"] - files
-    if log_table is None:
-        records = stats.agg(F.sum("row_count")).first()[0] or 0 if stats is not None else 0
-    else:
+    refused_files, records = facts["files"] - files, 0
+    if load_id and log_table is None:
+        records = spark.table(table_name).where(F.col(LOAD_ID) == load_id).count()
+    if log_table is not None:
         log = {"execution_id": execution_id, "source_system": path, "table_name": table_name, "log_table": log_table}
-        records = log_load(stats, start_time=start, **log)
+        # This load, and one that was lost before it could be logged.
+        named = spark.table(manifest_table).select(LOAD_ID).distinct()
+        for row in named.join(logged_loads(spark, log_table), LOAD_ID, "left_anti").collect():
+            stats = file_load_stats(spark.table(table_name).where(F.col(LOAD_ID) == row[0]))
+            logged = log_load(stats, start_time=start, load_id=row[0], **log)
+            records = logged if row[0] == load_id else records
+        if load_id is None:
+            log_load(None, start_time=start, **log)
         if refused_files:
             insert_ingestion_log(
                 **log, status=FAILED, start_time=start, end_time=datetime.now(),

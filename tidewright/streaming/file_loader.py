@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewright.settings import LOAD_ID
+from tidewright.sources.load_log import logged_loads
 from tidewright.sources.tables import (
     add_missing_columns_to_table,
     create_table_if_not_exists,
@@ -92,43 +92,42 @@ def load_new_files(
 
 
 class LoggedBatches:
-    """Which batches of a checkpoint have been logged.
+    """Which batches of a stream have been logged.
 
     A batch may be committed by a run that ends before it can log it. What a run
-    logs is therefore every batch in the table that has not been logged, be it
-    its own or an earlier run's. A replayed batch keeps its name, so it is not
-    logged twice.
+    logs is therefore every batch in the table after the last one that is logged, be it
+    its own or an earlier run's. They are logged as one load, named after the stream and
+    its first and last batch, so that being logged and being marked as logged are one
+    step. A replayed batch keeps its name, so it is not logged twice.
     """
 
-    def __init__(self, spark: SparkSession, table_name: str, checkpoint: str):
-        self.spark, self.table_name, self.folder = spark, table_name, f"{checkpoint}.logged"
+    def __init__(self, spark: SparkSession, table_name: str, log_table: str):
+        self.spark, self.table_name, self.log_table = spark, table_name, log_table
         self.stream_id: str | None = None
 
     def started(self, stream_id: str) -> None:
         self.stream_id = stream_id
 
     def missing(self) -> list[str]:
-        """Names of the table's batches that are not logged; control data, one for
-        each batch of this checkpoint."""
+        """Names of the table's batches that are not logged."""
         if self.stream_id is None:
             return []
         self.spark.catalog.refreshTable(self.table_name)
-        found = self.spark.sql(f"SHOW PARTITIONS {self.table_name}").collect()
-        names = {r[0].split("=", 1)[1] for r in found}
-        return sorted(n for n in names - self._known() if n.startswith(f"{self.stream_id}-"))
-
-    def _known(self) -> set[str]:
-        try:
-            return {r[0] for r in self.spark.read.schema("name string").parquet(self.folder).collect()}
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return set()
+        own = F.col(LOAD_ID).startswith(f"{self.stream_id}-")
+        logged = logged_loads(self.spark, self.log_table).where(own)
+        last = logged.agg(F.max(F.regexp_extract(LOAD_ID, r"-(\d+)$", 1))).first()[0]
+        found = self.spark.sql(f"SHOW PARTITIONS {self.table_name}")
+        names = found.select(F.regexp_extract("partition", f"^{LOAD_ID}=(.*)$", 1).alias(LOAD_ID)).where(own)
+        if last is not None:
+            names = names.where(F.col(LOAD_ID) > f"{self.stream_id}-{last}")
+        return sorted(r[0] for r in names.collect())
 
     def rows_of(self, names: list[str]) -> DataFrame | None:
         return self.spark.table(self.table_name).where(F.col(LOAD_ID).isin(names)) if names else None
 
-    def add(self, names: list[str]) -> None:
-        if names:
-            rows = self.spark.createDataFrame([(n,) for n in names], "name string")
-            rows.coalesce(1).write.mode("append").parquet(self.folder)
+    def load_id(self, names: list[str]) -> str | None:
+        """What the batches are logged under."""
+        if not names:
+            return None
+        first, last = (n.rsplit("-", 1)[1] for n in (names[0], names[-1]))
+        return f"{self.stream_id}-{first}-{last}"
