@@ -166,6 +166,25 @@ ORACLES = {
     "upsert_by_day": _UPSERT,
     "upsert_csv_table": _UPSERT,
     "upsert_bucketed": _UPSERT,
+    "append_once": "SELECT * FROM customer",
+    "upsert_history": """
+        WITH said AS (
+            SELECT o_custkey, o_orderstatus, o_orderdate + to_seconds(o_orderkey) AS valid_from FROM orders
+        ), changes AS (
+            SELECT * FROM said
+            QUALIFY o_orderstatus IS DISTINCT FROM lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY valid_from)
+                 OR row_number() OVER (PARTITION BY o_custkey ORDER BY valid_from) = 1
+        )
+        SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to,
+               lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) IS NULL AS is_active
+        FROM changes
+    """,
+    "migrate_table": """
+        SELECT CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey ELSE l_orderkey + 10000000000 END AS l_orderkey,
+               l_linenumber, l_suppkey, CASE WHEN l_orderkey % 2 <> 0 THEN l_returnflag END AS l_returnflag,
+               '1.1.0 l_returnflag,l_orderkey,l_suppkey' AS changes
+        FROM lineitem
+    """,
     "stream_upsert": """
         WITH versions AS (
             SELECT o_orderkey, o_orderstatus, o_totalprice, 10 * n AS version

@@ -22,6 +22,8 @@ from tidewright.operators.definition import ColumnDefinition, TableDefinition
 from tidewright.operators.joins import join_lookup, rows_of_active_sources
 from tidewright.operators.merge import merged
 from tidewright.plans.datasets import materialize
+from tidewright.plans.history import upsert_history
+from tidewright.plans.migrate import migrate_table
 from tidewright.plans.refine import refine
 from tidewright.plans.zones import load_zones
 from tidewright.plans.staging import (
@@ -35,7 +37,7 @@ from tidewright.sources.load_log import log_load
 from tidewright.sources.manifest import load_by_manifest
 from tidewright.sources.rescue import rescue_summary
 from tidewright.sources.registry import insert_or_update_process_table
-from tidewright.sources.tables import insert_or_update_table
+from tidewright.sources.tables import append_once, insert_or_update_table
 from tidewright.streaming.file_loader import load_new_files
 from tidewright.streaming.keyed_upsert import apply_batch, upsert_stream
 
@@ -418,6 +420,61 @@ def upsert_bucketed(spark, sf_dir):
     return spark.table(name).drop("key_bucket")
 
 
+def append_twice(spark, sf_dir):
+    """Two writers append halves of the customers, one of them twice under its number."""
+    name = f"{_database(spark)}.customer"
+    first, second = _customer_halves(spark, sf_dir)
+    append_once(first, name, "a", 1)
+    append_once(second.limit(3), name, "b", 7)  # lost before it had written all
+    append_once(second, name, "b", 7)
+    append_once(first, name, "a", 1)
+    return spark.table(name).drop("append_id")
+
+
+def upsert_history_of_status(spark, sf_dir):
+    """The status of each customer's last order as a history: orders arrive in three parts
+    that follow their times, and the first arrives again after the second."""
+    name = f"{_database(spark)}.status"
+    definition = TableDefinition(
+        name,
+        [ColumnDefinition("o_custkey", "bigint", False), ColumnDefinition("o_orderstatus", "string")],
+        key_columns=["o_custkey"],
+        include_create_and_update=False,
+        include_valid_from_valid_to=True,
+    )
+    at = F.expr("CAST(o_orderdate AS timestamp) + make_dt_interval(0, 0, 0, o_orderkey)").alias("at")
+    orders = _read(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", at)
+    years = F.year("at")
+    orders = orders.withColumn("part", F.when(years < 1996, 0).when(years < 1998, 1).otherwise(2))
+    for part in (0, 1, 0, 2):
+        changes = orders.where(F.col("part") == part).drop("part")
+        upsert_history(changes, definition, as_of="at", key_buckets=16)
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("valid_from", "valid_to")]
+    return spark.table(name).select("o_custkey", "o_orderstatus", *times, "is_active")
+
+
+def migrate_to_wider_types(spark, sf_dir):
+    """A table of int and float line items becomes one of bigint and double with a comment
+    and a new column, and takes rows that only fit the new version."""
+    name, lineitem = f"{_database(spark)}.lineitem", _read(spark, sf_dir, "lineitem")
+    narrow = [ColumnDefinition("l_orderkey", "int"), ColumnDefinition("l_linenumber", "int"), ColumnDefinition("l_suppkey", "int")]
+    wide = [
+        ColumnDefinition("l_orderkey", "bigint", comment="the order"), ColumnDefinition("l_linenumber", "int"),
+        ColumnDefinition("l_suppkey", "bigint"), ColumnDefinition("l_returnflag", "string"),
+    ]
+    options = {"include_is_active": False, "include_create_and_update": False}
+    first = TableDefinition(name, narrow, version="1.0.0", **options)
+    migrate_table(first)
+    old = F.col("l_orderkey") % 2 == 0
+    insert_or_update_table(projections.conform(lineitem.where(old), narrow), name, append_only=True)
+    second = TableDefinition(name, wide, version="1.1.0", **options)
+    done = migrate_table(second)
+    later = lineitem.where(~old).withColumn("l_orderkey", F.col("l_orderkey") + F.lit(10**10))
+    insert_or_update_table(projections.conform(later, wide), name, append_only=True)
+    changes = ",".join(done.added + done.widened + done.commented)
+    return spark.table(name).withColumn("changes", F.lit(f"{second.catalog_version()} {changes}"))
+
+
 def _versioned_orders(spark, sf_dir):
     """Three batches of orders: each leaves a third of them out, has every other order
     twice, and holds stale rows of the batch before."""
@@ -773,6 +830,9 @@ QUERIES = {
     "dedup_latest": dedup_by_latest,
     "append_evolve": append_evolve,
     "evolve_order": evolve_order,
+    "append_once": append_twice,
+    "upsert_history": upsert_history_of_status,
+    "migrate_table": migrate_to_wider_types,
     "upsert_merge": upsert_merge,
     "upsert_table": upsert_table,
     "upsert_partitioned": upsert_partitioned,

@@ -245,15 +245,19 @@ class TableDefinition:
         if not spark.catalog.tableExists(self.table_name):
             spark.sql(self.generate_ddl(table_format, partition_by=partition_by))
             return True
-        current = self.catalog_version()
-        if current == self.version:
+        if self.catalog_version() == self.version:
             return False
-        if current and not allow_downgrade and _version_key(current) > _version_key(self.version):
+        if not allow_downgrade:
+            self.refuse_downgrade()
+        self.sync_table_version()
+        return True
+
+    def refuse_downgrade(self) -> None:
+        current = self.catalog_version()
+        if current and _version_key(current) > _version_key(self.version):
             raise ValueError(
                 f"{self.table_name} is at version {current}, above {self.version}."
             )
-        self.sync_table_version()
-        return True
 
 
 def _literal(bound: Any) -> str:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -24,7 +24,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewright.operators import merge
 from tidewright.operators.ddl import create_table_text
@@ -116,6 +116,29 @@ def _gathered(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return rows.hint("rebalance", *partitions) if partitions else rows
 
 
+# Partition column of tables that are appended to by named, repeatable writes.
+APPEND_ID = "append_id"
+
+
+def append_once(
+    df: DataFrame, table_name: str, writer: str, sequence: int, *, schema_evolution: bool = False
+) -> None:
+    """Append the rows as write number ``sequence`` of ``writer``: repeated under the same
+    name, as after a lost driver, the write replaces its own rows and no others.
+
+    The table is created with the partition column ``append_id``, which names each row's
+    write; one that exists must have it.
+    """
+    schema = StructType([*df.schema.fields, StructField(APPEND_ID, StringType())])
+    if not create_table_if_not_exists(table_name, schema, partition_by=[APPEND_ID]):
+        if table_details(table_name).partition_columns != [APPEND_ID]:
+            raise ValueError(f"{table_name} must be partitioned by {APPEND_ID}.")
+        if schema_evolution:
+            add_missing_columns_to_table(table_name, df.schema)
+    overwrite_partition(df, table_name, APPEND_ID, f"{writer}-{sequence:012d}")
+    df.sparkSession.catalog.refreshTable(table_name)
+
+
 def overwrite_partition(df: DataFrame, table_name: str, column: str, value: str) -> None:
     """Replace one partition by the frame; other partitions are not touched.
 
@@ -164,7 +187,7 @@ def insert_or_update_table(
 
     def create() -> None:
         if key_buckets:
-            _create_bucketed(table_name, df.schema, Layout(tuple(key_columns), key_buckets))
+            create_key_buckets(table_name, df.schema, key_columns, key_buckets)
         else:
             create_table_if_not_exists(table_name, df.schema, partition_by=partition_by)
 
@@ -193,7 +216,9 @@ def insert_or_update_table(
         return UpsertResult(count, replaced)
 
 
-def _create_bucketed(table_name: str, schema: StructType, layout: Layout) -> None:
+def create_key_buckets(table_name: str, schema: StructType, keys: Sequence[str], buckets: int) -> None:
+    """Create a table laid out by its key; one that is there must have this layout."""
+    layout = Layout(tuple(keys), buckets)
     created = create_table_if_not_exists(
         table_name, bucketed_schema(schema), partition_by=[KEY_BUCKET], properties=layout.properties()
     )
@@ -264,6 +289,31 @@ def _apply(
     return _publish(merge.merged(target, source, keys, newest_by), table_name, details)
 
 
+def rewrite_by_key(
+    source: DataFrame,
+    table_name: str,
+    keys: Sequence[str],
+    after: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+) -> str | None:
+    """Replace the table's rows by ``after(rows, source, keys)``, which may change and add
+    rows of the source's keys only and leaves none of them out. ``source`` is staged and
+    its keys are not NULL. With key buckets only those of its keys are rewritten; returns
+    the folder that the table no longer uses otherwise."""
+    target, details = source.sparkSession.table(table_name), table_details(table_name)
+    if details.partition_columns == [KEY_BUCKET]:
+        layout = layout_of(table_name)
+        layout.require(keys)
+        arriving = with_bucket(source, target.schema, layout)
+        # At most as many numbers as the table has buckets.
+        touched = sorted(r[0] for r in arriving.select(KEY_BUCKET).distinct().collect())
+        current = target.where(F.col(KEY_BUCKET).isin(touched))
+        _overwrite_partitions(after(current, arriving, layout.keys), table_name, [KEY_BUCKET])
+        return None
+    if details.partition_columns:
+        raise ValueError(f"{table_name} is partitioned, but not by its key.")
+    return _publish(after(target, source, keys), table_name, details)
+
+
 def _rewrite_buckets(
     target: DataFrame, source: DataFrame, table_name: str, layout: Layout, unkeyed: int, newest_by: Sequence[str]
 ) -> None:
