@@ -78,8 +78,8 @@ def test_only_a_measured_small_side_is_broadcast(spark, monkeypatch):
 
 
 def test_size_settings():
-    assert [joins.size_in_bytes(t) for t in ("-1", "10485760b", "10MB", "2g", "1k")] == [
-        -1, 10485760, 10485760, 2 << 30, 1024,
+    assert [joins.size_in_bytes(t) for t in ("-1", "10485760b", "10MB", "2g", "1k", "1t", "7", " 1PB ")] == [
+        -1, 10485760, 10485760, 2 << 30, 1024, 1 << 40, 7, 1 << 50,
     ]
 
 

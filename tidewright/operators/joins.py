@@ -34,9 +34,9 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 
 def size_in_bytes(setting: str) -> int:
     """A Spark size setting such as '10485760b' or '10MB'."""
-    digits = setting.rstrip("bBkKmMgG")
-    unit = setting[len(digits):].lower()[:1]
-    return int(digits) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(unit, 1)
+    digits = setting.strip().rstrip("bBkKmMgGtTpP")
+    unit = setting.strip()[len(digits):].lower()[:1]
+    return int(digits) * 1024 ** max(0, "bkmgtp".find(unit or "b"))
 
 
 def join_lookup(
