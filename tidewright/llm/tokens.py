@@ -15,9 +15,9 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-# Words whose ids a task keeps. A word takes about 200 bytes, in each of up to three
-# tables.
-KEPT_WORDS = 150_000
+# Words whose ids a task keeps, about 200 bytes each: runs of letters, which are dear to
+# split, and words with their marks, which are made of these.
+KEPT_LETTERS, KEPT_WORDS = 300_000, 80_000
 
 # The 256 characters that stand for bytes in byte-level vocabularies.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -36,12 +36,12 @@ class _Known(dict):
     """Ids by key, made on demand by ``make`` and bounded in number: when half of them
     are new, those not used since the last such time are forgotten."""
 
-    def __init__(self, make):
+    def __init__(self, make, most):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        if len(self) >= KEPT_WORDS // 2:
+        if len(self) >= self.most // 2:
             self.older = dict(self)
             self.clear()
         value = self.older.get(key)
@@ -59,9 +59,9 @@ class Encoder:
         self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.words = _Known(self._word)
-        self.letters = _Known(self._letters)
-        self.marks = _Known(self._marks)
+        self.words = _Known(self._word, KEPT_WORDS)
+        self.letters = _Known(self._letters, KEPT_LETTERS)
+        self.marks = _Known(self._marks, KEPT_WORDS)
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
