@@ -1,0 +1,71 @@
+import pytest
+
+from tidewright.sources import schema_ledger
+from tidewright.sources.schema_ledger import folder_schema
+
+
+@pytest.fixture
+def asked(monkeypatch):
+    """What the footers were read of, run by run."""
+    seen, real = [], schema_ledger.file_schema
+
+    def read(spark, paths, *rest, **options):
+        seen.append(paths if isinstance(paths, str) else [p.replace("file:/", "file:///") for p in paths])
+        return real(spark, paths, *rest, **options)
+
+    monkeypatch.setattr(schema_ledger, "file_schema", read)
+    return seen
+
+
+def put(spark, folder, sql):
+    before = set(spark.read.parquet(folder).inputFiles()) if put.count else set()
+    spark.sql(sql).coalesce(1).write.mode("append").parquet(folder)
+    put.count += 1
+    [new] = set(spark.read.parquet(folder).inputFiles()) - before
+    return new.replace("%20", " ")
+
+
+@pytest.fixture(autouse=True)
+def count():
+    put.count = 0
+
+
+def test_only_footers_of_new_files_are_read(spark, tmp_path, asked):
+    folder, ledger = str(tmp_path / "in put"), str(tmp_path / "ledger")
+    put(spark, folder, "SELECT 1 AS a")
+    put(spark, folder, "SELECT 2 AS a")
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:int>"
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:int>"
+    assert asked == [folder]
+    third = put(spark, folder, "SELECT 3L AS a, 'x' AS b")
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:bigint,b:string>"
+    assert asked[1:] == [[third]]
+    fourth = put(spark, folder, "SELECT 4S AS a")
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:bigint,b:string>"
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:bigint,b:string>"
+    assert asked[2:] == [[fourth]]
+
+
+def test_partition_columns_of_new_files(spark, tmp_path, asked):
+    folder, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    for m in (1, 2):
+        spark.range(2).write.parquet(f"{folder}/m={m}")
+        assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<id:bigint,m:int>"
+    assert asked[0] == folder and len(asked[1]) >= 2 and all("/m=2/" in p for p in asked[1])
+
+
+def test_many_new_files_other_formats_and_a_lost_ledger(spark, tmp_path, asked, monkeypatch):
+    folder, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    put(spark, folder, "SELECT 1 AS a")
+    folder_schema(spark, folder, "parquet", ledger)
+    monkeypatch.setattr(schema_ledger, "NAMED_FILES", 1)
+    for i in range(2):
+        put(spark, folder, f"SELECT {i} AS a, {i} AS b")
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:int,b:int>"
+    assert folder_schema(spark, folder, "parquet", str(tmp_path / "other")).simpleString() == "struct<a:int,b:int>"
+    assert asked == [folder] * 3
+    spark.range(1).write.json(str(tmp_path / "json"))
+    assert folder_schema(spark, str(tmp_path / "json"), "json", ledger).simpleString() == "struct<id:bigint>"
+    assert folder_schema(spark, f"{folder}/*", "parquet", ledger).simpleString() == "struct<a:int,b:int>"
+    assert folder_schema(spark, folder, "parquet", ledger).simpleString() == "struct<a:int,b:int>"
+    assert len(asked) == 5

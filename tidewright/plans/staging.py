@@ -28,9 +28,10 @@ from tidewright.settings import (
     SRC_DEFINITIONS_TABLE,
     shared_folder,
 )
-from tidewright.sources.files import file_schema, scan, scan_stream, spark_format
+from tidewright.sources.files import scan, scan_stream, spark_format
 from tidewright.sources.load_log import insert_ingestion_log, log_load
 from tidewright.sources.registry import active_sources
+from tidewright.sources.schema_ledger import folder_schema
 from tidewright.sources.tables import overwrite_partition
 from tidewright.streaming.file_loader import LoggedBatches, load_new_files, prepare_staging_table
 
@@ -93,7 +94,8 @@ def populate_stg_tables_from_storage(
     def load(source: Row, batches: list[LoggedBatches]) -> DataFrame | None:
         csv = {"csv_header": csv_header, "csv_delimiter": csv_delimiter}
         path = source["volume"]
-        known = schema or file_schema(spark, path, file_format, options=options, **csv)
+        checkpoint = f"{root}/{source['stg_table']}/{source['source_system']}"
+        known = schema or folder_schema(spark, path, file_format, f"{checkpoint}.schema", options=options, **csv)
         files = scan_stream(spark, path, known, file_format, options=options, **csv)
         rows = staged_rows(
             files,
@@ -102,7 +104,6 @@ def populate_stg_tables_from_storage(
             filter_condition,
             source_timezone=source_timezone if timezone_to_utc else None,
         )
-        checkpoint = f"{root}/{source['stg_table']}/{source['source_system']}"
         logged = LoggedBatches(spark, source["stg_table"], log_table)
         batches.append(logged)
         return load_new_files(rows, source["stg_table"], checkpoint, started=logged.started)

@@ -58,12 +58,14 @@ class ManifestLoad:
 
 
 def listed_files(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> DataFrame:
-    """(path, size, modified) of the files below a path; their content is not read."""
+    """(path, size, modified, location) of the files below a path; their content is not
+    read. ``path`` is as in lineage columns, ``location`` as readers take it."""
     files = spark.read.format("binaryFile").options(**(options or {})).load(path)
     return files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("path").alias("location"),
     )
 
 
