@@ -15,9 +15,10 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-# Words whose ids a task keeps, about 200 bytes each: runs of letters, which are dear to
-# split, and words with their marks, which are made of these.
-KEPT_LETTERS, KEPT_WORDS = 300_000, 80_000
+# What a task keeps the ids of, about 200 bytes each: pieces, which are dear to split (runs
+# of letters, and other words), and words, which are made of them.
+KEPT_PIECES, KEPT_WORDS = 200_000, 80_000
+_MARKS = string.punctuation.encode()
 
 # The 256 characters that stand for bytes in byte-level vocabularies.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -60,28 +61,32 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.words = _Known(self._word, KEPT_WORDS)
-        self.letters = _Known(self._letters, KEPT_LETTERS)
-        self.marks = _Known(self._marks, KEPT_WORDS)
+        self.letters = _Known(self._letters, KEPT_PIECES)
+        self.others = _Known(self._others, KEPT_PIECES)
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
-    def _letters(self, word: str) -> bytes:
-        return self._packed([t.id for t in self.model.tokenize("".join(map(_BYTE_CHARS.get, word.encode())))])
+    def _letters(self, word: bytes) -> bytes:
+        return self._packed([t.id for t in self.model.tokenize("".join(map(_BYTE_CHARS.get, word)))])
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        body = text.rstrip(string.punctuation)
         # A run of Latin-1 letters is one piece, which only has to be lower-cased, and
         # the marks behind it are another.
-        if body.isalpha() and max(body) < "Ā":
+        body = word.rstrip(_MARKS)
+        if body.isalpha():  # of ASCII
             ids = self.letters[body.lower()]
-            return ids if len(body) == len(text) else ids + self.marks[text[len(body) :]]
+        else:
+            text = body.decode("utf-8", "replace")
+            if not (text.isalpha() and max(text) < "Ā"):
+                return self.others[word]
+            ids = self.letters[text.lower().encode()]
+        return ids if len(body) == len(word) else ids + self.others[word[len(body) :]]
+
+    def _others(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _marks(self, marks: str) -> bytes:
-        return self._packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
-
     def packed(self, text: bytes) -> bytes:
         """The ids of a text, as little-endian integers of ``kind``."""
         return b"".join(map(self.words.__getitem__, text.split()))
