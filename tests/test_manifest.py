@@ -124,6 +124,22 @@ def test_only_files_of_the_range_are_scanned(spark, landing):
     assert "content" not in content.split("ReadSchema")[-1]
 
 
+def test_loads_of_others_into_the_same_table_stay(spark, db, tmp_path, landing):
+    """Those of another manifest, and those that no manifest names."""
+    landing.put("a.csv", "1,a")
+    landing.load()
+    (tmp_path / "2").mkdir()
+    other = Landing(db, tmp_path / "2")
+    other.manifest = f"{db}.other_files"
+    other.put("b.csv", "2,b")
+    other.load()
+    rows = spark.table(landing.table).drop(LOAD_ID).limit(1)
+    manifest.overwrite_partition(rows.withColumn("k", F.lit(9)), landing.table, LOAD_ID, "stream-00000000")
+    for each in (landing, other, landing):
+        each.load()
+    assert sorted(r.k for r in spark.table(landing.table).collect()) == [1, 2, 9]
+
+
 def test_transform_log_and_recursive_folders(spark, landing, db):
     landing.put("x/a.csv", "1,a", "2,b")
     done = landing.load(

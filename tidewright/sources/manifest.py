@@ -7,7 +7,9 @@ changed under its old path is loaded again, and its former rows go.
 Every load writes a partition of its own, in this order: its rows, its manifest entries,
 then the former rows and entries of changed files are taken out. A load counts once the
 manifest names it. What a lost driver left behind is put right by the next load:
-partitions the manifest does not name are dropped, and files it names twice are finished.
+partitions of loads the manifest does not name are dropped, and files it names twice are
+finished. The names of a manifest's loads begin with its id, a property of its table, so
+that other loads may write to the same staging table.
 
 Files that vanish from the folder keep their rows; files without a byte are not listed.
 """
@@ -37,6 +39,7 @@ from tidewright.sources.tables import (
 )
 from tidewright.streaming.file_loader import prepare_staging_table
 
+_ID_PROPERTY = "manifest_id"
 _FILE = [
     StructField("path", StringType()),
     StructField("size", LongType()),
@@ -95,6 +98,7 @@ def load_by_manifest(
     spark, start = SparkSession.active(), datetime.now()
     execution_id = execution_id or uuid.uuid4().hex
     create_table_if_not_exists(manifest_table, MANIFEST, partition_by=[LOAD_ID])
+    manifest_id = _manifest_id(manifest_table)
     recover(table_name, manifest_table)
     with scratch_folder(spark, "manifest") as folder:
         pending = _pending(spark, path, manifest_table, options, f"{folder}/pending")
@@ -113,7 +117,7 @@ def load_by_manifest(
                     pending = pending.join(refused, "path", "left_anti")
                     files, changed = pending.agg(F.count(F.lit(1)), F.count_if("changed")).first()
         if files:
-            load_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
+            load_id = f"{manifest_id}-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
             prepare_staging_table(table_name, rows.schema)
             overwrite_partition(rows, table_name, LOAD_ID, load_id)
             overwrite_partition(pending.select("path", "size", "modified"), manifest_table, LOAD_ID, load_id)
@@ -193,6 +197,17 @@ def _rows_of(
     return rows.alias("r").join(pending.alias("p"), same, "left_semi").select(*names)
 
 
+def _manifest_id(manifest_table: str) -> str:
+    """What the names of this manifest's loads begin with; set when it is first used."""
+    spark = SparkSession.active()
+    found = spark.sql(f"SHOW TBLPROPERTIES {manifest_table}").where(F.col("key") == _ID_PROPERTY).collect()
+    if found:
+        return found[0]["value"]
+    own = uuid.uuid4().hex[:16]
+    spark.sql(f"ALTER TABLE {manifest_table} SET TBLPROPERTIES ({sql_text(_ID_PROPERTY)} = {sql_text(own)})")
+    return own
+
+
 def recover(table_name: str, manifest_table: str) -> None:
     """Finish or undo what an interrupted load has left in the table."""
     spark = SparkSession.active()
@@ -202,6 +217,7 @@ def recover(table_name: str, manifest_table: str) -> None:
         F.regexp_extract(F.col("partition"), f"^{LOAD_ID}=(.*)$", 1).alias(LOAD_ID)
     )
     named = spark.table(manifest_table).select(LOAD_ID).distinct()
+    shown = shown.where(F.col(LOAD_ID).startswith(f"{_manifest_id(manifest_table)}-"))
     # Loads that were not finished: one at most, unless recovery was interrupted too.
     for row in shown.join(named, LOAD_ID, "left_anti").collect():
         spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({LOAD_ID} = {sql_text(row[0])})")

@@ -105,8 +105,9 @@ def append_rows(df: DataFrame, table_name: str, *, schema_evolution: bool = Fals
     if schema_evolution:
         add_missing_columns_to_table(table_name, df.schema)
     schema, partitions = df.sparkSession.table(table_name).schema, table_details(table_name).partition_columns
-    if partitions == [KEY_BUCKET]:
-        df = with_bucket(df, schema, layout_of(table_name))
+    layout = layout_of(table_name) if partitions == [KEY_BUCKET] else None
+    if layout is not None:
+        df = with_bucket(df, schema, layout)
     _gathered(merge.aligned(df, schema), partitions).write.insertInto(table_name)
 
 
@@ -275,8 +276,8 @@ def _apply(
     if details.provider in ROW_LEVEL_PROVIDERS:
         _merge_into(source, table_name, target, keys, evolve, newest_by)
         return None
-    if details.partition_columns == [KEY_BUCKET]:
-        layout = layout_of(table_name)
+    layout = layout_of(table_name) if details.partition_columns == [KEY_BUCKET] else None
+    if layout is not None:
         layout.require(keys)
         _rewrite_buckets(target, source, table_name, layout, unkeyed, newest_by)
         return None
@@ -300,8 +301,8 @@ def rewrite_by_key(
     its keys are not NULL. With key buckets only those of its keys are rewritten; returns
     the folder that the table no longer uses otherwise."""
     target, details = source.sparkSession.table(table_name), table_details(table_name)
-    if details.partition_columns == [KEY_BUCKET]:
-        layout = layout_of(table_name)
+    layout = layout_of(table_name) if details.partition_columns == [KEY_BUCKET] else None
+    if layout is not None:
         layout.require(keys)
         arriving = with_bucket(source, target.schema, layout)
         # At most as many numbers as the table has buckets.

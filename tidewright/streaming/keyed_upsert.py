@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidewright.operators import merge
 from tidewright.operators.dedup import dedup_latest
 from tidewright.settings import quoted, sql_text
-from tidewright.sources.key_buckets import KEY_BUCKET, known_key
+from tidewright.sources.key_buckets import known_key, layout_of
 from tidewright.sources.tables import (
     add_missing_columns_to_table,
     insert_or_update_table,
@@ -67,11 +67,14 @@ def apply_batch(
     if spark.catalog.tableExists(table_name):
         spark.catalog.refreshTable(table_name)
         # Elsewhere the rows of a batch are not published together.
-        if table_details(table_name).partition_columns not in ([], [KEY_BUCKET]):
+        if table_details(table_name).partition_columns and layout_of(table_name) is None:
             raise ValueError(f"{table_name}: a stream upserts into unpartitioned tables or key buckets.")
         add_missing_columns_to_table(table_name, StructType([StructField(APPLIED_BATCH, StringType())]))
         rows = _without_unkeyed_of(rows, spark.table(table_name), name, key_columns)
-    latest = dedup_latest(rows, key_columns, [F.desc_nulls_last(quoted(c)) for c in newest_by])
+    order = [F.desc_nulls_last(quoted(c)) for c in newest_by]
+    # Rows that are equal by these columns: a replay must choose the same one.
+    order.append(F.xxhash64(F.to_json(F.struct("*"))))
+    latest = dedup_latest(rows, key_columns, order)
     insert_or_update_table(
         latest,
         table_name,
