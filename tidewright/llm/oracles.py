@@ -187,3 +187,30 @@ def quality_rules_sql() -> str:
                array_to_string(list_sort(broken), ',') AS failed_rules, NOT base_failed AND len(broken) = 0 AS kept
         FROM verdicts
     """
+
+
+def ngram_jaccard_sql() -> str:
+    """Sets of 5-word shingles, all pairs that share one, and what their links reach."""
+    return """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+'
+            ) AS words FROM documents
+        ), shingles AS MATERIALIZED (
+            SELECT DISTINCT doc_id, words[p:p + 4] AS gram
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS p FROM d)
+        ), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a, b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+                FROM shingles x JOIN shingles y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL
+            ) JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b
+            WHERE 100 * shared >= 75 * (m.n + n.n - shared)
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)
+    """

@@ -13,7 +13,7 @@ from tidewright.llm.decontamination import contamination
 from tidewright.llm.exact_dedup import exact_dedup
 from tidewright.llm.merkle import build, proofs, without_line_ends
 from tidewright.llm.ngram_join import ngram_components
-from tidewright.llm.oracles import centroids_sql, merkle_sql, quality_rules_sql
+from tidewright.llm.oracles import centroids_sql, merkle_sql, ngram_jaccard_sql, quality_rules_sql
 from tidewright.llm.packing import pack_documents
 from tidewright.llm.personal_data import digest, find_personal_data
 from tidewright.llm.quality import classify
@@ -128,6 +128,7 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(body, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op6_ngram_jaccard": ngram_jaccard_sql(),
     "op11_centroids": centroids_sql(),
     "op12_merkle_manifest": merkle_sql(),
     "op13_quality_rules": quality_rules_sql(),

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 # What a task keeps the ids of, about 200 bytes each: pieces, which are dear to split (runs
 # of letters, and other words), and words, which are made of them.
-KEPT_PIECES, KEPT_WORDS = 200_000, 80_000
+KEPT_PIECES, KEPT_WORDS = 400_000, 80_000
 _MARKS = string.punctuation.encode()
 
 # The 256 characters that stand for bytes in byte-level vocabularies.
