@@ -134,7 +134,8 @@ def test_loads_of_others_into_the_same_table_stay(spark, db, tmp_path, landing):
     other.put("b.csv", "2,b")
     other.load()
     rows = spark.table(landing.table).drop(LOAD_ID).limit(1)
-    manifest.overwrite_partition(rows.withColumn("k", F.lit(9)), landing.table, LOAD_ID, "stream-00000000")
+    rows = spark.createDataFrame(rows.collect(), rows.schema).withColumn("k", F.lit(9))
+    manifest.overwrite_partition(rows, landing.table, LOAD_ID, "stream-00000000")
     for each in (landing, other, landing):
         each.load()
     assert sorted(r.k for r in spark.table(landing.table).collect()) == [1, 2, 9]
