@@ -114,3 +114,10 @@ def test_words_of_patterns_that_powers_of_one_base_confuse(spark, n):
     rows = [(i, " ".join(["w"] * 19 + [thue_morse(n, i == 1)])) for i in range(2)]
     rows += [(2, " ".join(f"{thue_morse(n, k % 2)}{k}" for k in range(30)))]
     assert by_id(op.substring_dedup(docs(spark, rows)), "n_removed") == {0: (0,), 1: (0,), 2: (0,)}
+
+
+def test_words_computed_to_collide_under_a_fixed_key(spark):
+    pair = "tvnevfseswqcodyjdbzysdgsinhzwahemxujlvssigzfacub", "vpnxzixtprggqkcxlggadltrwblbnhfcvyxspyxglmazybul"
+    same = " ".join(f"w{k}" for k in range(19))
+    rows = [(i, f"{same} {word}") for i, word in enumerate(pair)]
+    assert [r.n_removed for r in op.substring_dedup(docs(spark, rows)).orderBy("doc_id").collect()] == [0, 0]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.occurrences import BLOCK, KNOWN, OPEN, ROWS, Occurrences, decided, keyed, pack, places_of
-from tidewright.llm.text import Words, chunks, whole_windows
+from tidewright.llm.text import Words, chunks, fresh_key, whole_windows
 
 WINDOW = 20
 GRAM = 8  # at least 5 below WINDOW and at most 15
@@ -74,7 +74,7 @@ def _anchor_places(words: Words, hashes: np.ndarray, window: int, gram: int):
     return starts, found, starts + (best & np.uint64(15)).astype(np.int64), grams
 
 
-def _anchors(n: int, window: int, gram: int):
+def _anchors(n: int, window: int, gram: int, key: int):
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ranks, tags = (batch.column(c).to_numpy() for c in ("rank", "tag"))
@@ -82,7 +82,7 @@ def _anchors(n: int, window: int, gram: int):
                 words = Words(data, offsets)
                 if len(words) < window:
                     continue
-                _, _, places, grams = _anchor_places(words, words.hashes(), window, gram)
+                _, _, places, grams = _anchor_places(words, words.hashes(key), window, gram)
                 places = np.unique(places)
                 texts = words.texts()[places]
                 yield from _deal(
@@ -92,7 +92,7 @@ def _anchors(n: int, window: int, gram: int):
     return anchors
 
 
-def _open_windows(n: int, window: int, gram: int):
+def _open_windows(n: int, window: int, gram: int, key: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ranks, tags = (batch.column(c).to_numpy() for c in ("rank", "tag"))
@@ -102,7 +102,7 @@ def _open_windows(n: int, window: int, gram: int):
                 marked = np.zeros(len(words) + 1, bool)
                 for t in range(end - row):
                     marked[words.first[t] + places_of(marks[row + t].as_py())] = True
-                starts, values, anchors, _ = _anchor_places(words, words.hashes(), window, gram)
+                starts, values, anchors, _ = _anchor_places(words, words.hashes(key), window, gram)
                 starts, values = starts[marked[anchors]], values[marked[anchors]]
                 if not len(starts):
                     continue
@@ -158,12 +158,12 @@ def substring_dedup(
 ) -> DataFrame:
     """Per row: doc_id, kept_text (words joined by a blank), n_words, n_removed,
     intervals (the word ranges removed, end exclusive)."""
-    n = _blocks(docs.sparkSession)
+    n, key = _blocks(docs.sparkSession), fresh_key()
     source = keyed(docs, id_column, text_column)
     # The texts are dealt by their keys once; both joins read the same exchange.
     placed = source.repartition("rank", "tag")
-    repeated = decided(source.mapInArrow(_anchors(n, window, gram), ROWS), Occurrences.repeated, n)
-    again = placed.join(repeated, ["rank", "tag"]).mapInArrow(_open_windows(n, window, gram), ROWS)
+    repeated = decided(source.mapInArrow(_anchors(n, window, gram, key), ROWS), Occurrences.repeated, n)
+    again = placed.join(repeated, ["rank", "tag"]).mapInArrow(_open_windows(n, window, gram, key), ROWS)
     later = decided(again, Occurrences.not_first, n)
     marked = placed.join(later, ["rank", "tag"], "left")
     return marked.select("doc_id", "text", "places").mapInArrow(_remove(window), RESULT)
