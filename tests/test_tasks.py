@@ -1,0 +1,69 @@
+import glob
+import uuid
+
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+import suite.queries as queries
+from tidewright.operators.tasks import ROW_GROUP, small_tasks
+from tidewright.sources.tables import insert_or_update_table, table_details
+
+SF_DIR = "/root/testdata/sf0.001"
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+def row_groups(folder):
+    found = [pq.ParquetFile(f) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)]
+    return [f.metadata.row_group(i) for f in found for i in range(f.num_row_groups)]
+
+
+def test_settings_are_lowered_and_put_back(spark):
+    before = spark.conf.get(SPLIT)
+    with small_tasks(spark):
+        assert (spark.conf.get(SPLIT), spark.conf.get(ROW_GROUP)) == ("16777216", "16777216")
+        spark.conf.set(SPLIT, "1m")
+        with small_tasks(spark):
+            assert spark.conf.get(SPLIT) == str(1 << 20)
+    assert spark.conf.get(SPLIT) == before
+    assert spark.conf.get(ROW_GROUP, None) is None
+
+
+def test_an_upsert_writes_row_groups_that_fit_a_task(spark, db):
+    rows = spark.range(0, 3_000_000, 1, 1).select("id", F.xxhash64("id").alias("v"))
+    insert_or_update_table(rows, f"{db}.t", key_columns=["id"])
+    insert_or_update_table(rows.limit(3).withColumn("v", F.lit(0)), f"{db}.t", key_columns=["id"])
+    groups = row_groups(table_details(f"{db}.t").location.removeprefix("file:"))
+    assert sum(g.num_rows for g in groups) == 3_000_000
+    assert max(g.total_byte_size for g in groups) < 24 << 20
+
+
+def noted_folders(monkeypatch):
+    """What the queries' fresh folders are, by purpose."""
+    noted, fresh = {}, queries.fresh_folder
+    monkeypatch.setattr(queries, "fresh_folder", lambda s, p: noted.setdefault(p, []).append(fresh(s, p)) or noted[p][-1])
+    return noted
+
+
+def test_files_read_in_one_piece_are_small(spark, monkeypatch):
+    noted = noted_folders(monkeypatch)
+    monkeypatch.setattr(queries, "FILE_ROWS", 50, raising=False)
+    rows = queries.scan_formats(spark, SF_DIR)
+    n = spark.read.parquet(f"{SF_DIR}/customer.parquet").count()
+    assert rows.count() == 6 * n
+    for name in ("xml", "json", "text"):
+        assert len(glob.glob(f"{noted['formats'][0]}/{name}/part-*")) >= n // 50
+
+
+def test_a_stream_lands_in_more_than_one_task(spark, monkeypatch):
+    noted = noted_folders(monkeypatch)
+    assert queries.stream_upsert(spark, SF_DIR).count() > 0
+    assert len(glob.glob(f"{noted['landing'][0]}/part-*")) > 3
+
+
+def test_a_single_file_has_row_groups_that_fit_a_task(spark, tmp_path):
+    rows = spark.range(0, 3_000_000, 1, 3).select("id", F.xxhash64("id").alias("v"))
+    path = str(tmp_path / f"{uuid.uuid4().hex}.parquet")
+    queries._put(spark, rows, path)
+    file = pq.ParquetFile(path)
+    assert file.metadata.num_rows == 3_000_000
+    assert max(file.metadata.row_group(i).total_byte_size for i in range(file.num_row_groups)) < 24 << 20

@@ -31,6 +31,7 @@ from tidewright.operators.ddl import create_table_text
 from tidewright.operators.dedup import dedup_keys, dedup_latest
 from tidewright.operators.observed import Counts
 from tidewright.operators.quality import refuse
+from tidewright.operators.tasks import in_small_tasks
 from tidewright.settings import quoted, scratch_folder, sql_text
 from tidewright.sources.key_buckets import (
     KEY_BUCKET,
@@ -155,6 +156,7 @@ def overwrite_partition(df: DataFrame, table_name: str, column: str, value: str)
     )
 
 
+@in_small_tasks
 def insert_or_update_table(
     df: DataFrame,
     table_name: str,
