@@ -21,6 +21,7 @@ from tidewright.operators.dedup import dedup_keys, dedup_latest
 from tidewright.operators.definition import ColumnDefinition, TableDefinition
 from tidewright.operators.joins import join_lookup, rows_of_active_sources
 from tidewright.operators.merge import merged
+from tidewright.operators.tasks import ROW_GROUP, TASK_BYTES
 from tidewright.plans.datasets import materialize
 from tidewright.plans.history import upsert_history
 from tidewright.plans.migrate import migrate_table
@@ -498,7 +499,7 @@ def stream_upsert(spark, sf_dir):
     options = {"newest_by": ["version"], "key_buckets": 16}
     batches = _versioned_orders(spark, sf_dir)
     for n, batch in enumerate(batches):
-        batch.coalesce(1).write.mode("append").parquet(landing)
+        batch.write.mode("append").option(ROW_GROUP, TASK_BYTES).parquet(landing)
         stream = scan_stream(spark, landing, batch.schema)
         names = upsert_stream(stream, name, ["o_orderkey"], checkpoint, **options)
         if n == 1:

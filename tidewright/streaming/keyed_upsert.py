@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewright.operators import merge
 from tidewright.operators.dedup import dedup_latest
+from tidewright.operators.tasks import in_small_tasks
 from tidewright.settings import quoted, sql_text
 from tidewright.sources.key_buckets import known_key, layout_of
 from tidewright.sources.tables import (
@@ -44,6 +45,7 @@ def last_applied(spark: SparkSession, table_name: str, stream_id: str) -> str |
     return found[0]["value"] if found else None
 
 
+@in_small_tasks
 def apply_batch(
     batch: DataFrame,
     name: str,
