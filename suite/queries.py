@@ -156,9 +156,10 @@ def load_new_files_once(spark, sf_dir):
 
 
 def _put(spark, rows, path):
-    """Write the rows as one file of a stated name, in place of one that is there."""
+    """Write the rows as one file of a stated name, in place of one that is there. Its one
+    task gets the rows from those that read and filter the table."""
     folder, hadoop = fresh_folder(spark, "one-file"), spark.sparkContext._jvm.org.apache.hadoop.fs
-    rows.coalesce(1).write.parquet(folder)
+    rows.repartition(1).write.option(ROW_GROUP, TASK_BYTES).parquet(folder)
     fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     [file] = fs.globStatus(hadoop.Path(f"{folder}/part-*"))
     fs.mkdirs(hadoop.Path(path).getParent())

@@ -28,6 +28,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from tidewright.operators.aggregates import file_load_stats
 from tidewright.operators.definition import TableDefinition
 from tidewright.operators.projections import LINEAGE_COLUMNS, with_lineage
+from tidewright.operators.tasks import in_small_tasks
 from tidewright.settings import FAILED, LOAD_ID, quoted, scratch_folder, sql_text
 from tidewright.sources.files import scan
 from tidewright.sources.load_log import insert_ingestion_log, log_load, logged_loads
@@ -72,6 +73,7 @@ def listed_files(spark: SparkSession, path: str, options: Mapping[str, str] | No
     )
 
 
+@in_small_tasks
 def load_by_manifest(
     path: str,
     table_name: str,
