@@ -44,6 +44,9 @@ from tidewright.streaming.keyed_upsert import apply_batch, upsert_stream
 
 NEW_YORK = "America/New_York"
 
+# Rows of a file that is written to be read in one piece.
+FILE_ROWS = 100_000
+
 # Rules used by the validation queries.
 LINEITEM = TableDefinition(
     table_name="lineitem_rules",
@@ -98,17 +101,18 @@ def scan_table(spark, sf_dir):
 
 
 def scan_formats(spark, sf_dir):
-    """Customers through every format that needs no extra package."""
+    """Customers through every format that needs no extra package. Files of some formats
+    are read by one task each, so their rows are bounded."""
     customers = _read(spark, sf_dir, "customer")
     folder, tagged = fresh_folder(spark, "formats"), []
     for name in ("parquet", "orc", "json", "csv", "xml"):
         options = {"rowTag": "customer"} if name == "xml" else {}
-        customers.write.format(name).options(**options).save(f"{folder}/{name}")
+        customers.write.format(name).option("maxRecordsPerFile", FILE_ROWS).options(**options).save(f"{folder}/{name}")
         schema = None if name in ("parquet", "orc") else customers.schema
         rows = scan(spark, f"{folder}/{name}", name.upper(), schema=schema, options=options)
         tagged.append(rows.select(F.lit(name).alias("file_format"), *customers.columns))
     lines = customers.select(F.to_json(F.struct("*")).alias("value"))
-    lines.write.text(f"{folder}/text")
+    lines.write.option("maxRecordsPerFile", FILE_ROWS).text(f"{folder}/text")
     parsed = scan(spark, f"{folder}/text", "text").select(
         F.lit("text").alias("file_format"), F.from_json("value", customers.schema).alias("c")
     )
