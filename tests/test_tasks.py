@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import suite.queries as queries
 from tidewright.operators.tasks import ROW_GROUP, small_tasks
-from tidewright.sources.tables import insert_or_update_table, table_details
+from tidewright.sources.tables import insert_or_update_table, replace_partitions, table_details
 
 SF_DIR = "/root/testdata/sf0.001"
 SPLIT = "spark.sql.files.maxPartitionBytes"
@@ -67,3 +67,16 @@ def test_a_single_file_has_row_groups_that_fit_a_task(spark, tmp_path):
     file = pq.ParquetFile(path)
     assert file.metadata.num_rows == 3_000_000
     assert max(file.metadata.row_group(i).total_byte_size for i in range(file.num_row_groups)) < 24 << 20
+
+
+def test_rows_of_one_task_for_one_partition_are_dealt_out(spark, db):
+    rows = spark.range(0, 400_000, 1, 1).select("id", F.xxhash64("id").alias("v"), F.lit("a").alias("p"))
+    rows.write.partitionBy("p").saveAsTable(f"{db}.t")
+    staged = spark.table(f"{db}.t")
+    with small_tasks(spark):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+        replace_partitions(staged.where("id > 0"), f"{db}.t", staged.select("p").distinct().collect(), parts=16)
+    spark.catalog.refreshTable(f"{db}.t")
+    found = spark.table(f"{db}.t")
+    assert found.agg(F.count("*"), F.min("id")).first() == (399_999, 1)
+    assert len(found.inputFiles()) > 1

@@ -41,6 +41,9 @@ from tidewright.sources.tables import (
 from tidewright.streaming.file_loader import prepare_staging_table
 
 _ID_PROPERTY = "manifest_id"
+# Into how many pieces a task deals its rows of a load that is rewritten: they are sorted
+# there, and a split of few bytes may hold millions of rows with the names of their files.
+PARTS = 16
 _FILE = [
     StructField("path", StringType()),
     StructField("size", LongType()),
@@ -244,5 +247,5 @@ def _take_out_former(table_name: str, manifest_table: str) -> None:
             spark.catalog.refreshTable(name)
             current = spark.table(name).where(F.col(LOAD_ID).isin([r[0] for r in loads]))
             gone = (F.col(column) == F.col("former_path")) & (F.col(LOAD_ID) == F.col("former_load"))
-            replace_partitions(current.join(former, gone, "left_anti"), name, loads)
+            replace_partitions(current.join(former, gone, "left_anti"), name, loads, parts=PARTS)
             spark.catalog.refreshTable(name)

@@ -112,10 +112,18 @@ def append_rows(df: DataFrame, table_name: str, *, schema_evolution: bool = Fals
     _gathered(merge.aligned(df, schema), partitions).write.insertInto(table_name)
 
 
-def _gathered(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def _gathered(rows: DataFrame, partitions: Sequence[str], parts: int = 1) -> DataFrame:
     """Rows of one table partition brought together, so that not every task
-    writes a file into every partition; AQE splits a large partition again."""
-    return rows.hint("rebalance", *partitions) if partitions else rows
+    writes a file into every partition; AQE splits a large partition again, though not
+    what one task has sent: ``parts`` deals that out too."""
+    if not partitions:
+        return rows
+    if parts == 1:
+        return rows.hint("rebalance", *partitions)
+    # Spark hashes no maps.
+    plain = [F.col(quoted(f.name)) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    dealt = rows.withColumn("__part", F.pmod(F.xxhash64(*plain), F.lit(parts)))
+    return dealt.hint("rebalance", *partitions, "__part").drop("__part")
 
 
 # Partition column of tables that are appended to by named, repeatable writes.
@@ -416,16 +424,17 @@ def _rewrite_partitions(
     replace_partitions(after, table_name, values)
 
 
-def replace_partitions(after: DataFrame, table_name: str, values: Sequence[Row]) -> None:
+def replace_partitions(after: DataFrame, table_name: str, values: Sequence[Row], *, parts: int = 1) -> None:
     """Replace the partitions named by ``values`` by the rows, of which none may belong to
-    another; a partition that gets no row is dropped."""
+    another; a partition that gets no row is dropped. Where partitions are large, ``parts``
+    deals the rows of each to that many shuffle partitions."""
     spark, partitions = after.sparkSession, list(values[0].__fields__)
     # A dynamic overwrite leaves a partition alone when no row is left for it, so
     # the write itself notes which partitions it had rows for.
     filled = Counts()
     named = F.struct(*[F.col(quoted(p)) for p in partitions])
     after = filled.of(after, F.collect_set(named).alias("partitions"))
-    _overwrite_partitions(after, table_name, partitions)
+    _overwrite_partitions(after, table_name, partitions, parts)
     emptied = set(values) - {tuple(r) for r in filled["partitions"] or ()}
     specs = [
         "PARTITION (" + ", ".join(f"{quoted(c)} = {_partition_literal(row[c])}" for c in partitions) + ")"
@@ -436,7 +445,9 @@ def replace_partitions(after: DataFrame, table_name: str, values: Sequence[Row])
         spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS {listed}")
 
 
-def _overwrite_partitions(rows: DataFrame, table_name: str, partitions: Sequence[str]) -> None:
+def _overwrite_partitions(
+    rows: DataFrame, table_name: str, partitions: Sequence[str], parts: int = 1
+) -> None:
     """Replace just the partitions the rows belong to, which may be derived from
     them: a dynamic overwrite swaps partitions only after all rows are written.
     """
@@ -444,7 +455,7 @@ def _overwrite_partitions(rows: DataFrame, table_name: str, partitions: Sequence
     mode = conf.get(setting)
     conf.set(setting, "dynamic")
     try:
-        _gathered(rows, partitions).write.insertInto(table_name, overwrite=True)
+        _gathered(rows, partitions, parts).write.insertInto(table_name, overwrite=True)
     finally:
         conf.set(setting, mode)
 
