@@ -247,5 +247,5 @@ def _take_out_former(table_name: str, manifest_table: str) -> None:
             spark.catalog.refreshTable(name)
             current = spark.table(name).where(F.col(LOAD_ID).isin([r[0] for r in loads]))
             gone = (F.col(column) == F.col("former_path")) & (F.col(LOAD_ID) == F.col("former_load"))
-            replace_partitions(current.join(former, gone, "left_anti"), name, loads, parts=PARTS)
+            replace_partitions(current.join(former, gone, "left_anti"), name, loads, PARTS)
             spark.catalog.refreshTable(name)

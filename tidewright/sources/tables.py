@@ -424,7 +424,7 @@ def _rewrite_partitions(
     replace_partitions(after, table_name, values)
 
 
-def replace_partitions(after: DataFrame, table_name: str, values: Sequence[Row], *, parts: int = 1) -> None:
+def replace_partitions(after: DataFrame, table_name: str, values: Sequence[Row], parts: int = 1) -> None:
     """Replace the partitions named by ``values`` by the rows, of which none may belong to
     another; a partition that gets no row is dropped. Where partitions are large, ``parts``
     deals the rows of each to that many shuffle partitions."""
